@@ -116,3 +116,94 @@ QUERIES = {
     "query_vector_dims": q_query_vector_dims,
     "explain_vector": q_explain_vector,
 }
+
+
+# -- T1, T3-T8, R1-R3, R5, X1 ------------------------------------------------
+
+from ..functions.text import word_tokens  # noqa: E402
+from ..operators import analyze as an  # noqa: E402
+from ..operators import query_terms as qtm  # noqa: E402
+from ..operators import textsearch as ts  # noqa: E402
+from ..sources.tables import text_queries_from_benchmark  # noqa: E402
+
+
+def _text_queries(spark, sf):
+    return text_queries_from_benchmark(read_table(spark, sf, "benchmark"), K)
+
+
+def q_tokens_simple(spark, sf):
+    c = _corpus(spark, sf)
+    w = c.select("doc_id", F.concat(word_tokens(F.col("title")), word_tokens(F.col("body"))).alias("w"))
+    return w.select("doc_id", F.size("w").alias("n_words"),
+                    F.size(F.array_distinct("w")).alias("n_lexemes"),
+                    F.array_join(F.array_sort(F.array_distinct("w")), " ").alias("lexemes"))
+
+
+def q_weighted_postings(spark, sf):
+    return an.postings(_corpus(spark, sf)).select("doc_id", "term", "pos", "weight")
+
+
+def q_term_stats(spark, sf):
+    return an.term_stats(an.postings(_corpus(spark, sf)))
+
+
+def q_query_terms(spark, sf):
+    q = _text_queries(spark, sf).where(~is_blank(F.col("q")))
+    return qtm.query_terms(q)
+
+
+def q_search_match(spark, sf):
+    return ts.search_text(_corpus(spark, sf), _text_queries(spark, sf), ranked=False)
+
+
+def q_search_ranked(spark, sf):
+    return ts.search_text(_corpus(spark, sf), _text_queries(spark, sf), k=K)
+
+
+def q_search_plain(spark, sf):
+    return ts.search_text(_corpus(spark, sf), _bench_queries(spark, sf), k=K, plain=True)
+
+
+def q_search_phrase(spark, sf):
+    c = _corpus(spark, sf)
+    return ts.phrase_matches(an.postings(c), _bench_queries(spark, sf))
+
+
+def q_blank_queries(spark, sf):
+    b = read_table(spark, sf, "benchmark")
+    variants = b.select(F.explode(F.array(
+        F.struct((F.col("item_id") * 2).alias("query_id"), F.col("text").alias("q")),
+        F.struct((F.col("item_id") * 2 + 1).alias("query_id"),
+                 F.regexp_replace(F.coalesce("text", F.lit("")), r"\S", "").alias("q")))).alias("x")
+    ).select("x.*")
+    return variants.select("query_id", is_blank(F.col("q")).alias("blank"))
+
+
+def q_explain_text(spark, sf):
+    c = _corpus(spark, sf)
+    q = _text_queries(spark, sf).where(~is_blank(F.col("q")))
+    hits = ts.search_text(c, q, k=K)
+    qt = qtm.query_terms(q)
+    lex = an.doc_lexemes(c.join(hits.select("doc_id").distinct(), "doc_id", "left_semi"))
+    ql = qtm.query_lexemes(qt)
+    pt = qtm.parsed_query_text(qt)
+    j = hits.join(ql, "query_id").join(pt, "query_id").join(lex, "doc_id")
+    return j.select(
+        "query_id", "rank", "doc_id", "score", "parsed_query",
+        F.array_join(F.array_sort(F.array_intersect("lexemes", "query_lexemes")), " ").alias("matched_lexemes"),
+        F.substring(F.array_join(F.transform("lexemes", lambda x: F.concat(F.lit("'"), x, F.lit("'"))), " "),
+                    1, 280).alias("tsvector_preview"))
+
+
+QUERIES.update({
+    "tokens_simple": q_tokens_simple,
+    "weighted_postings": q_weighted_postings,
+    "term_stats": q_term_stats,
+    "query_terms": q_query_terms,
+    "search_match": q_search_match,
+    "search_ranked": q_search_ranked,
+    "search_plain": q_search_plain,
+    "search_phrase": q_search_phrase,
+    "blank_queries": q_blank_queries,
+    "explain_text": q_explain_text,
+})

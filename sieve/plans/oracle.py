@@ -116,3 +116,177 @@ ORACLE = {
     "query_vector_dims": QUERY_VECTOR_DIMS,
     "explain_vector": EXPLAIN_VECTOR,
 }
+
+
+# -- text --------------------------------------------------------------------
+
+WORD = "'[\\p{L}\\p{N}]+'"
+
+POST = f"""pw AS (
+  SELECT doc_id, regexp_extract_all(lower(title), {WORD}) AS tt, regexp_extract_all(lower(body), {WORD}) AS bt
+  FROM corpus),
+post AS (
+  SELECT doc_id, term, pos::INTEGER AS pos, CASE WHEN pos <= nt THEN 'A' ELSE 'B' END AS weight,
+         CASE WHEN pos <= nt THEN 1.0 ELSE 0.4 END AS w
+  FROM (SELECT doc_id, len(tt) AS nt, unnest(tt || bt) AS term, unnest(range(1, len(tt || bt) + 1)) AS pos FROM pw))"""
+
+TQ = f"""bq AS (SELECT item_id, replace(coalesce(text, ''), '"', ' ') AS t FROM benchmark),
+tq AS (
+  SELECT b.item_id * 4 + s.shape AS query_id,
+         CASE s.shape WHEN 0 THEN b.t WHEN 1 THEN '"' || b.t || '"'
+                      WHEN 2 THEN b.t || ' or ' || coalesce(n.t, '')
+                      ELSE b.t || ' -"' || coalesce(n.t, '') || '"' END AS q
+  FROM bq b LEFT JOIN (SELECT item_id - 1 AS item_id, t FROM bq) n USING (item_id)
+  CROSS JOIN (VALUES (0), (1), (2), (3)) s(shape)),
+qry_t AS (SELECT * FROM tq WHERE {BLANK_OK.format(q='q')})"""
+
+
+def _qt(src: str) -> str:
+    return f"""chunks AS (
+  SELECT query_id, unnest(ch) AS chunk, unnest(range(0, len(ch))) AS item_id
+  FROM (SELECT query_id, regexp_extract_all(q, '-?"[^"]*"?|[^\\s"]+') AS ch FROM {src})),
+cl AS (
+  SELECT *, lower(chunk) = 'or' AS is_or,
+         sum(CASE WHEN lower(chunk) = 'or' THEN 1 ELSE 0 END)
+           OVER (PARTITION BY query_id ORDER BY item_id ROWS UNBOUNDED PRECEDING) AS clause_id
+  FROM chunks),
+items AS (
+  SELECT query_id, clause_id, item_id, starts_with(chunk, '-') AS negated,
+         regexp_extract_all(lower(regexp_replace(chunk, '^-|"', '', 'g')), {WORD}) AS words
+  FROM cl WHERE NOT is_or),
+qt AS (
+  SELECT query_id, clause_id::INTEGER AS clause_id, item_id::INTEGER AS item_id, negated,
+         len(words)::INTEGER AS n_words, unnest(words) AS term, unnest(range(0, len(words)))::INTEGER AS "offset"
+  FROM items)"""
+
+
+def _qt_plain(src: str) -> str:
+    return f"""qt AS (
+  SELECT query_id, 0 AS clause_id, unnest(range(0, len(ws)))::INTEGER AS item_id, false AS negated,
+         1 AS n_words, unnest(ws) AS term, 0 AS "offset"
+  FROM (SELECT query_id, regexp_extract_all(lower(q), {WORD}) AS ws FROM {src}))"""
+
+
+MATCH = """hits AS (SELECT qt.*, p.doc_id, p.pos, p.w FROM qt JOIN post p ON p.term = qt.term),
+occ AS (
+  SELECT query_id, clause_id, item_id, negated, doc_id, pos - "offset" AS start, max("offset") AS mo
+  FROM hits GROUP BY query_id, clause_id, item_id, negated, doc_id, pos - "offset", n_words
+  HAVING count(*) = n_words),
+npos AS (SELECT query_id, clause_id, count(DISTINCT item_id) AS n_pos FROM qt WHERE NOT negated GROUP BY ALL),
+posok AS (
+  SELECT o.query_id, o.clause_id, o.doc_id FROM occ o JOIN npos n USING (query_id, clause_id)
+  WHERE NOT o.negated GROUP BY o.query_id, o.clause_id, o.doc_id, n.n_pos
+  HAVING count(DISTINCT o.item_id) = n.n_pos),
+negocc AS (SELECT DISTINCT query_id, clause_id, doc_id FROM occ WHERE negated),
+matched AS (
+  SELECT DISTINCT query_id, doc_id FROM posok p
+  WHERE NOT EXISTS (SELECT 1 FROM negocc n WHERE n.query_id = p.query_id AND n.clause_id = p.clause_id
+                    AND n.doc_id = p.doc_id))"""
+
+COVER = """H AS (
+  SELECT query_id, doc_id, pos, w,
+         row_number() OVER (PARTITION BY query_id, doc_id ORDER BY pos) AS idx,
+         sum(1.0 / w) OVER (PARTITION BY query_id, doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS cw
+  FROM (SELECT DISTINCT h.query_id, h.doc_id, h.pos, h.w FROM hits h JOIN matched m USING (query_id, doc_id)
+        WHERE NOT h.negated)),
+oi AS (
+  SELECT o.query_id, o.doc_id, o.clause_id, o.item_id, hs.idx AS s_idx, he.idx AS e_idx
+  FROM occ o JOIN matched m USING (query_id, doc_id)
+  JOIN H hs ON hs.query_id = o.query_id AND hs.doc_id = o.doc_id AND hs.pos = o.start
+  JOIN H he ON he.query_id = o.query_id AND he.doc_id = o.doc_id AND he.pos = o.start + o.mo
+  WHERE NOT o.negated),
+ev AS (SELECT DISTINCT query_id, doc_id, e_idx FROM oi),
+pitems AS (SELECT DISTINCT query_id, clause_id, item_id FROM qt WHERE NOT negated),
+lst AS (
+  SELECT ev.query_id, ev.doc_id, ev.e_idx, it.clause_id, it.item_id, max(oi.s_idx) AS last
+  FROM ev JOIN pitems it USING (query_id)
+  LEFT JOIN oi ON oi.query_id = ev.query_id AND oi.doc_id = ev.doc_id AND oi.clause_id = it.clause_id
+              AND oi.item_id = it.item_id AND oi.e_idx <= ev.e_idx
+  GROUP BY ALL),
+cv AS (SELECT query_id, doc_id, e_idx, clause_id, min(last) AS m FROM lst GROUP BY ALL
+       HAVING count(last) = count(*)),
+pe AS (SELECT query_id, doc_id, e_idx, max(m) AS p FROM cv GROUP BY ALL),
+cov AS (
+  SELECT * FROM (SELECT *, max(p) OVER (PARTITION BY query_id, doc_id ORDER BY e_idx
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM pe)
+  WHERE prev IS NULL OR p > prev),
+sc AS (
+  SELECT c.query_id, c.doc_id,
+         sum((c.e_idx - c.p + 1) / (he.cw - hs.cw + 1.0 / hs.w)
+             / (1 + CASE WHEN (he.pos - hs.pos) - (c.e_idx - c.p) < 0 THEN floor((c.e_idx - c.p) / 2)
+                         ELSE (he.pos - hs.pos) - (c.e_idx - c.p) END)) AS score
+  FROM cov c
+  JOIN H hs ON hs.query_id = c.query_id AND hs.doc_id = c.doc_id AND hs.idx = c.p
+  JOIN H he ON he.query_id = c.query_id AND he.doc_id = c.doc_id AND he.idx = c.e_idx
+  GROUP BY ALL),
+tranked AS (
+  SELECT query_id, doc_id, round(score, 6) + 0.0 AS score,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank
+  FROM sc)"""
+
+TOKENS_SIMPLE = f"""WITH {CORPUS}, {POST.split(',' + chr(10) + 'post AS')[0]}
+SELECT doc_id, len(tt || bt) AS n_words, len(list_distinct(tt || bt)) AS n_lexemes,
+       array_to_string(list_sort(list_distinct(tt || bt)), ' ') AS lexemes FROM pw"""
+
+WEIGHTED_POSTINGS = f"""WITH {CORPUS}, {POST}
+SELECT doc_id, term, pos, weight FROM post"""
+
+TERM_STATS = f"""WITH {CORPUS}, {POST}
+SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM post GROUP BY term"""
+
+QUERY_TERMS = f"""WITH {TQ}, {_qt('qry_t')}
+SELECT query_id, clause_id, item_id, negated, "offset", term, n_words FROM qt"""
+
+SEARCH_MATCH = f"""WITH {CORPUS}, {POST}, {TQ}, {_qt('qry_t')}, {MATCH}
+SELECT query_id, doc_id FROM matched"""
+
+SEARCH_RANKED = f"""WITH {CORPUS}, {POST}, {TQ}, {_qt('qry_t')}, {MATCH}, {COVER}
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM tranked WHERE rank <= 20"""
+
+SEARCH_PLAIN = f"""WITH {CORPUS}, {POST}, {QUERIES_B}, {_qt_plain('qry')}, {MATCH}, {COVER}
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM tranked WHERE rank <= 20"""
+
+SEARCH_PHRASE = f"""WITH {CORPUS}, {POST}, {QUERIES_B},
+qph AS (SELECT query_id, '"' || replace(q, '"', ' ') || '"' AS q FROM qry), {_qt('qph')}, {MATCH}
+SELECT query_id, doc_id FROM matched"""
+
+BLANK_QUERIES = f"""SELECT item_id * 2 AS query_id, NOT ({BLANK_OK.format(q='text')}) AS blank FROM benchmark
+UNION ALL
+SELECT item_id * 2 + 1, NOT ({BLANK_OK.format(q="regexp_replace(coalesce(text, ''), '\\S', '', 'g')")})
+FROM benchmark"""
+
+EXPLAIN_TEXT = f"""WITH {CORPUS}, {POST}, {TQ}, {_qt('qry_t')}, {MATCH}, {COVER},
+top AS (SELECT * FROM tranked WHERE rank <= 20),
+ql AS (SELECT query_id, list_sort(list_distinct(list(term))) AS qlex FROM qt GROUP BY query_id),
+dl AS (SELECT doc_id, list_sort(list_distinct(tt || bt)) AS lex FROM pw
+       WHERE doc_id IN (SELECT doc_id FROM top)),
+w1 AS (SELECT query_id, clause_id, item_id, negated, "offset", term,
+              lag("offset") OVER (PARTITION BY query_id, clause_id, item_id ORDER BY "offset") AS prev FROM qt),
+it AS (
+  SELECT query_id, clause_id, item_id, negated, count(*) AS n,
+         string_agg(CASE WHEN prev IS NULL THEN '' WHEN "offset" - prev = 1 THEN ' <-> '
+                         ELSE ' <' || ("offset" - prev)::VARCHAR || '> ' END || '''' || term || '''', ''
+                    ORDER BY "offset") AS txt
+  FROM w1 GROUP BY ALL),
+it2 AS (SELECT query_id, clause_id, item_id,
+               CASE WHEN negated THEN '!' ELSE '' END ||
+               CASE WHEN n > 1 AND negated THEN '( ' || txt || ' )' ELSE txt END AS txt FROM it),
+cl2 AS (SELECT query_id, clause_id, string_agg(txt, ' & ' ORDER BY item_id) AS txt FROM it2 GROUP BY ALL),
+pq AS (SELECT query_id, string_agg(txt, ' | ' ORDER BY clause_id) AS parsed_query FROM cl2 GROUP BY ALL)
+SELECT t.query_id, t.rank::INTEGER AS rank, t.doc_id, t.score, pq.parsed_query,
+       array_to_string(list_sort(list_intersect(dl.lex, ql.qlex)), ' ') AS matched_lexemes,
+       substr(array_to_string(list_transform(dl.lex, lambda x: '''' || x || ''''), ' '), 1, 280) AS tsvector_preview
+FROM top t JOIN ql USING (query_id) JOIN pq USING (query_id) JOIN dl USING (doc_id)"""
+
+ORACLE.update({
+    "tokens_simple": TOKENS_SIMPLE,
+    "weighted_postings": WEIGHTED_POSTINGS,
+    "term_stats": TERM_STATS,
+    "query_terms": QUERY_TERMS,
+    "search_match": SEARCH_MATCH,
+    "search_ranked": SEARCH_RANKED,
+    "search_plain": SEARCH_PLAIN,
+    "search_phrase": SEARCH_PHRASE,
+    "blank_queries": BLANK_QUERIES,
+    "explain_text": EXPLAIN_TEXT,
+})
