@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,10 +46,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting points to shared storage and is used as is.
     Only when it is unset (local tests) a fresh scratch folder is taken.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    path = sc.getConf().get("spark.checkpoint.dir", None)
+    if not path:
+        try:
+            path = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:
+            path = None
     if not path:
         path = tempfile.mkdtemp(prefix="sieve-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "t"):
+    """Cut lineage of an intermediate result by writing it as a Parquet table
+    under the shared checkpoint folder and reading it back.
+
+    Unlike ``RDD.checkpoint`` the plan runs once; the result survives executor
+    loss, and its file size lets AQE pick broadcast joins downstream."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/sieve-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -22,8 +22,16 @@ DEFAULT_K = 20
 CREATED_AT = "2024-01-01 00:00:00"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one supplied table.  ``spread=True`` round-robins an input that
+    arrives in fewer splits than the cluster has cores (the test tables are
+    single files); a real multi-file input is left as the scan splits it."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par)
+    return df
 
 
 def split_title(text: Column) -> Column:
@@ -63,7 +71,7 @@ def corpus_from_pages(pages: DataFrame) -> DataFrame:
 
 
 def load_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_from_documents(read_table(spark, sf_dir, "documents"))
+    return corpus_from_documents(read_table(spark, sf_dir, "documents", spread=True))
 
 
 def queries_from_benchmark(benchmark: DataFrame, k: int = DEFAULT_K) -> DataFrame:
