@@ -213,3 +213,58 @@ QUERIES.update({
     "blank_queries": q_blank_queries,
     "explain_text": q_explain_text,
 })
+
+
+# -- H1-H5, X3 ---------------------------------------------------------------
+
+from ..operators import hybrid as hy  # noqa: E402
+
+
+def _both_lists(spark, sf):
+    c = _corpus(spark, sf)
+    q = _bench_queries(spark, sf)
+    text = ts.search_text(None, q, k=K, post=_index(spark, sf, c))
+    qv = emb.embed_queries(q)
+    vec = vs.knn(qv, emb.embed_corpus(c), k=K, metric="cosine")
+    return q, text, vec
+
+
+def q_minmax_scores(spark, sf):
+    _, text, vec = _both_lists(spark, sf)
+    t = hy.minmax(text).select("query_id", F.lit("text").alias("engine"), "doc_id", "score",
+                               F.round("norm", 6).alias("norm"))
+    v = hy.minmax(vec).select("query_id", F.lit("vector").alias("engine"), "doc_id", "score",
+                              F.round("norm", 6).alias("norm"))
+    return t.unionByName(v)
+
+
+def q_hybrid_blend(spark, sf):
+    _, text, vec = _both_lists(spark, sf)
+    return hy.blend(text, vec, k=K).select("query_id", "rank", "doc_id", "score")
+
+
+def q_explain_hybrid(spark, sf):
+    _, text, vec = _both_lists(spark, sf)
+    b = hy.blend(text, vec, k=K)
+    return b.select("query_id", "rank", "doc_id", "score", "text_raw",
+                    F.round("text_norm", 6).alias("text_norm"), "vector_raw",
+                    F.round("vector_norm", 6).alias("vector_norm"), "text_weight", "vector_weight")
+
+
+def q_hybrid_rrf(spark, sf):
+    _, text, vec = _both_lists(spark, sf)
+    return hy.rrf([text, vec], k=K)
+
+
+def q_engine_overlap(spark, sf):
+    q, text, vec = _both_lists(spark, sf)
+    return hy.overlap(text, vec, hy.blend(text, vec, k=K), q)
+
+
+QUERIES.update({
+    "minmax_scores": q_minmax_scores,
+    "hybrid_blend": q_hybrid_blend,
+    "explain_hybrid": q_explain_hybrid,
+    "hybrid_rrf": q_hybrid_rrf,
+    "engine_overlap": q_engine_overlap,
+})

@@ -290,3 +290,67 @@ ORACLE.update({
     "blank_queries": BLANK_QUERIES,
     "explain_text": EXPLAIN_TEXT,
 })
+
+
+# -- hybrid ------------------------------------------------------------------
+
+BOTH = f"""{COSINE_DOCS_CTE}, {POST}, {_qt('qry')}, {MATCH}, {COVER},
+tl AS (SELECT query_id, doc_id, score, rank FROM tranked WHERE rank <= 20),
+vl AS (SELECT query_id, doc_id, score, rank FROM ranked WHERE rank <= 20),
+tn AS (SELECT *, CASE WHEN max(score) OVER w - min(score) OVER w = 0 THEN 1.0
+                      ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS norm
+       FROM tl WINDOW w AS (PARTITION BY query_id)),
+vn AS (SELECT *, CASE WHEN max(score) OVER w - min(score) OVER w = 0 THEN 1.0
+                      ELSE (score - min(score) OVER w) / (max(score) OVER w - min(score) OVER w) END AS norm
+       FROM vl WINDOW w AS (PARTITION BY query_id)),
+mg AS (SELECT coalesce(t.query_id, v.query_id) AS query_id, coalesce(t.doc_id, v.doc_id) AS doc_id,
+              t.score AS text_raw, t.norm AS text_norm, v.score AS vector_raw, v.norm AS vector_norm,
+              t.rank AS trank, v.rank AS vrank,
+              round(0.5 * coalesce(t.norm, 0.0) + 0.5 * coalesce(v.norm, 0.0), 6) + 0.0 AS blended
+       FROM tn t FULL OUTER JOIN vn v ON t.query_id = v.query_id AND t.doc_id = v.doc_id),
+hr AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY blended DESC,
+                                    CASE WHEN trank IS NULL THEN 1 ELSE 0 END, coalesce(trank, vrank)) AS hrank
+       FROM mg)"""
+
+MINMAX_SCORES = f"""WITH {BOTH}
+SELECT query_id, 'text' AS engine, doc_id, score, round(norm, 6) AS norm FROM tn
+UNION ALL
+SELECT query_id, 'vector' AS engine, doc_id, score, round(norm, 6) AS norm FROM vn"""
+
+HYBRID_BLEND = f"""WITH {BOTH}
+SELECT query_id, hrank::INTEGER AS rank, doc_id, blended AS score FROM hr WHERE hrank <= 20"""
+
+EXPLAIN_HYBRID = f"""WITH {BOTH}
+SELECT query_id, hrank::INTEGER AS rank, doc_id, blended AS score, text_raw, round(text_norm, 6) AS text_norm,
+       vector_raw, round(vector_norm, 6) AS vector_norm, 0.5 AS text_weight, 0.5 AS vector_weight
+FROM hr WHERE hrank <= 20"""
+
+HYBRID_RRF = f"""WITH {BOTH},
+u AS (SELECT query_id, doc_id, rank FROM tl UNION ALL SELECT query_id, doc_id, rank FROM vl),
+s AS (SELECT query_id, doc_id, round(sum(1.0 / (60 + rank)), 6) + 0.0 AS score FROM u GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20"""
+
+ENGINE_OVERLAP = f"""WITH {BOTH},
+hl AS (SELECT * FROM hr WHERE hrank <= 20),
+nt AS (SELECT query_id, count(*) AS n FROM tl GROUP BY ALL),
+nv AS (SELECT query_id, count(*) AS n FROM vl GROUP BY ALL),
+nh AS (SELECT query_id, count(*) AS n FROM hl GROUP BY ALL),
+bo AS (SELECT t.query_id, count(*) AS n, avg(abs(t.rank - v.rank)) AS d
+       FROM tl t JOIN vl v ON t.query_id = v.query_id AND t.doc_id = v.doc_id GROUP BY ALL),
+x AS (SELECT q.query_id, coalesce(nt.n, 0) AS n_text, coalesce(nv.n, 0) AS n_vector, coalesce(nh.n, 0) AS n_hybrid,
+             coalesce(bo.n, 0) AS n_common, bo.d
+      FROM qry q LEFT JOIN nt USING (query_id) LEFT JOIN nv USING (query_id) LEFT JOIN nh USING (query_id)
+      LEFT JOIN bo USING (query_id))
+SELECT query_id, n_text, n_vector, n_hybrid, n_common,
+       CASE WHEN n_text + n_vector - n_common = 0 THEN 0.0
+            ELSE round(n_common / (n_text + n_vector - n_common), 6) END AS jaccard,
+       round(d, 6) AS mean_rank_diff FROM x"""
+
+ORACLE.update({
+    "minmax_scores": MINMAX_SCORES,
+    "hybrid_blend": HYBRID_BLEND,
+    "explain_hybrid": EXPLAIN_HYBRID,
+    "hybrid_rrf": HYBRID_RRF,
+    "engine_overlap": ENGINE_OVERLAP,
+})
