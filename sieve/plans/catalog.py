@@ -268,3 +268,60 @@ QUERIES.update({
     "hybrid_rrf": q_hybrid_rrf,
     "engine_overlap": q_engine_overlap,
 })
+
+
+# -- R4, R6, R7, X4-X6 -------------------------------------------------------
+
+from pyspark.sql import Window  # noqa: E402
+
+from ..functions.text import limit_rule, snippet  # noqa: E402
+from ..operators import fuzzy as fz  # noqa: E402
+
+
+def q_search_overlap(spark, sf):
+    return fz.overlap_search(_corpus(spark, sf), _bench_queries(spark, sf), k=K)
+
+
+def q_fuzzy_title(spark, sf):
+    return fz.fuzzy_title(_corpus(spark, sf), _bench_queries(spark, sf), threshold=0.3)
+
+
+def _longest_words(spark, sf):
+    b = read_table(spark, sf, "benchmark")
+    w = b.select(F.col("item_id").alias("query_id"), F.explode(word_tokens(F.col("text"))).alias("word"))
+    win = Window.partitionBy("query_id").orderBy(F.length("word").desc(), F.col("word").asc())
+    return w.withColumn("_r", F.row_number().over(win)).where("_r = 1").select(
+        "query_id", F.col("word").alias("pattern"))
+
+
+def q_title_ilike(spark, sf):
+    return fz.ilike_matches(_corpus(spark, sf), _longest_words(spark, sf), "title")
+
+
+def q_limit_rule(spark, sf):
+    b = read_table(spark, sf, "benchmark")
+    k_in = (F.pmod(F.col("item_id"), F.lit(7)) * 10 - 20).cast("int")
+    return b.select(F.col("item_id").alias("query_id"), k_in.alias("k_requested"),
+                    limit_rule(k_in).alias("k_used"))
+
+
+def q_snippets(spark, sf):
+    return _corpus(spark, sf).select("doc_id", snippet(F.col("body")).alias("snippet"))
+
+
+def q_shaped_hits(spark, sf):
+    c = _corpus(spark, sf)
+    hits = q_vector_cosine_docs(spark, sf)
+    return (hits.join(c, "doc_id")
+            .select("query_id", "rank", "doc_id", "title", F.array_join("tags", ",").alias("tags"),
+                    snippet(F.col("body")).alias("snippet"), F.round("score", 6).alias("score")))
+
+
+QUERIES.update({
+    "search_overlap": q_search_overlap,
+    "fuzzy_title": q_fuzzy_title,
+    "title_ilike": q_title_ilike,
+    "limit_rule": q_limit_rule,
+    "snippets": q_snippets,
+    "shaped_hits": q_shaped_hits,
+})

@@ -354,3 +354,66 @@ ORACLE.update({
     "hybrid_rrf": HYBRID_RRF,
     "engine_overlap": ENGINE_OVERLAP,
 })
+
+
+# -- R4, R6, R7, X4-X6 -------------------------------------------------------
+
+SEARCH_OVERLAP = f"""WITH {CORPUS}, {QUERIES_B},
+terms AS (SELECT query_id, t AS term, count(*) AS n
+          FROM (SELECT query_id, unnest(string_split_regex(lower(q), '\\s+')) AS t FROM qry)
+          WHERE length(t) > 0 GROUP BY ALL),
+sc AS (SELECT t.query_id, c.doc_id,
+              sum(t.n * CASE WHEN contains(lower(c.title || ' ' || c.body), t.term)
+                             THEN CASE WHEN contains(lower(c.title), t.term) THEN 1.5 ELSE 1.0 END
+                             ELSE 0.0 END) AS score
+       FROM terms t CROSS JOIN corpus c GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20"""
+
+
+def _grams(src: str, idc: str, col: str, name: str) -> str:
+    return f"""{name} AS (
+  SELECT DISTINCT id, gram FROM (
+    SELECT id, unnest(list_transform(range(1, length(p) - 1), lambda i: substr(p, i, 3))) AS gram
+    FROM (SELECT {idc} AS id, '  ' || w || ' ' AS p
+          FROM (SELECT {idc}, unnest(regexp_extract_all(lower(coalesce({col}, '')), {WORD})) AS w FROM {src}))))"""
+
+
+FUZZY_TITLE = f"""WITH {CORPUS}, {QUERIES_B},
+{_grams('qry', 'query_id', 'q', 'qg')},
+{_grams('corpus', 'doc_id', 'title', 'dg')},
+nq AS (SELECT id, count(*) AS n FROM qg GROUP BY id),
+nd AS (SELECT id, count(*) AS n FROM dg GROUP BY id),
+it AS (SELECT q.id AS query_id, d.id AS doc_id, count(*) AS inter FROM qg q JOIN dg d ON q.gram = d.gram GROUP BY ALL)
+SELECT it.query_id, it.doc_id, round(inter / (nq.n + nd.n - inter), 6) + 0.0 AS similarity
+FROM it JOIN nq ON nq.id = it.query_id JOIN nd ON nd.id = it.doc_id
+WHERE inter * 1000 >= (nq.n + nd.n - inter) * 300"""
+
+TITLE_ILIKE = f"""WITH {CORPUS},
+w AS (SELECT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), {WORD})) AS word FROM benchmark),
+pat AS (SELECT query_id, word AS pattern FROM (
+          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY length(word) DESC, word) AS r FROM w) WHERE r = 1)
+SELECT p.query_id, c.doc_id FROM pat p JOIN corpus c ON contains(lower(c.title), lower(p.pattern))"""
+
+LIMIT_RULE = """SELECT item_id AS query_id, ((item_id % 7) * 10 - 20)::INTEGER AS k_requested,
+       (CASE WHEN (item_id % 7) * 10 - 20 > 0 THEN (item_id % 7) * 10 - 20 ELSE 20 END)::INTEGER AS k_used
+FROM benchmark"""
+
+SNIP = "CASE WHEN length({b}) > 220 THEN substr({b}, 1, 220) || '...' ELSE {b} END"
+
+SNIPPETS = f"""WITH {CORPUS}
+SELECT doc_id, {SNIP.format(b='body')} AS snippet FROM corpus"""
+
+SHAPED_HITS = f"""WITH {COSINE_DOCS_CTE}
+SELECT r.query_id, r.rank::INTEGER AS rank, r.doc_id, c.title, coalesce(c.lang, '') || ',' || coalesce(c.source, '') AS tags,
+       {SNIP.format(b='c.body')} AS snippet, r.score
+FROM ranked r JOIN corpus c USING (doc_id) WHERE r.rank <= 20"""
+
+ORACLE.update({
+    "search_overlap": SEARCH_OVERLAP,
+    "fuzzy_title": FUZZY_TITLE,
+    "title_ilike": TITLE_ILIKE,
+    "limit_rule": LIMIT_RULE,
+    "snippets": SNIPPETS,
+    "shaped_hits": SHAPED_HITS,
+})
