@@ -325,3 +325,94 @@ QUERIES.update({
     "snippets": q_snippets,
     "shaped_hits": q_shaped_hits,
 })
+
+
+# -- S1-S12 ------------------------------------------------------------------
+
+import uuid  # noqa: E402
+
+from ..operators import ingest as ing  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources.tables import corpus_from_pages  # noqa: E402
+
+
+def _scratch(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sieve-{name}-{uuid.uuid4().hex}"
+
+
+def q_jsonl_roundtrip(spark, sf):
+    from pyspark.sql import types as T
+    path = _scratch(spark, "jsonl")
+    ing.write_jsonl(_corpus(spark, sf).select("doc_id", "title", "body", "tags"), path)
+    schema = T.StructType([T.StructField("doc_id", T.LongType(), True)] + list(ing.JSONL_SCHEMA.fields))
+    back = ing.read_jsonl(spark, path, schema)
+    return back.select("doc_id", "title", "body", F.array_join("tags", ",").alias("tags"))
+
+
+def _index_summary(tables):
+    post = tables["postings"].groupBy("doc_id").agg(F.count("*").alias("n_postings"),
+                                                    F.countDistinct("term").alias("n_lexemes"))
+    vec = tables["vectors"].select("doc_id", F.size(F.filter("vec", lambda x: x != 0)).alias("n_dims"))
+    return (tables["corpus"].select("doc_id", "title").join(post, "doc_id", "left")
+            .join(vec, "doc_id", "left").fillna(0, ["n_postings", "n_lexemes"]))
+
+
+def q_index_documents(spark, sf):
+    tables = ing.index_documents(_corpus(spark, sf), _scratch(spark, "index"))
+    return _index_summary(tables)
+
+
+def q_stream_index(spark, sf):
+    from ..streaming.incremental import read_index, start_index_stream
+    src = _scratch(spark, "stream-src")
+    (_corpus(spark, sf).select("doc_id", "title", "body", "tags")
+     .repartition(4, F.pmod(F.col("doc_id"), F.lit(4))).write.json(src))
+    out, ck = _scratch(spark, "stream-out"), _scratch(spark, "stream-ck")
+    start_index_stream(spark, src, out, ck).awaitTermination()
+    return _index_summary(read_index(spark, out))
+
+
+def q_assign_ids(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "lang")
+    return ing.assign_ids(d, ["lang", "doc_id"]).select("id", "doc_id")
+
+
+def q_union_sources(spark, sf):
+    docs = _corpus(spark, sf).select(F.col("doc_id").alias("orig_id"), "title")
+    pages = corpus_from_pages(read_table(spark, sf, "pages")).select(F.col("doc_id").alias("orig_id"), "title")
+    u = ing.union_sources([docs, pages])
+    return ing.assign_ids(u, ["source_order", "orig_id"]).select("id", "source_order", "orig_id", "title")
+
+
+def q_lookup_ids(spark, sf):
+    ids = read_table(spark, sf, "labels").select("doc_id")
+    r = ing.lookup_ids(_corpus(spark, sf), ids)
+    return r.select("doc_id", "title", F.col("title").isNotNull().alias("found"))
+
+
+def q_corpus_count(spark, sf):
+    return ing.corpus_count(_corpus(spark, sf))
+
+
+CLEAN_CAP = 40
+
+
+def q_clean_corpus(spark, sf):
+    d = read_table(spark, sf, "documents")
+    c = _corpus(spark, sf).join(d.select("doc_id", "source"), "doc_id")
+    rec = c.select("doc_id", "title", "body", F.col("source").alias("category"),
+                   F.regexp_extract("source", r"(\d+)$", 1).cast("int").alias("category_order"),
+                   F.col("doc_id").alias("listing_order"))
+    return ing.clean_corpus(rec, CLEAN_CAP).select("doc_id", "title", "tag", F.length("body").alias("n_chars"))
+
+
+QUERIES.update({
+    "jsonl_roundtrip": q_jsonl_roundtrip,
+    "index_documents": q_index_documents,
+    "stream_index": q_stream_index,
+    "assign_ids": q_assign_ids,
+    "union_sources": q_union_sources,
+    "lookup_ids": q_lookup_ids,
+    "corpus_count": q_corpus_count,
+    "clean_corpus": q_clean_corpus,
+})

@@ -417,3 +417,53 @@ ORACLE.update({
     "snippets": SNIPPETS,
     "shaped_hits": SHAPED_HITS,
 })
+
+
+# -- S1-S12 ------------------------------------------------------------------
+
+JSONL_ROUNDTRIP = f"""WITH {CORPUS}
+SELECT doc_id, title, body, coalesce(lang, '') || ',' || coalesce(source, '') AS tags FROM corpus"""
+
+INDEX_SUMMARY = f"""WITH {CORPUS}, {POST}, {DTOK}, {_sparse('dtok', 'dv')},
+ps AS (SELECT doc_id, count(*) AS n_postings, count(DISTINCT term) AS n_lexemes FROM post GROUP BY doc_id),
+vs AS (SELECT id AS doc_id, count(*) AS n_dims FROM dv WHERE v <> 0 GROUP BY id)
+SELECT c.doc_id, c.title, coalesce(ps.n_postings, 0) AS n_postings, coalesce(ps.n_lexemes, 0) AS n_lexemes,
+       coalesce(vs.n_dims, 0)::INTEGER AS n_dims
+FROM corpus c LEFT JOIN ps USING (doc_id) LEFT JOIN vs USING (doc_id)"""
+
+ASSIGN_IDS = """SELECT row_number() OVER (ORDER BY lang, doc_id) AS id, doc_id FROM documents"""
+
+PAGES_TITLE = "regexp_extract(coalesce(html, ''), '(?is)<title[^>]*>(.*?)</title>', 1)"
+
+UNION_SOURCES = f"""WITH {CORPUS},
+u AS (SELECT 0 AS source_order, doc_id AS orig_id, title FROM corpus
+      UNION ALL SELECT 1, page_id, {PAGES_TITLE} FROM pages)
+SELECT row_number() OVER (ORDER BY source_order, orig_id) AS id, source_order, orig_id, title FROM u"""
+
+LOOKUP_IDS = f"""WITH {CORPUS}
+SELECT l.doc_id, c.title, c.title IS NOT NULL AS found
+FROM (SELECT DISTINCT doc_id FROM labels) l LEFT JOIN corpus c USING (doc_id)"""
+
+CORPUS_COUNT = "SELECT count(*) AS n FROM documents"
+
+CLEAN_CORPUS = f"""WITH {CORPUS},
+rec AS (SELECT doc_id, title, body, source AS category,
+               CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS category_order, doc_id AS listing_order
+        FROM corpus),
+capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY listing_order, doc_id) AS r
+                          FROM rec) WHERE r <= 40),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title
+                                   ORDER BY category_order, listing_order, doc_id) AS f FROM capped) WHERE f = 1)
+SELECT doc_id, title, lower(replace(category, '_', ' ')) AS tag, length(body) AS n_chars
+FROM firsts WHERE body IS NOT NULL AND length(body) >= 120"""
+
+ORACLE.update({
+    "jsonl_roundtrip": JSONL_ROUNDTRIP,
+    "index_documents": INDEX_SUMMARY,
+    "stream_index": INDEX_SUMMARY,
+    "assign_ids": ASSIGN_IDS,
+    "union_sources": UNION_SOURCES,
+    "lookup_ids": LOOKUP_IDS,
+    "corpus_count": CORPUS_COUNT,
+    "clean_corpus": CLEAN_CORPUS,
+})
