@@ -416,3 +416,38 @@ QUERIES.update({
     "corpus_count": q_corpus_count,
     "clean_corpus": q_clean_corpus,
 })
+
+
+# -- V8, V9 ------------------------------------------------------------------
+
+from ..operators import ivf  # noqa: E402
+
+IVF_LISTS = 100
+
+
+def _ivf(spark, sf):
+    c = _corpus(spark, sf)
+    from ..session import materialize
+    docs = materialize(emb.embed_corpus(c), "vectors")
+    cents, assigned = ivf.build_ivf(docs, lists=IVF_LISTS)
+    assigned = materialize(assigned, "ivf")
+    qv = materialize(emb.embed_queries(_bench_queries(spark, sf)), "qvec")
+    return docs, qv, cents, assigned
+
+
+def q_vector_ivf(spark, sf):
+    _, qv, cents, assigned = _ivf(spark, sf)
+    return ivf.ivf_search(qv, cents, assigned, k=K, nprobe=len(cents))
+
+
+def q_ann_recall(spark, sf):
+    docs, qv, cents, assigned = _ivf(spark, sf)
+    approx = ivf.ivf_search(qv, cents, assigned, k=K, nprobe=max(1, len(cents) // 10))
+    exact = vs.knn(qv, docs, k=K, metric="cosine")
+    return ivf.recall_at_k(approx, exact, K)
+
+
+QUERIES.update({
+    "vector_ivf": q_vector_ivf,
+    "ann_recall": q_ann_recall,
+})

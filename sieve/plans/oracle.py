@@ -467,3 +467,6 @@ ORACLE.update({
     "corpus_count": CORPUS_COUNT,
     "clean_corpus": CLEAN_CORPUS,
 })
+
+# V8 with nprobe = lists must equal exact search.
+ORACLE["vector_ivf"] = VECTOR_COSINE_DOCS
