@@ -32,11 +32,13 @@ def fnv1a32(s: Column) -> Column:
     """V2: 32-bit FNV-1a over the characters of ``s`` (inputs are ASCII).
 
     ``(h ^ c) * prime`` stays below 2^57, so the 64-bit product cannot
-    overflow and the mask keeps the unsigned 32-bit value."""
-    return F.aggregate(
+    overflow and the mask keeps the unsigned 32-bit value.  ``split('', '')``
+    yields one empty string, so the empty input is special-cased."""
+    h = F.aggregate(
         F.split(s, ""), F.lit(FNV_OFFSET).cast("long"),
         lambda h, c: ((h.bitwiseXOR(F.ascii(c).cast("long"))) * F.lit(FNV_PRIME))
         .bitwiseAND(F.lit(MASK32).cast("long")))
+    return F.when(F.length(s) == 0, F.lit(FNV_OFFSET).cast("long")).otherwise(h)
 
 
 def bigrams(tokens: Column) -> Column:
