@@ -88,4 +88,4 @@ def test_hybrid_fixture_and_invariants(spark):
         ids = [r.doc_id for r in rows if r.query_id == qid]
         assert len(ids) == len(set(ids))
     for r in hy.rrf([text, vec]).collect():
-        assert 0 < r.score <= 2 / 61 + 1e-9
+        assert 0 < r.score <= 2 / 61 + 1e-6  # scores are rounded to 6 places
