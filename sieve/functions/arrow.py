@@ -21,3 +21,13 @@ def vector_udf(batch_fn):
         return pd.Series(list(m))
 
     return _vec
+
+
+def string_udf(batch_fn):
+    """Wrap ``batch_fn(list[str]) -> list[str]`` as a scalar pandas UDF."""
+
+    @F.pandas_udf("string")
+    def _str(words: pd.Series) -> pd.Series:
+        return pd.Series(batch_fn(words.tolist()), dtype=object)
+
+    return _str

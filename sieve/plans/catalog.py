@@ -451,3 +451,14 @@ QUERIES.update({
     "vector_ivf": q_vector_ivf,
     "ann_recall": q_ann_recall,
 })
+
+
+# -- T2 (fixture-checked: the SQL oracle has no English stemmer) --------------
+
+def q_lexemes_english(spark, sf):
+    p = an.postings(_corpus(spark, sf), config="english")
+    return p.groupBy("doc_id").agg(F.count("*").alias("n_postings"),
+                                   F.array_join(F.array_sort(F.collect_set("term")), " ").alias("lexemes"))
+
+
+QUERIES["lexemes_english"] = q_lexemes_english
