@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._ship import ensure_package
-from .vectorsearch import _local_topk, _score_matrix
+from .vectorsearch import DEFAULT_MAX_BROADCAST, _local_topk, _score_matrix
 
 
 def default_lists(n_rows: int) -> int:
@@ -60,14 +60,36 @@ def build_ivf(corpus_vecs: DataFrame, lists: int | None = None, seed: int = 42,
 
 
 def ivf_search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: int = 20,
-               nprobe: int = 1, query_id: str = "query_id", vec: str = "vec") -> DataFrame:
+               nprobe: int = 1, query_id: str = "query_id", vec: str = "vec",
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
     """``(query_id, rank, doc_id, score)`` over the probed lists only (cosine)."""
     spark = assigned.sparkSession
     ensure_package(spark)
-    rows = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vec).alias("qv")).orderBy("qid").collect()
-    if not rows:
+    q = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vec).alias("qv"))
+    n_q = q.count()
+    if n_q == 0:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     d = centroids.shape[1]
+    # Query vectors are broadcast in blocks of bounded size (as in knn).
+    block = max(1, max_broadcast_bytes // (d * 8 + len(centroids) + 64))
+    nb = (n_q + block - 1) // block
+    blocks = [q] if nb == 1 else [
+        q.where(F.pmod(F.xxhash64("qid"), F.lit(nb)) == b) for b in range(nb)]
+    parts = []
+    for qb in blocks:
+        rows = qb.orderBy("qid").collect()
+        if rows:
+            parts.append(_ivf_block(spark, rows, centroids, assigned, k, nprobe, vec))
+    local = parts[0]
+    for p_ in parts[1:]:
+        local = local.unionByName(p_)
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
+    return (local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+            .select("query_id", "rank", "doc_id", "score"))
+
+
+def _ivf_block(spark, rows, centroids, assigned, k, nprobe, vec):
+    d = centroids.shape[1]
     qids = np.array([r["qid"] for r in rows], dtype=np.int64)
     qmat = np.array([np.asarray(r["qv"] if r["qv"] is not None else [0.0] * d, dtype=np.float64) for r in rows])
     nprobe = min(nprobe, len(centroids))
@@ -105,10 +127,7 @@ def ivf_search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k
 
     # No shuffle of the corpus: any task can score any document; sorting
     # inside each partition only groups a list's documents into one product.
-    local = assigned.sortWithinPartitions("list_id").mapInPandas(score, "query_id long, doc_id long, score double")
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
+    return assigned.sortWithinPartitions("list_id").mapInPandas(score, "query_id long, doc_id long, score double")
 
 
 def recall_at_k(approx: DataFrame, exact: DataFrame, k: int = 20) -> DataFrame:

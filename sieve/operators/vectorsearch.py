@@ -127,9 +127,10 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = 20, metric: str = "cosin
     w = Window.partitionBy("query_id").orderBy(F.col("key").asc(), F.col("doc_id").asc())
     ranked = (local.withColumn("rank", F.row_number().over(w))
               .where(F.col("rank") <= F.lit(k)))
-    kq = q.select(F.col("qid").alias("query_id"), "qk")
-    if kmax < k or (k_col and k_col in queries.columns):
-        ranked = ranked.join(F.broadcast(kq), "query_id").where(F.col("rank") <= F.col("qk"))
+    if k_col and k_col in queries.columns:
+        kq = q.select(F.col("qid").alias("query_id"), "qk")
+        kq = F.broadcast(kq) if n_q <= block else kq
+        ranked = ranked.join(kq, "query_id").where(F.col("rank") <= F.col("qk"))
     return ranked.select("query_id", F.col("rank").cast("int"), "doc_id", "score")
 
 

@@ -398,8 +398,7 @@ CLEAN_CAP = 40
 
 
 def q_clean_corpus(spark, sf):
-    d = read_table(spark, sf, "documents")
-    c = _corpus(spark, sf).join(d.select("doc_id", "source"), "doc_id")
+    c = _corpus(spark, sf).withColumn("source", F.col("tags")[1])
     rec = c.select("doc_id", "title", "body", F.col("source").alias("category"),
                    F.regexp_extract("source", r"(\d+)$", 1).cast("int").alias("category_order"),
                    F.col("doc_id").alias("listing_order"))
