@@ -58,9 +58,12 @@ def term_stats(post: DataFrame) -> DataFrame:
     return per_doc.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
-def write_postings(post: DataFrame, path: str, buckets: int = 64) -> None:
+def write_postings(post: DataFrame, path: str, buckets: int = 64, partitions: int | None = None) -> None:
     """T4 layout: postings clustered by term so that a lookup of a few terms
-    prunes Parquet row groups by min/max and whole files by bucket."""
+    prunes whole folders by bucket and Parquet row groups by min/max.  Range
+    partitioning on ``(term_bucket, term, doc_id)`` splits a hot term over
+    several writers instead of one."""
+    n = partitions or max(1, post.sparkSession.sparkContext.defaultParallelism)
     (post.withColumn("term_bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)))
-     .repartition("term_bucket").sortWithinPartitions("term", "doc_id", "pos")
+     .repartitionByRange(n, "term_bucket", "term", "doc_id").sortWithinPartitions("term", "doc_id", "pos")
      .write.mode("overwrite").partitionBy("term_bucket").parquet(path))

@@ -46,3 +46,13 @@ def test_ivf_all_lists_equals_exact(spark):
     rec = ivf.recall_at_k(ivf.ivf_search(qv, cents, assigned, k=5, nprobe=1), vs.knn(qv, vecs, k=5, k_col=None), 5)
     for r in rec.collect():
         assert 0.0 <= r.recall <= 1.0
+
+
+def test_write_postings_layout(spark, tmp_path):
+    from sieve.operators import analyze as an
+    c = corpus_df(spark, [("alpha beta", "beta gamma beta"), ("beta", "delta")])
+    path = str(tmp_path / "post")
+    an.write_postings(an.postings(c), path, buckets=4)
+    back = spark.read.parquet(path)
+    assert back.count() == 7
+    assert back.where("term = 'beta'").count() == 4
