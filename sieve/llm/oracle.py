@@ -2,4 +2,39 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+OP3 = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5(coalesce(doc_id::VARCHAR, '')) AS ord
+  FROM documents),
+per_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+weighed AS (
+  SELECT *, (CASE i WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END)::DOUBLE AS w, (CASE i WHEN 0 THEN -0.5 WHEN 1 THEN 0 ELSE 0.5 END)::DOUBLE AS tilt
+  FROM (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 AS i FROM per_source)),
+-- levels: with the sources of smaller ratio at their limit, the rest share what is left by weight
+levels AS (
+  SELECT a.source, a.source_size, a.w, a.tilt, 2.0::DOUBLE * a.source_size / a.w AS ratio,
+         ((SELECT 1.5::DOUBLE * sum(source_size) FROM weighed)
+           - coalesce((SELECT sum(2.0::DOUBLE * b.source_size) FROM weighed b WHERE 2.0::DOUBLE * b.source_size / b.w < 2.0::DOUBLE * a.source_size / a.w), 0))
+         / (SELECT sum(b.w) FROM weighed b WHERE 2.0::DOUBLE * b.source_size / b.w >= 2.0::DOUBLE * a.source_size / a.w) AS level
+  FROM weighed a),
+water AS (SELECT arg_min(level, ratio) AS level FROM levels WHERE level <= ratio),
+goals AS (
+  SELECT l.source, l.source_size, l.w, l.tilt,
+         CASE WHEN w.level IS NULL THEN 2.0 * l.source_size ELSE least(2.0 * l.source_size, w.level * l.w) END AS target
+  FROM levels l LEFT JOIN water w ON true),
+placed AS (
+  SELECT d.doc_id, d.size, g.source_size, g.target, g.w, g.tilt, round(g.target)::BIGINT AS goal,
+         (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS pos
+  FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
+taken AS (
+  SELECT *, greatest(0, least(size, goal - pos)) AS first_pass, greatest(0, least(size, goal - pos - source_size)) AS second_pass FROM placed),
+shares AS (
+  SELECT *, CASE WHEN first_pass > 0 THEN least((pos + first_pass / 2) / goal, 1.0) END AS u FROM taken)
+SELECT doc_id, size, source_size, round(target, 6) AS target, (first_pass + second_pass)::BIGINT AS taken,
+       ((first_pass > 0)::INT + (second_pass > 0)::INT) AS passes,
+       round(CASE WHEN u IS NOT NULL THEN least(1.0, 2 * u * w / (w * (1 - tilt) + sqrt(w * (1 - tilt) * w * (1 - tilt) + 4 * w * tilt * u * w))) END, 6) AS position
+FROM shares
+"""
+
+ORACLE: dict[str, str] = {"op3_curriculum_mix": OP3}

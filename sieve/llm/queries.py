@@ -3,12 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ._common import table
+from .decontaminate import leaks
 from .jaccard import jaccard_components
+from .mixing import curriculum
+from .token_files import read_token_files, write_token_files
 from .toxicity import score_documents
 
 
+def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = F.element_at("copies", 1)
+    return curriculum(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken", F.size("copies").alias("passes"),
+        F.round(F.when(F.size("copies") > 0, first["position"]), 6).alias("position")) \
+        .orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents")), with_ids=False)
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
@@ -17,4 +37,4 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op7_ngram_jaccard, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op3_curriculum_mix, op4_benchmark_leaks, op5_token_files, op7_ngram_jaccard, op10_toxicity)}
