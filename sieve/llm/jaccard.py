@@ -23,8 +23,8 @@ sets of sizes ``s1 <= s2`` with Jaccard similarity of ``t`` or more have
 
 Only the components are wanted, so a key's group isn't expanded into pairs.
 Each member is compared with the group's first one; members that still lie in
-another component than the first are compared, in growing rounds, with all
-members of other components.  When no such member is left, every pair that
+another component than the first are compared with the group's other members,
+by sketch inside the join, which yields only near pairs.  Then every pair that
 shares a key has been compared or is connected already, so no link that would
 join two components is lost.  Exact copies share one node (the fingerprint of
 the set) and aren't compared at all.
@@ -194,16 +194,21 @@ def groups(keys: DataFrame) -> DataFrame:
         .filter("size > 1")
 
 
+def _near(a: str, b: str, num: int, den: int):
+    """Size test, and the Hamming distance of the dense sketches with its test, of sides with columns ``n`` and ``s``."""
+    na, nb = F.col(f"n{a}"), F.col(f"n{b}")
+    far = sum((F.bit_count(F.col(f"s{a}")[i].bitwiseXOR(F.col(f"s{b}")[i])) for i in range(_SKETCH // 64)), F.lit(0))
+    return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & (far * (den + num) <= (na + nb) * (den - num)), far
+
+
+def _side(nodes: DataFrame, x: str) -> DataFrame:
+    return nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+
+
 def near_by_sketch(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """Of the node pairs ``(a, b)`` those that may link by size and Hamming distance, with it as ``far``."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"),
-                                  F.col("sketch").alias(f"s{x}"))
-    far = sum((F.bit_count(F.col("sa")[i].bitwiseXOR(F.col("sb")[i])) for i in range(_SKETCH // 64)), F.lit(0))
-    na, nb = F.col("na"), F.col("nb")
-    return pairs.join(side("a"), "a").join(side("b"), "b") \
-        .filter(den * F.least(na, nb) >= num * F.greatest(na, nb)) \
-        .withColumn("far", far).filter(F.col("far") * (den + num) <= (na + nb) * (den - num)) \
-        .select("a", "b", "far")
+    test, far = _near("a", "b", num, den)
+    return pairs.join(_side(nodes, "a"), "a").join(_side(nodes, "b"), "b").filter(test).select("a", "b", far.alias("far"))
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -279,21 +284,29 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     if not rest.isEmpty():
         link(rest)
 
-    # Members that aren't in the component of their group's first member.
+    # Members that aren't in the component of their group's first member meet the group's
+    # other members; the sketches are compared inside the join, which yields near pairs only.
     open_pairs = saved(apart(firsts), "jac-open")
-    wide = met.filter("size > 2").join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b"))) \
-        .select("key", "node", "first", "place")
-    wide = saved(wide, "jac-wide")
-    low, high = 2, 10
-    while not (todo := wide.filter(F.col("place") >= low)).isEmpty():
-        hubs = apart(todo.filter(F.col("place") < high).withColumnsRenamed({"node": "a", "first": "b"})) \
-            .select("key", F.col("a").alias("b"))
-        more = met.filter("size > 2 and place > 1").select("key", F.col("node").alias("a")).join(hubs, "key").filter("a != b") \
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        more = saved(near_by_sketch(saved(apart(more), "jac-more"), nodes, num, den), "jac-close")
+    wide = met.filter("size > 2 AND place > 1").select("key", "node", "first")
+    hubs = wide.join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b"))).select("key", "node")
+    hubs = saved(hubs, "jac-hubs")
+    if not hubs.isEmpty():
+        keys = hubs.select("key").distinct()
+        members = wide.select("key", "node").join(keys, "key", "left_semi")
+
+        def labelled(rows: DataFrame, x: str) -> DataFrame:
+            rows = rows.withColumnRenamed("node", x).join(_side(nodes, x), x)
+            if state["labels"] is None:
+                return rows.withColumn(f"l{x}", F.col(x))
+            lab = state["labels"].select(F.col("node").alias(x), F.col("label").alias("l"))
+            return rows.join(lab, x, "left").withColumn(f"l{x}", F.coalesce("l", x)).drop("l")
+
+        test, _ = _near("a", "b", num, den)
+        left, right = labelled(members, "a"), labelled(hubs, "b")
+        more = left.join(right, (left.key == right.key) & (F.col("la") != F.col("lb")) & test)
+        more = saved(more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "jac-more")
         if not more.isEmpty():
             link(more)
-        low, high = high, high * 8
 
     out = sig.select("doc_id", "n_shingles", "node")
     label = F.col("node")
