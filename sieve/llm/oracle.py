@@ -37,4 +37,34 @@ SELECT doc_id, size, source_size, round(target, 6) AS target, (first_pass + seco
 FROM shares
 """
 
-ORACLE: dict[str, str] = {"op3_curriculum_mix": OP3}
+OP1 = r"""
+WITH calls AS (
+  SELECT conv_id, turn, 'call_' || conv_id || '_' || turn AS call_id, min(text) AS text, count(*) AS n
+  FROM conversations WHERE role = 'user' GROUP BY conv_id, turn),
+results AS (
+  SELECT conv_id, turn, 'call_' || conv_id || '_' || (turn - 1) AS call_id, min(text) AS content, count(*) AS n
+  FROM conversations WHERE role = 'assistant' GROUP BY conv_id, turn)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, 0 AS level,
+       coalesce(c.turn, r.turn) AS position,
+       CASE WHEN c.call_id IS NULL THEN 'orphan_result' WHEN r.call_id IS NULL THEN 'missing_result' ELSE 'linked' END AS status,
+       true AS valid, '' AS errors, coalesce(c.n, 0)::INT AS n_calls, coalesce(r.n, 0)::INT AS n_results,
+       '{"arguments":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '{"chars":' || length(c.text) || ',"text":' || to_json(c.text) || ',"turn":' || c.turn || '}' END
+         || ',"id":"' || coalesce(c.call_id, r.call_id) || '","name":' || CASE WHEN c.call_id IS NULL THEN 'null' ELSE '"reply"' END
+         || ',"result":' || coalesce(to_json(r.content)::VARCHAR, 'null') || '}' AS canonical
+FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+"""
+
+OP6 = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+terms AS (SELECT vec_id, unnest(v) AS w, generate_subscripts(v, 1) AS t FROM good),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.w * c.w)::BIGINT AS score
+  FROM terms q JOIN terms c ON q.t = c.t AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op1_tool_calls": OP1, "op3_curriculum_mix": OP3, "op6_topk_search": OP6}

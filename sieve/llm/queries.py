@@ -9,10 +9,18 @@ from ._common import table
 from .decontaminate import leaks
 from .jaccard import jaccard_components
 from .mixing import curriculum
+from .secrets import scan
+from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
+from .tool_calls import calls_of_conversations, link_calls
+from .topk import scaled, top_k
 from .toxicity import score_documents
 
 
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_calls(*calls_of_conversations(table(spark, sf_dir, "conversations")))
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.element_at("copies", 1)
     return curriculum(table(spark, sf_dir, "documents")).select(
@@ -29,12 +37,28 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(write_token_files(table(spark, sf_dir, "documents")), with_ids=False)
 
 
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), scaled(F.col("embedding")).alias("terms"))
+    return top_k(rows.filter("id % 100 = 0"), rows, 10).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op3_curriculum_mix, op4_benchmark_leaks, op5_token_files, op7_ngram_jaccard, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (
+    op1_tool_calls, op3_curriculum_mix, op4_benchmark_leaks, op5_token_files, op6_topk_search, op7_ngram_jaccard, op8_secret_scan,
+    op9_token_counts, op10_toxicity)}

@@ -4,8 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieve.llm.mixing import curriculum, integrated, mixed, targets, training_time
-from sieve.llm.oracle import ORACLE
-from sieve.llm.queries import QUERIES
 
 
 def test_targets_match_plain_iteration(spark):
@@ -67,12 +65,6 @@ def test_taken_words(spark):
     assert len(out) == sum(len(r.copies) for r in whole) and set(out[0].asDict()) == {"doc_id", "source", "text"}
 
 
-def test_sql(spark):
-    from oracle_harness import compare
-    sf = "/root/testdata/sf0.001"
-    r = compare(spark, QUERIES["op3_curriculum_mix"], ORACLE["op3_curriculum_mix"], sf)
-    assert r["cols_ok"] and r["values_ok"], r
-
 
 def test_edges(spark):
     schema = "doc_id long, source string, text string, size string, key long"

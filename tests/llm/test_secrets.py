@@ -1,0 +1,26 @@
+"""Secret scan: planted findings, candidates by brute force, edge cases."""
+
+import re
+
+from sieve.llm.secrets import CANDIDATE, candidates, scan
+
+
+def test_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = docs.collect()
+    want = sorted((r.doc_id, i, m) for r in rows for i, m in enumerate(re.findall(CANDIDATE, r.text)) if re.search("[0-9]", m))
+    assert sorted((r.doc_id, r.place, r.value) for r in candidates(docs).collect()) == want
+    got = {(r.doc_id, r.place): r for r in scan(docs).collect()}
+    assert len(got) == len(want)
+    planted = {(d, i) for d, i, m in want if re.search(r'token = "' + re.escape(m), next(r.text for r in rows if r.doc_id == d))}
+    assert planted and all(got[k].is_secret for k in planted)
+    assert sum(r.is_secret for r in got.values()) <= len(planted) + 0.02 * len(want)
+
+
+def test_edges(spark):
+    key = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"
+    df = spark.createDataFrame([(1, None, 0), (2, "", 0), (None, f'token = "{key}"', 1), (3, f"{key} {key}", 1), (4, "word " * 50_000 + key, 1)],
+                               "doc_id long, text string, score int")
+    got = scan(df).collect()
+    assert len(got) == 4 and len({r.sha256 for r in got}) == 1
+    assert scan(df.limit(2)).count() == 0
