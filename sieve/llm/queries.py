@@ -10,6 +10,7 @@ from .decontaminate import leaks
 from .jaccard import jaccard_components
 from .mixing import curriculum
 from .secrets import scan
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
 from .tool_calls import calls_of_conversations, link_calls
@@ -21,6 +22,10 @@ def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_calls(*calls_of_conversations(table(spark, sf_dir, "conversations")))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=100)
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = F.element_at("copies", 1)
     return curriculum(table(spark, sf_dir, "documents")).select(
@@ -60,5 +65,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_tool_calls, op3_curriculum_mix, op4_benchmark_leaks, op5_token_files, op6_topk_search, op7_ngram_jaccard, op8_secret_scan,
+    op1_tool_calls, op2_suffix_dedup, op3_curriculum_mix, op4_benchmark_leaks, op5_token_files, op6_topk_search, op7_ngram_jaccard, op8_secret_scan,
     op9_token_counts, op10_toxicity)}
