@@ -18,8 +18,10 @@ removed (all bytes it covers), judged on the input.
   logarithmically many.
 * **Long matches of part of a context.**  Where one 32-byte prefix has several
   contexts, only some of an entry's strings may repeat (the ends of a passage,
-  the places around an edit).  For those entries alone the strings are hashed
-  one by one from the text, and all but the first of equal hashes repeat.
+  the places around an edit).  A string holds 34 more bytes at least on one side
+  of its anchor, so such an entry must first share that longer match with
+  another; only then are the strings of that side hashed one by one from the
+  text, and all but the first of equal hashes repeat.
 * **Removal.**  Repeated strings are merged into byte runs by document, and the
   rest of each text is hashed.
 
@@ -90,7 +92,7 @@ def string_hashes(b: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def entries(b: np.ndarray, length: int):
-    """``key, ctx, start, n`` of the entries of one text: ``n`` strings from ``start`` on share an anchor."""
+    """``key, ctx, start, n, off`` of the entries of one text: ``n`` strings from ``start`` on share the anchor at ``start + off``."""
     half = 1 << (BITS - 1)
     out = []
     for lo in range(0, max(0, len(b) - length + 1), half):
@@ -107,8 +109,12 @@ def entries(b: np.ndarray, length: int):
         start = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
         count = np.diff(np.append(start, n))
         ctx = _join(_join(strings[start], strings[start + count - 1]), count.astype(np.uint64))
-        out.append((grams[anchor[start]].view(np.int64), ctx.view(np.int64), start + lo, count))
-    return [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 4
+        out.append((grams[anchor[start]].view(np.int64), ctx.view(np.int64), start + lo, count, anchor[start] - start))
+    return [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 5
+
+
+def _pack(start, n, off):
+    return (start * 128 + n - 1) * 128 + off
 
 
 def _bytes(text) -> np.ndarray:
@@ -116,14 +122,14 @@ def _bytes(text) -> np.ndarray:
 
 
 def index_entries(docs: DataFrame, length: int) -> DataFrame:
-    """``key, ctx, doc, at`` of ``docs (doc, base, text)``; ``at`` packs ``(base + start) * 128 + n - 1``."""
+    """``key, ctx, doc, at`` of ``docs (doc, base, text)``; ``at`` packs ``base + start``, ``n - 1`` and ``off``."""
     def run(batches):
         with np.errstate(over="ignore"):
             for b in batches:
                 cols, rows = [[], [], [], []], 0
                 for doc, base, text in zip(*(c.to_pylist() for c in b.columns)):
-                    key, ctx, start, n = entries(_bytes(text), length)
-                    for c, v in zip(cols, (key, ctx, np.full(len(key), doc), (start + base) * 128 + n - 1)):
+                    key, ctx, start, n, off = entries(_bytes(text), length)
+                    for c, v in zip(cols, (key, ctx, np.full(len(key), doc), _pack(start + base, n, off))):
                         c.append(v)
                     rows += len(key)
                     if rows >= 200_000:
@@ -171,25 +177,58 @@ def _texts_of(docs: DataFrame, by_doc: DataFrame, rows: int) -> DataFrame:
     return docs.join(F.broadcast(by_doc) if rows <= BROADCAST_IDS else by_doc, ["doc", "base"])
 
 
+def _of_doc(ats, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``start, n, off`` of packed entries."""
+    ats = np.array(ats, np.int64)
+    return (ats >> 14) - base, (ats >> 7 & 127) + 1, ats & 127
+
+
+def longer_matches(docs: DataFrame, rivals: DataFrame, length: int) -> DataFrame:
+    """``doc, at, side`` of the rivals that share a longer match on a side (0 left, 1 right) with another."""
+    rivals = saved(rivals.distinct().withColumn("base", F.shiftright("at", 54) * F.lit(BASE)), "suffix-rivals")
+    far = (length - GRAM) // 2
+
+    def run(batches):
+        with np.errstate(over="ignore"):
+            for b in batches:
+                for doc, base, text, ats in zip(*(c.to_pylist() for c in b.columns)):
+                    start, n, off = _of_doc(ats, base)
+                    grams = string_hashes(_bytes(text), length)[0]
+                    anchor, ats = start + off, np.array(ats, np.int64)
+                    left, right = off >= far, start + n - 1 + length >= anchor + GRAM + far
+                    h = np.concatenate((_join(grams[anchor[left] - far], grams[anchor[left]]), _join(grams[anchor[right]], grams[anchor[right] + far])))
+                    yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(np.full(len(h), doc)), pa.array(np.concatenate((ats[left], ats[right]))),
+                                           pa.array(np.repeat([0, 1], [left.sum(), right.sum()]).astype(np.int32))], names=["match", "doc", "at", "side"])
+
+    by_doc = rivals.groupBy("doc", "base").agg(F.collect_list("at").alias("ats"))
+    rows = _texts_of(docs, by_doc, rivals.count()).select("doc", "base", "text", "ats").mapInArrow(run, "match long, doc long, at long, side int")
+    by = W.partitionBy("match", "side")
+    place = F.struct("doc", "at")
+    return rows.select("doc", "at", "side", F.min(place).over(by).alias("low"), F.max(place).over(by).alias("high")) \
+        .filter("low != high").select("doc", "at", "side").distinct()
+
+
 def repeated_parts(docs: DataFrame, rivals: DataFrame, length: int) -> DataFrame:
     """``doc, at`` of the single strings of ``rivals`` that an earlier one equals."""
-    rivals = saved(rivals.distinct().withColumn("base", F.shiftright("at", 47) * F.lit(BASE)), "suffix-rivals")
-    n = rivals.count()
-    by_doc = rivals.groupBy("doc", "base").agg(F.collect_list("at").alias("ats"))
+    rivals = saved(longer_matches(docs, rivals, length).withColumn("base", F.shiftright("at", 54) * F.lit(BASE)), "suffix-longer")
+    far = (length - GRAM) // 2
 
     def run(batches):
         with np.errstate(over="ignore"):
             for b in batches:
-                for doc, base, text, ats in zip(*(c.to_pylist() for c in b.columns)):
-                    ats = np.array(ats, np.int64)
-                    start, n = (ats >> 7) - base, (ats & 127) + 1
-                    raw = _bytes(text)
-                    strings = string_hashes(raw, length)[1]
-                    place = np.repeat(start, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                for doc, base, text, ats, sides in zip(*(c.to_pylist() for c in b.columns)):
+                    start, n, off = _of_doc(ats, base)
+                    strings = string_hashes(_bytes(text), length)[1]
+                    inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                    place = np.repeat(start, n) + inner
+                    place = place[(np.repeat(off, n) - inner >= far) == (np.repeat(np.array(sides), n) == 0)]
                     yield pa.record_batch([pa.array(strings[place].view(np.int64)), pa.array(np.full(len(place), doc)),
-                                           pa.array((place + base) * 128)], names=["string", "doc", "at"])
+                                           pa.array(_pack(place + base, 1, 0))], names=["string", "doc", "at"])
 
-    strings = _texts_of(docs, by_doc, n).select("doc", "base", "text", "ats").mapInArrow(run, "string long, doc long, at long")
+    by_doc = rivals.groupBy("doc", "base").agg(F.collect_list(F.struct("at", "side")).alias("x")) \
+        .select("doc", "base", F.col("x.at").alias("ats"), F.col("x.side").alias("sides"))
+    strings = _texts_of(docs, by_doc, rivals.count()).select("doc", "base", "text", "ats", "sides") \
+        .mapInArrow(run, "string long, doc long, at long")
     order = W.partitionBy("string").orderBy("doc", "at")
     first = F.first(F.struct("doc", "at")).over(order)  # equal rows are one document: their own first place isn't earlier
     return strings.withColumn("first", first).filter("doc != first.doc OR at != first.at").select("doc", "at").distinct()
@@ -197,9 +236,8 @@ def repeated_parts(docs: DataFrame, rivals: DataFrame, length: int) -> DataFrame
 
 def _runs(ats, length: int, base: int) -> tuple[list[int], list[int]]:
     """Maximal byte runs covered by packed strings."""
-    ats = np.sort(np.array(ats, np.int64))
-    start = (ats >> 7) - base
-    end = np.maximum.accumulate(start + (ats & 127) + length)
+    start, n, _ = _of_doc(np.sort(np.array(ats, np.int64)), base)
+    end = np.maximum.accumulate(start + n - 1 + length)
     cut = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
     return start[cut].tolist(), end[np.append(cut[1:], len(start)) - 1].tolist()
 
@@ -264,7 +302,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 2, id_col:
 
 def _merged(ats: DataFrame, length: int) -> DataFrame:
     """``doc, base, starts, ends``: maximal byte runs by document (a group is one document's strings)."""
-    by_doc = ats.withColumn("base", F.shiftright("at", 47) * F.lit(BASE)).groupBy("doc", "base").agg(F.collect_list("at").alias("ats"))
+    by_doc = ats.withColumn("base", F.shiftright("at", 54) * F.lit(BASE)).groupBy("doc", "base").agg(F.collect_list("at").alias("ats"))
 
     def run(batches):
         for b in batches:

@@ -75,8 +75,8 @@ def test_anchors_cover_every_string_once():
     r = np.random.default_rng(1)
     b = r.integers(97, 100, 3000).astype(np.uint8)
     with np.errstate(over="ignore"):
-        key, ctx, start, n = entries(b, 100)
-        assert start.tolist() == [0, *np.cumsum(n)[:-1].tolist()] and n.sum() == 2901 and n.max() <= 69
+        key, ctx, start, n, off = entries(b, 100)
+        assert start.tolist() == [0, *np.cumsum(n)[:-1].tolist()] and n.sum() == 2901 and n.max() <= 69 and off.max() <= 68
         grams, strings = string_hashes(b, 100)
         assert len(grams) == 2969 and len(strings) == 2901
         moved = entries(np.concatenate((b[:7], b)), 100)  # the same text further on has the same entries
