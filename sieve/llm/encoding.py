@@ -3,8 +3,10 @@
 A byte-level BPE tokenizer first splits a text into pieces and no token spans
 two of them.  White space only ever begins a piece, so a cut before a space
 that follows something other than white space never changes the result.  Texts
-are cut there, and the ids of each distinct chunk are kept in a bounded cache;
-``tests/llm`` compares with encoding whole texts.  Texts in which the string of
+are cut there, and the ids of each distinct chunk are kept in a bounded cache; a chunk
+not seen yet is also cut around a lone line end and before a mark that follows
+a letter, which are ends of pieces too.  ``tests/llm`` compares with encoding
+whole texts.  Texts in which the string of
 an added token may occur are encoded whole."""
 
 from __future__ import annotations
@@ -16,8 +18,9 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Chunks in a task's cache (about 200 bytes each).
-CACHE = 300_000
+CACHE = 600_000
 _CUT = re.compile(r"(?<=\S)(?= )")
+_LINE = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _ODD = re.compile(r"\s ")
 _LOADED: dict[str, ChunkEncoder] = {}
 
@@ -32,9 +35,15 @@ class ChunkEncoder(dict):
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
 
     def __missing__(self, chunk: str) -> bytes:
+        if "\n" in chunk and len(parts := _LINE.split(chunk)) > 1:
+            return b"".join(map(self.__getitem__, parts))
+        if len(chunk) > 2 and chunk[-1] in ".,;:!?" and chunk[-2] < "\u0250" and chunk[-2].isalpha():
+            ids = self[chunk[:-1]] + self[chunk[-1]]
+        else:
+            ids = self.whole(chunk)
         if len(self) >= CACHE:
             self.clear()
-        ids = self[chunk] = self.whole(chunk)
+        self[chunk] = ids
         return ids
 
     def whole(self, text: str) -> bytes:

@@ -19,7 +19,7 @@ def plain():
 
 def test_chunked_ids_equal_whole_texts():
     t, e, r = plain(), encoder(default_tokenizer()), random.Random(2)
-    parts = [" ", "  ", "\n", "\t", "\x1c", " ", " ", "a", "don't", "'s", "1", "23", "é", "…", "!?", "😀", "中文", "_", "\x00", "Word", "<|endoftext|>", "\r\n", "\x85"]
+    parts = [" ", "  ", "\n", "\t", "\x1c", " ", " ", "a", "don't", "'s", "1", "23", "é", "…", "!?", ".", ",", "b", "\n", "😀", "中文", "_", "\x00", "Word", "<|endoftext|>", "\r\n", "\x85"]
     texts = ["", " ", "a", " a", "a ", "a  b", "a \nb", "a\n b", "a\n  b  "] + ["".join(r.choice(parts) for _ in range(r.randrange(1, 25))) for _ in range(3000)]
     for x in texts:
         assert np.frombuffer(e.ids(x), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, repr(x)
