@@ -20,6 +20,10 @@ BIGRAM_WEIGHT = 0.5
 WORD_PATTERN = r"[\p{L}\p{N}]+"
 
 
+# White space of JavaScript's trim: tab to carriage return, all Unicode separators, U+FEFF.
+BLANK = r"[\t\n\x0B\f\r\p{Z}\uFEFF]"
+
+
 def embed_tokens(text: Column) -> Column:
     """V1: lower-case, split on non ``[a-z0-9]``, keep tokens of length >= 2.
 
@@ -56,7 +60,7 @@ def word_tokens(text: Column) -> Column:
 
 def js_trim(s: Column) -> Column:
     """JavaScript ``String.trim``: strips all leading / trailing white space."""
-    return F.regexp_replace(s, r"^\s+|\s+$", "")
+    return F.regexp_replace(s, f"^{BLANK}+|{BLANK}+$", "")
 
 
 def is_blank(q: Column) -> Column:

@@ -44,7 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points to shared storage and is used as is.
-    Only when it is unset (local tests) a fresh scratch folder is taken.
+    When it is unset, a fresh scratch folder is taken in local mode (tests);
+    on a cluster that is an error, as no machine-local folder is shared.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -57,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             path = None
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="sieve-ckpt-")
     sc.setCheckpointDir(path)
     return path
