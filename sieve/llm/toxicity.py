@@ -83,22 +83,28 @@ class WordCodes(dict):
         """``learned``: ``(word or beginning, whether strong)``; a beginning ends in ``*``."""
         super().__init__()
         self.lexicon, self.learned = frozenset(lexicon), dict(learned)
+        self.masked = {w[:i] + w[i + 1:] for w in self.lexicon if len(w) > 3 for i in range(1, len(w) - 1)}
 
     def __missing__(self, word: str) -> int:
         core = _EDGE.sub("", word.lower())
         found = [self.learned.get(core)] + [self.learned.get(f"{core[:k]}*") for k in STEMS if len(core) >= k]
         code = _LEX * (core in self.lexicon) + _SECOND * (core in SECOND_PERSON) + _STRONG * (True in found)
         code |= _LEARNED * (True in found or False in found)
-        letters = sum(c.isalpha() for c in core)
+        letters = len(core) if core.isalpha() else sum(map(str.isalpha, core))
         if letters and letters < len(core):
             code |= _MIXED
-        if not code & (_LEX | _LEARNED) and len(core) > 2:
-            plain = [core.translate(LEET), word.lower().strip(".,;:?\"'()").translate(LEET)]
+        body = word.lower().strip(".,;:?\"'()")
+        plain = []
+        if not body.isalpha():  # digits and symbols in place of letters
+            plain = [core.translate(LEET), body.translate(LEET)]
             plain += ["".join(c for c in x if c.isalpha()) for x in plain]
-            plain += [_RUN.sub(r"\1", x) for x in plain] + ["".join(
-                c for c in unicodedata.normalize("NFKD", core) if not unicodedata.combining(c))]
-            if any(x in self.lexicon or self.learned.get(x) for x in plain):
-                code |= _OBF
+        if _RUN.search(body):
+            plain += [_RUN.sub(r"\1", x) for x in (core, *plain)]
+        if not core.isascii():
+            plain.append("".join(c for c in unicodedata.normalize("NFKD", core) if not unicodedata.combining(c)))
+        if not code & (_LEX | _LEARNED) and len(core) > 2 and any(
+                x in self.lexicon or self.learned.get(x) or "*" in body and x in self.masked for x in plain):
+            code |= _OBF
         if letters > 1 and word.upper() == word and word.lower() != word:
             code |= _SHOUT
         if _RUN.search(core):
