@@ -23,8 +23,9 @@ sets of sizes ``s1 <= s2`` with Jaccard similarity of ``t`` or more have
 
 Only the components are wanted, so a key's group isn't expanded into pairs.
 Each member is compared with the group's first one; members that still lie in
-another component than the first are compared with the group's other members,
-by sketch inside the join, which yields only near pairs.  Then every pair that
+another component than the first get a first member of their own, twice; those
+still apart are compared with the group's other members, by sketch inside the
+join, which yields only near pairs.  Then every pair that
 shares a key has been compared or is connected already, so no link that would
 join two components is lost.  Exact copies share one node (the fingerprint of
 the set) and aren't compared at all.
@@ -52,6 +53,7 @@ from .components import components
 
 _WORDS = 400_000          # bound of the word-hash cache of a task
 _SKETCH = 1024            # bits of the dense sketch
+EXTRA_LEADERS = 2         # rounds of further leading members before members are compared with all others
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
 
@@ -257,7 +259,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "jac-nodes")
     met = saved(groups(block_keys(docs, n, scheme)), "jac-groups")
 
-    state = {"edges": None, "labels": None}
+    state = {"labels": None}
 
     def apart(pairs: DataFrame) -> DataFrame:
         """Pairs whose ends lie in different components so far."""
@@ -271,9 +273,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         """Verify the candidate pairs; the links join components."""
         new = saved(verified(pairs.select("a", "b"), nodes, docs, n, num, den), "jac-links")
         if not new.isEmpty():
-            known = new if state["edges"] is None else state["edges"].union(new)
-            state["labels"] = components(known.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            state["edges"] = known
+            edges = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
+            if state["labels"] is not None:  # a component so far is the star of its label
+                edges = edges.union(state["labels"].filter("node != label").select(F.col("node").alias("u"), F.col("label").alias("v")))
+            state["labels"] = components(edges)
 
     firsts = saved(met.filter("place > 1").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "jac-firsts")
     close = saved(near_by_sketch(firsts, nodes, num, den), "jac-close")
@@ -284,10 +287,25 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     if not rest.isEmpty():
         link(rest)
 
+    wide = met.filter("size > 2 AND place > 1").select("key", "node", "first")
+    # Members apart from their group's first member often link among themselves: the smallest of them leads the others.
+    for _ in range(EXTRA_LEADERS if not wide.isEmpty() else 0):
+        open_pairs = saved(apart(firsts), "jac-open")
+        left = wide.join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b"))).select("key", "node")
+        if state["labels"] is not None:  # members of one component need one leader only, so the next is of another
+            left = left.join(state["labels"], "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        else:
+            left = left.withColumn("label", F.col("node"))
+        lead = F.min(F.struct("label", "node")).over(W.partitionBy("key"))
+        pairs = left.withColumn("lead", lead).filter("label != lead.label").select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct()
+        pairs = saved(near_by_sketch(pairs, nodes, num, den), "jac-led")
+        if pairs.isEmpty():
+            break
+        link(pairs.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
+
     # Members that aren't in the component of their group's first member meet the group's
     # other members; the sketches are compared inside the join, which yields near pairs only.
     open_pairs = saved(apart(firsts), "jac-open")
-    wide = met.filter("size > 2 AND place > 1").select("key", "node", "first")
     hubs = wide.join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b"))).select("key", "node")
     hubs = saved(hubs, "jac-hubs")
     if not hubs.isEmpty():
