@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .._ship import ensure_package
 from ..functions.text import is_blank
+from .limits import cut, query_limits
 
 DEFAULT_MAX_TERMS = 1_000_000
 
@@ -59,10 +60,11 @@ def overlap_search(corpus: DataFrame, queries: DataFrame, k: int = 20,
     bc = spark.sparkContext.broadcast((np.array(qids, dtype=np.int64), vocab, weights))
     docs = corpus.select(F.col("doc_id").cast("long"), F.coalesce("title", F.lit("")).alias("title"),
                          F.coalesce("body", F.lit("")).alias("body"))
+    k, limits = query_limits(q, k)
     local = docs.mapInPandas(_overlap_scorer(bc, k), "query_id long, doc_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
+    return cut(local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k), limits) \
+        .select("query_id", "rank", "doc_id", "score")
 
 
 def _overlap_scorer(bc, k):

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .limits import cut, query_limits
+
 RRF_K = 60
 
 
@@ -23,10 +25,12 @@ def minmax(hits: DataFrame) -> DataFrame:
 
 
 def blend(text_hits: DataFrame, vector_hits: DataFrame, text_weight: float = 0.5,
-          vector_weight: float = 0.5, k: int = 20) -> DataFrame:
+          vector_weight: float = 0.5, k: int = 20, queries: DataFrame | None = None) -> DataFrame:
     """H2+H3 (+X3 columns): full outer merge by document, missing side counts
     0 and is reported null; ``blended = wt * tn + wv * vn``; ranked by the
-    6-place blended score, ties in text-list order, then vector-only order."""
+    6-place blended score, ties in text-list order, then vector-only order; cut
+    at each query's own ``k`` if ``queries`` has one."""
+    k, limits = query_limits(queries, k)
     t = minmax(text_hits).select("query_id", "doc_id", F.col("score").alias("text_raw"),
                                  F.col("norm").alias("text_norm"), F.col("rank").alias("text_rank"))
     v = minmax(vector_hits).select("query_id", "doc_id", F.col("score").alias("vector_raw"),
@@ -38,22 +42,23 @@ def blend(text_hits: DataFrame, vector_hits: DataFrame, text_weight: float = 0.5
     w = Window.partitionBy("query_id").orderBy(
         F.col("blended").desc(), F.col("text_rank").isNull().asc(),
         F.coalesce("text_rank", "vector_rank").asc())
-    r = m.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+    r = cut(m.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k), limits)
     return r.select("query_id", "rank", "doc_id", F.col("blended").alias("score"),
                     "text_raw", "text_norm", "vector_raw", "vector_norm",
                     F.lit(text_weight).alias("text_weight"), F.lit(vector_weight).alias("vector_weight"))
 
 
-def rrf(hit_lists: list[DataFrame], k: int = 20, c: int = RRF_K) -> DataFrame:
-    """H4: reciprocal rank fusion, ``sum(1 / (c + rank))`` over the lists."""
+def rrf(hit_lists: list[DataFrame], k: int = 20, c: int = RRF_K, queries: DataFrame | None = None) -> DataFrame:
+    """H4: reciprocal rank fusion, ``sum(1 / (c + rank))`` over the lists; cut as ``blend``."""
+    k, limits = query_limits(queries, k)
     u = hit_lists[0].select("query_id", "doc_id", "rank")
     for h in hit_lists[1:]:
         u = u.unionByName(h.select("query_id", "doc_id", "rank"))
     s = u.groupBy("query_id", "doc_id").agg(F.sum(F.lit(1.0) / (F.lit(c) + F.col("rank"))).alias("score"))
     s = s.withColumn("score", F.round("score", 6) + F.lit(0.0))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (s.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
+    return cut(s.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k), limits) \
+        .select("query_id", "rank", "doc_id", "score")
 
 
 def overlap(text_hits: DataFrame, vector_hits: DataFrame, hybrid_hits: DataFrame,

@@ -132,17 +132,19 @@ def lookup_ids(corpus: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> Dat
 
 # -- S10 ---------------------------------------------------------------------
 
-def clean_corpus(records: DataFrame, cap: int, min_chars: int = 120) -> DataFrame:
+def clean_corpus(records: DataFrame, cap: int | None = None, min_chars: int = 120) -> DataFrame:
     """S10 on ``records(doc_id, title, body, category, category_order, listing_order)``.
 
-    Order matters: per-category cap first (top-``cap`` by listing order, a
+    Order matters: per-category cap first, if any (top-``cap`` by listing order, a
     ``row_number() <= cap`` that Spark limits map-side), then de-duplication
     by title where the first category wins (an aggregate, so a title shared
     by a third of all rows is combined map-side), and only then the text
     filters -- a title whose text is dropped is not retried elsewhere.  The
     tag is the category with ``_`` as space, lower-cased."""
-    w = Window.partitionBy("category").orderBy("listing_order", "doc_id")
-    capped = records.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap).drop("_r")
+    capped = records
+    if cap is not None:
+        w = Window.partitionBy("category").orderBy("listing_order", "doc_id")
+        capped = records.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= cap).drop("_r")
     first = (capped.groupBy("title").agg(F.min(F.struct("category_order", "listing_order", "doc_id"))
                                          .alias("_m"))
              .select(F.col("_m.doc_id").alias("doc_id")))

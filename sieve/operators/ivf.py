@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._ship import ensure_package
+from .limits import cut, query_limits
 from .vectorsearch import DEFAULT_MAX_BROADCAST, _local_topk, _score_matrix
 
 
@@ -67,6 +68,7 @@ def ivf_search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k
     ensure_package(spark)
     q = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vec).alias("qv"))
     n_q = q.count()
+    k, limits = query_limits(queries, k, query_id)
     if n_q == 0:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     d = centroids.shape[1]
@@ -84,8 +86,8 @@ def ivf_search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k
     for p_ in parts[1:]:
         local = local.unionByName(p_)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return (local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
-            .select("query_id", "rank", "doc_id", "score"))
+    return cut(local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k), limits) \
+        .select("query_id", "rank", "doc_id", "score")
 
 
 def _ivf_block(spark, rows, centroids, assigned, k, nprobe, vec):

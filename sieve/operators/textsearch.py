@@ -25,19 +25,25 @@ Cover score = ``n_hits / sum(1/weight) / (1 + gaps)`` with
 ``gaps = (end_pos - start_pos) - (end_idx - start_idx)``.  Hits are the
 positions of the query's positive words (any clause) in the document.
 
-Deviation (stated): a clause made only of negated items matches nothing
-(a pure ``-word`` query would otherwise match almost every document), and
-negated words are not part of the hit list used for covers.
+A clause of negated items only matches every document without them; documents
+that match by such clauses alone have score 0 and rank by id after all others.
+For the ranked form only the first ``k + (documents with the negated items)``
+ids of each such clause are tried, which is enough to fill ``k`` places, so
+no queries x corpus table arises.  A query of one word needs no covers: its
+score is the sum of the word's weights.
+
+Deviation (stated): negated words are not part of the hit list used for covers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import is_blank, limit_rule
+from ..functions.text import is_blank
 from ..session import materialize
 from .analyze import postings as build_postings
+from .limits import cut, query_limits
 from .query_terms import query_terms
 
 QK = ["query_id", "doc_id"]
@@ -54,30 +60,33 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 
 def match_hits(post: DataFrame, qt: DataFrame,
                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
-    """Return ``(hits, occ, matched, n_pos)`` for the query term table."""
+    """Return ``(hits, occ, matched, n_pos, pos_ok)`` for the query term table.
+
+    ``pos_ok`` holds the ``(query_id, clause_id, doc_id)`` whose positive items all occur."""
     vocab = bounded_broadcast(materialize(qt.select("term").distinct()), max_broadcast_rows)
     cf = post.join(vocab, "term", "left_semi").groupBy("term").agg(F.count("*").alias("cf"))
     posw = qt.where(~F.col("negated"))
-    a = posw.select("query_id", "clause_id", "term").distinct().join(cf, "term")
+    a = posw.select("query_id", "clause_id", "term").distinct().join(cf, "term", "left")
     wa = Window.partitionBy("query_id", "clause_id").orderBy(F.col("cf").asc(), F.col("term").asc())
     wn = Window.partitionBy("query_id", "clause_id")
     anchors = (a.select("query_id", "clause_id", "term", F.row_number().over(wa).alias("_r"),
-                        F.count("*").over(wn).alias("_nt"))
+                        F.count("*").over(wn).alias("_nt"), F.count("cf").over(wn).alias("_known"))
+               .where("_known = _nt")  # a word that occurs nowhere: the clause can't match
                .where(F.col("_r") <= ANCHORS_PER_CLAUSE)
                .select("query_id", "clause_id", "term",
                        F.least(F.col("_nt"), F.lit(ANCHORS_PER_CLAUSE)).alias("_need")))
     anchors = bounded_broadcast(materialize(anchors, "anchors"), max_broadcast_rows)
-    cand = (post.select("term", "doc_id").distinct().join(anchors, "term")
-            .groupBy("query_id", "clause_id", "doc_id", "_need").agg(F.count("*").alias("_have"))
+    cand = (post.select("term", "doc_id").join(anchors, "term")
+            .groupBy("query_id", "clause_id", "doc_id", "_need").agg(F.countDistinct("term").alias("_have"))
             .where(F.col("_have") == F.col("_need")).select(*QK).distinct())
     exp = cand.join(qt, "query_id")
     hits = materialize(exp.join(post.select("doc_id", "term", "pos", "w"), ["doc_id", "term"]))
     occ = materialize(
         hits.groupBy("query_id", "clause_id", "item_id", "negated", "n_words", "doc_id",
                      (F.col("pos") - F.col("offset")).alias("start"))
-        .agg(F.count("*").alias("_c"), F.max("offset").alias("_mo"))
+        .agg(F.count("*").alias("_c"), F.max("offset").alias("_mo"), F.min("offset").alias("_lo"))
         .where(F.col("_c") == F.col("n_words"))
-        .select("query_id", "clause_id", "item_id", "negated", "doc_id", "start",
+        .select("query_id", "clause_id", "item_id", "negated", "doc_id", (F.col("start") + F.col("_lo")).alias("start"),
                 (F.col("start") + F.col("_mo")).alias("end")))
     n_pos = posw.groupBy("query_id", "clause_id").agg(F.countDistinct("item_id").alias("n_pos"))
     pos_ok = (occ.where(~F.col("negated"))
@@ -86,7 +95,7 @@ def match_hits(post: DataFrame, qt: DataFrame,
     neg = occ.where(F.col("negated")).select("query_id", "clause_id", "doc_id").distinct()
     clause_ok = pos_ok.join(neg, ["query_id", "clause_id", "doc_id"], "left_anti")
     matched = materialize(clause_ok.select(*QK).distinct())
-    return hits, occ, matched, n_pos
+    return hits, occ, matched, n_pos, pos_ok.select("query_id", "clause_id", "doc_id")
 
 
 def cover_density(hits: DataFrame, occ: DataFrame, matched: DataFrame, n_pos: DataFrame,
@@ -229,11 +238,39 @@ def top_k(scored: DataFrame, queries: DataFrame | None = None, k: int = 20,
     s = scored.withColumn(score, F.round(F.col(score), 6) + F.lit(0.0))
     order = F.col(score).desc() if higher_first else F.col(score).asc()
     w = Window.partitionBy("query_id").orderBy(order, F.col("doc_id").asc())
-    r = s.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
-    if queries is not None and "k" in queries.columns:
-        kq = queries.select("query_id", limit_rule(F.col("k")).alias("_k"))
-        r = r.join(kq, "query_id").where(F.col("rank") <= F.col("_k")).drop("_k")
-    return r
+    kmax, limits = query_limits(queries, k)
+    return cut(s.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= kmax), limits)
+
+
+def one_word_scores(post: DataFrame, singles: DataFrame) -> DataFrame:
+    """``(query_id, doc_id, score)`` of queries of one word: the sum of its weights."""
+    words = bounded_broadcast(materialize(singles.select("query_id", "term"), "one-word"))
+    return post.join(words, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("w").cast("double")).alias("score"))
+
+
+def negated_clauses(qt: DataFrame) -> DataFrame:
+    """The term rows of clauses without a positive item."""
+    return qt.join(qt.where(~F.col("negated")).select("query_id", "clause_id").distinct(), ["query_id", "clause_id"], "left_anti")
+
+
+def excluded_by(post: DataFrame, pure: DataFrame) -> DataFrame:
+    """``(query_id, clause_id, doc_id)``: documents that hold a negated item of a purely negated clause.
+
+    Each such clause is searched as a query of its own, its items as the query's alternatives."""
+    own = pure.select(F.struct("query_id", "clause_id").alias("query_id"), F.col("item_id").alias("clause_id"),
+                      F.lit(0).alias("item_id"), F.lit(False).alias("negated"), "offset", "term", "n_words")
+    found = match_hits(post, materialize(own, "negated"))[2]
+    return found.select(F.col("query_id.query_id").alias("query_id"), F.col("query_id.clause_id").alias("clause_id"), "doc_id")
+
+
+def first_without(docs: DataFrame, clauses: DataFrame, excluded: DataFrame, kmax: int) -> DataFrame:
+    """``(query_id, doc_id)`` holding at least the first ``kmax`` documents by id that each clause doesn't exclude."""
+    from .ingest import assign_ids
+    placed = assign_ids(docs.select("doc_id"), ["doc_id"]).select("id", "doc_id")
+    n = excluded.groupBy("query_id", "clause_id").agg(F.count("*").alias("_n"))
+    tries = clauses.join(n, ["query_id", "clause_id"], "left").select(
+        "query_id", "clause_id", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(0)) + kmax)).alias("id"))
+    return tries.join(placed, "id").join(excluded, ["query_id", "clause_id", "doc_id"], "left_anti").select(*QK).distinct()
 
 
 def search_text(corpus: DataFrame, queries: DataFrame, k: int = 20, config: str = "simple",
@@ -242,12 +279,36 @@ def search_text(corpus: DataFrame, queries: DataFrame, k: int = 20, config: str
 
     ``ranked=False`` returns the boolean matches ``(query_id, doc_id)`` (R1)."""
     q = queries.where(~is_blank(F.col("q")))
-    post = post if post is not None else build_postings(corpus, config)
+    if post is None:
+        post = build_postings(corpus, config)
     qt = materialize(query_terms(q, config=config, plain=plain))
-    hits, occ, matched, n_pos = match_hits(post, qt)
+    alone = qt.groupBy("query_id").agg(F.count("*").alias("_n"), F.max("negated").alias("_neg")).where("_n = 1 AND NOT _neg")
+    singles = qt.join(alone.select("query_id"), "query_id", "left_semi")
+    qt = materialize(qt.join(alone.select("query_id"), "query_id", "left_anti"), "longer")
+    of_one = one_word_scores(post, singles)
+    hits, occ, matched, n_pos, pos_ok = match_hits(post, qt)
+    pure = materialize(negated_clauses(qt), "pure-negated")
+    zero = None
+    if not pure.isEmpty():
+        if corpus is None:
+            raise ValueError("purely negated clauses need the corpus")
+        clauses = pure.select("query_id", "clause_id").distinct()
+        excluded = materialize(excluded_by(post, pure), "excluded")
+        if ranked:
+            zero = first_without(corpus, clauses, excluded, query_limits(q, k)[0])
+        else:
+            zero = corpus.select("doc_id").join(clauses, how="cross") \
+                .join(excluded, ["query_id", "clause_id", "doc_id"], "left_anti").select(*QK).distinct()
+        # Documents that match by a negated clause keep the covers of the query's other clauses.
+        also = pos_ok.select(*QK).distinct().join(clauses, "query_id") \
+            .join(excluded, ["query_id", "clause_id", "doc_id"], "left_anti").select(*QK)
+        matched = materialize(matched.union(also).distinct(), "matched")
     if not ranked:
-        return matched
-    scored = cover_density(hits, occ, matched, n_pos, qt)
+        matched = matched.union(of_one.select(*QK))
+        return matched if zero is None else matched.union(zero).distinct()
+    scored = cover_density(hits, occ, matched, n_pos, qt).unionByName(of_one)
+    if zero is not None:
+        scored = scored.unionByName(zero.join(matched, QK, "left_anti").withColumn("score", F.lit(0.0)))
     return top_k(scored, q, k).select("query_id", "rank", "doc_id", "score")
 
 
@@ -256,9 +317,5 @@ def phrase_matches(post: DataFrame, queries: DataFrame, config: str = "simple")
     q = queries.where(~is_blank(F.col("q")))
     words = q.select("query_id", F.concat(F.lit('"'), F.regexp_replace("q", '"', " "), F.lit('"')).alias("q"))
     qt = materialize(query_terms(words, config=config))
-    _, _, matched, _ = match_hits(post, qt)
+    _, _, matched, _, _ = match_hits(post, qt)
     return matched
-
-
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c

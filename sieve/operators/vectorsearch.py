@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._ship import ensure_package
+from ..functions.text import limit_rule
 
 METRICS = ("cosine", "l2", "ip")
 DEFAULT_MAX_BROADCAST = 256 << 20
@@ -61,7 +62,13 @@ def _score_matrix(metric: str, docs: np.ndarray, qmat: np.ndarray, qnorm: np.nda
         return -val, val
     if metric == "l2":
         dn2 = (docs * docs).sum(axis=1)
-        d2 = dn2[:, None] + (qnorm * qnorm)[None, :] - 2.0 * dot
+        near = dn2[:, None] + (qnorm * qnorm)[None, :]
+        d2 = near - 2.0 * dot
+        # The expanded form loses digits where points lie close to each other; these are taken from the differences.
+        for j in range(len(qmat)):
+            i = np.flatnonzero(d2[:, j] < 1e-3 * near[:, j])
+            if len(i):
+                d2[i, j] = ((docs[i] - qmat[j]) ** 2).sum(axis=1)
         val = np.round(np.sqrt(np.maximum(d2, 0.0)), 6) + 0.0
         return val, val
     if metric == "ip":
@@ -88,7 +95,7 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = 20, metric: str = "cosin
     ensure_package(spark)
     qcols = [F.col(query_id).cast("long").alias("qid"), F.col(query_vec).alias("qv")]
     if k_col and k_col in queries.columns:
-        qcols.append(F.col(k_col).cast("int").alias("qk"))
+        qcols.append(limit_rule(F.col(k_col), k).alias("qk"))
     else:
         qcols.append(F.lit(k).cast("int").alias("qk"))
     q = queries.select(*qcols)
@@ -96,8 +103,7 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = 20, metric: str = "cosin
     stats = q.agg(F.count("*").alias("n"), F.max(F.size("qv")).alias("d"),
                   F.max("qk").alias("kmax")).collect()[0]
     n_q, dims = int(stats["n"]), int(stats["d"] or 0)
-    kmax = max(int(stats["kmax"] or k), 1)
-    k = max(k, kmax)
+    k = int(stats["kmax"] or k)
     docs = corpus.select(F.col(doc_id).cast("long").alias("doc_id"),
                          F.col(doc_vec).alias("dv")).where(F.col("dv").isNotNull())
     out_schema = "query_id long, doc_id long, score double, key double"

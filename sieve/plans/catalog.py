@@ -160,11 +160,11 @@ def q_query_terms(spark, sf):
 
 
 def q_search_match(spark, sf):
-    return ts.search_text(None, _text_queries(spark, sf), ranked=False, post=_index(spark, sf))
+    return ts.search_text(_corpus(spark, sf), _text_queries(spark, sf), ranked=False, post=_index(spark, sf))
 
 
 def q_search_ranked(spark, sf):
-    return ts.search_text(None, _text_queries(spark, sf), k=K, post=_index(spark, sf))
+    return ts.search_text(_corpus(spark, sf), _text_queries(spark, sf), k=K, post=_index(spark, sf))
 
 
 def q_search_plain(spark, sf):
@@ -220,10 +220,10 @@ QUERIES.update({
 from ..operators import hybrid as hy  # noqa: E402
 
 
-def _both_lists(spark, sf):
+def _both_lists(spark, sf, q=None):
     c = _corpus(spark, sf)
-    q = _bench_queries(spark, sf)
-    text = ts.search_text(None, q, k=K, post=_index(spark, sf, c))
+    q = _bench_queries(spark, sf) if q is None else q
+    text = ts.search_text(c, q, k=K, post=_index(spark, sf, c))
     qv = emb.embed_queries(q)
     vec = vs.knn(qv, emb.embed_corpus(c), k=K, metric="cosine")
     return q, text, vec
@@ -261,7 +261,46 @@ def q_engine_overlap(spark, sf):
     return hy.overlap(text, vec, hy.blend(text, vec, k=K), q)
 
 
+def _varied_limits(q, id_col):
+    """``q`` with limits from null, -5, 0, 5, 25 and 50 in turn."""
+    turn = F.pmod(F.col(id_col), F.lit(6))
+    return q.withColumn("k", F.when(turn == 0, None).when(turn == 1, -5).when(turn == 2, 0).when(turn == 3, 5)
+                        .when(turn == 4, 25).otherwise(50).cast("int"))
+
+
+def q_search_limits(spark, sf):
+    """The shortest word of every item as a query."""
+    words = _bench_queries(spark, sf).select("query_id", F.explode(word_tokens(F.col("q"))).alias("q"))
+    short = words.groupBy("query_id").agg(F.min(F.struct(F.length("q").alias("n"), "q")).alias("x")).select("query_id", F.col("x.q").alias("q"))
+    return ts.search_text(_corpus(spark, sf), _varied_limits(short, "query_id"), k=K, post=_index(spark, sf))
+
+
+def q_search_negated(spark, sf):
+    """``-word`` (even ids) and ``word or -next`` (odd ids) of every item's shortest word and the next item's."""
+    words = read_table(spark, sf, "benchmark").select("item_id", F.explode(word_tokens(F.col("text"))).alias("q"))
+    short = words.groupBy("item_id").agg(F.min(F.struct(F.length("q").alias("n"), "q")).alias("x")).select("item_id", F.col("x.q").alias("q"))
+    nxt = short.select((F.col("item_id") - 1).alias("item_id"), F.col("q").alias("q2"))
+    shapes = F.array(F.struct((F.col("item_id") * 2).alias("query_id"), F.concat(F.lit("-"), "q").alias("q")),
+                     F.struct((F.col("item_id") * 2 + 1).alias("query_id"), F.concat("q", F.lit(" or -"), "q2").alias("q")))
+    q = short.join(nxt, "item_id").select(F.explode(shapes).alias("x")).select("x.*")
+    return ts.search_text(_corpus(spark, sf), _varied_limits(q, "query_id"), k=K, post=_index(spark, sf))
+
+
+def q_vector_limits(spark, sf):
+    q = _varied_limits(_bench_queries(spark, sf), "query_id")
+    return vs.knn(emb.embed_queries(q), emb.embed_corpus(_corpus(spark, sf)), k=K, metric="cosine")
+
+
+def q_hybrid_limits(spark, sf):
+    q, text, vec = _both_lists(spark, sf, _varied_limits(_bench_queries(spark, sf), "query_id"))
+    return hy.rrf([text, vec], k=K, queries=q)
+
+
 QUERIES.update({
+    "search_limits": q_search_limits,
+    "search_negated": q_search_negated,
+    "vector_limits": q_vector_limits,
+    "hybrid_limits": q_hybrid_limits,
     "minmax_scores": q_minmax_scores,
     "hybrid_blend": q_hybrid_blend,
     "explain_hybrid": q_explain_hybrid,
@@ -394,15 +433,12 @@ def q_corpus_count(spark, sf):
     return ing.corpus_count(_corpus(spark, sf))
 
 
-CLEAN_CAP = 40
-
-
 def q_clean_corpus(spark, sf):
     c = _corpus(spark, sf).withColumn("source", F.col("tags")[1])
     rec = c.select("doc_id", "title", "body", F.col("source").alias("category"),
                    F.regexp_extract("source", r"(\d+)$", 1).cast("int").alias("category_order"),
                    F.col("doc_id").alias("listing_order"))
-    return ing.clean_corpus(rec, CLEAN_CAP).select("doc_id", "title", "tag", F.length("body").alias("n_chars"))
+    return ing.clean_corpus(rec).select("doc_id", "title", "tag", F.length("body").alias("n_chars"))
 
 
 QUERIES.update({

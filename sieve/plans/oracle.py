@@ -178,8 +178,13 @@ posok AS (
   WHERE NOT o.negated GROUP BY o.query_id, o.clause_id, o.doc_id, n.n_pos
   HAVING count(DISTINCT o.item_id) = n.n_pos),
 negocc AS (SELECT DISTINCT query_id, clause_id, doc_id FROM occ WHERE negated),
+clause_ok AS (
+  SELECT query_id, clause_id, doc_id FROM posok
+  UNION ALL
+  SELECT q.query_id, q.clause_id, c.doc_id
+  FROM (SELECT query_id, clause_id FROM qt GROUP BY ALL HAVING bool_and(negated)) q CROSS JOIN corpus c),
 matched AS (
-  SELECT DISTINCT query_id, doc_id FROM posok p
+  SELECT DISTINCT query_id, doc_id FROM clause_ok p
   WHERE NOT EXISTS (SELECT 1 FROM negocc n WHERE n.query_id = p.query_id AND n.clause_id = p.clause_id
                     AND n.doc_id = p.doc_id))"""
 
@@ -220,9 +225,9 @@ sc AS (
   JOIN H he ON he.query_id = c.query_id AND he.doc_id = c.doc_id AND he.idx = c.e_idx
   GROUP BY ALL),
 tranked AS (
-  SELECT query_id, doc_id, round(score, 6) + 0.0 AS score,
-         row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank
-  FROM sc)"""
+  SELECT query_id, doc_id, round(coalesce(score, 0.0), 6) + 0.0 AS score,
+         row_number() OVER (PARTITION BY query_id ORDER BY round(coalesce(score, 0.0), 6) DESC, doc_id) AS rank
+  FROM matched LEFT JOIN sc USING (query_id, doc_id))"""
 
 TOKENS_SIMPLE = f"""WITH {CORPUS}, {POST.split(',' + chr(10) + 'post AS')[0]}
 SELECT doc_id, len(tt || bt) AS n_words, len(list_distinct(tt || bt)) AS n_lexemes,
@@ -347,7 +352,44 @@ SELECT query_id, n_text, n_vector, n_hybrid, n_common,
             ELSE round(n_common / (n_text + n_vector - n_common), 6) END AS jaccard,
        round(d, 6) AS mean_rank_diff FROM x"""
 
+LIMIT = "CASE {id} % 6 WHEN 3 THEN 5 WHEN 4 THEN 25 WHEN 5 THEN 50 ELSE 20 END"
+
+SHORT = f"""sw AS (
+  SELECT item_id, word FROM (
+    SELECT item_id, word, row_number() OVER (PARTITION BY item_id ORDER BY length(word), word) AS r
+    FROM (SELECT item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), {WORD})) AS word FROM benchmark)) WHERE r = 1)"""
+
+WORD_SUMS = "ws AS (SELECT term, doc_id, sum(w) AS s FROM post WHERE term IN (SELECT word FROM sw) GROUP BY ALL)"
+
+SEARCH_LIMITS = f"""WITH {CORPUS}, {POST}, {SHORT}, {WORD_SUMS},
+r AS (SELECT sw.item_id AS query_id, ws.doc_id, round(s, 6) + 0.0 AS score,
+             row_number() OVER (PARTITION BY sw.item_id ORDER BY round(s, 6) DESC, ws.doc_id) AS rank
+      FROM sw JOIN ws ON ws.term = sw.word)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {LIMIT.format(id='query_id')}"""
+
+SEARCH_NEGATED = f"""WITH {CORPUS}, {POST}, {SHORT}, {WORD_SUMS},
+pair AS (SELECT a.item_id, a.word AS w1, b.word AS w2 FROM sw a JOIN sw b ON b.item_id = a.item_id + 1),
+m AS (SELECT item_id * 2 AS query_id, c.doc_id, 0.0 AS score FROM pair CROSS JOIN corpus c
+      WHERE NOT EXISTS (SELECT 1 FROM ws WHERE ws.term = w1 AND ws.doc_id = c.doc_id)
+      UNION ALL
+      SELECT item_id * 2 + 1, c.doc_id, coalesce(p.s, 0.0) FROM pair CROSS JOIN corpus c
+      LEFT JOIN ws p ON p.term = w1 AND p.doc_id = c.doc_id
+      LEFT JOIN ws n ON n.term = w2 AND n.doc_id = c.doc_id
+      WHERE p.s IS NOT NULL OR n.s IS NULL),
+r AS (SELECT query_id, doc_id, round(score, 6) + 0.0 AS score,
+             row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM m)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score::DOUBLE AS score FROM r WHERE rank <= {LIMIT.format(id='query_id')}"""
+
+VECTOR_LIMITS = f"""WITH {COSINE_DOCS_CTE}
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {LIMIT.format(id='query_id')}"""
+
+HYBRID_LIMITS = HYBRID_RRF.replace("rank <= 20", f"rank <= {LIMIT.format(id='query_id')}")
+
 ORACLE.update({
+    "search_limits": SEARCH_LIMITS,
+    "search_negated": SEARCH_NEGATED,
+    "vector_limits": VECTOR_LIMITS,
+    "hybrid_limits": HYBRID_LIMITS,
     "minmax_scores": MINMAX_SCORES,
     "hybrid_blend": HYBRID_BLEND,
     "explain_hybrid": EXPLAIN_HYBRID,
@@ -450,10 +492,8 @@ CLEAN_CORPUS = f"""WITH {CORPUS},
 rec AS (SELECT doc_id, title, body, source AS category,
                CAST(regexp_extract(source, '(\\d+)$', 1) AS INTEGER) AS category_order, doc_id AS listing_order
         FROM corpus),
-capped AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY category ORDER BY listing_order, doc_id) AS r
-                          FROM rec) WHERE r <= 40),
 firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY title
-                                   ORDER BY category_order, listing_order, doc_id) AS f FROM capped) WHERE f = 1)
+                                   ORDER BY category_order, listing_order, doc_id) AS f FROM rec) WHERE f = 1)
 SELECT doc_id, title, lower(replace(category, '_', ' ')) AS tag, length(body) AS n_chars
 FROM firsts WHERE body IS NOT NULL AND length(body) >= 120"""
 
