@@ -62,13 +62,15 @@ def build_ivf(corpus_vecs: DataFrame, lists: int | None = None, seed: int = 42,
 
 def ivf_search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: int = 20,
                nprobe: int = 1, query_id: str = "query_id", vec: str = "vec",
-               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST) -> DataFrame:
-    """``(query_id, rank, doc_id, score)`` over the probed lists only (cosine)."""
+               max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST, k_col: str | None = None) -> DataFrame:
+    """``(query_id, rank, doc_id, score)`` over the probed lists only (cosine).
+
+    ``k_col`` names a column of the queries with each one's own limit; without it all take ``k``."""
     spark = assigned.sparkSession
     ensure_package(spark)
     q = queries.select(F.col(query_id).cast("long").alias("qid"), F.col(vec).alias("qv"))
     n_q = q.count()
-    k, limits = query_limits(queries, k, query_id)
+    k, limits = query_limits(queries.withColumnRenamed(k_col, "k") if k_col else None, k, query_id)
     if n_q == 0:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
     d = centroids.shape[1]

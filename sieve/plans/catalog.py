@@ -472,12 +472,12 @@ def _ivf(spark, sf):
 
 def q_vector_ivf(spark, sf):
     _, qv, cents, assigned = _ivf(spark, sf)
-    return ivf.ivf_search(qv, cents, assigned, k=K, nprobe=len(cents))
+    return ivf.ivf_search(qv, cents, assigned, k=K, nprobe=len(cents), k_col="k")
 
 
 def q_ann_recall(spark, sf):
     docs, qv, cents, assigned = _ivf(spark, sf)
-    approx = ivf.ivf_search(qv, cents, assigned, k=K, nprobe=max(1, len(cents) // 10))
+    approx = ivf.ivf_search(qv, cents, assigned, k=K, nprobe=max(1, len(cents) // 10), k_col="k")
     exact = vs.knn(qv, docs, k=K, metric="cosine")
     return ivf.recall_at_k(approx, exact, K)
 
