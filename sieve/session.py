@@ -65,14 +65,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Drops the shuffle files of an execution when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str = "t"):
     """Cut lineage of an intermediate result by writing it as a Parquet table
     under the shared checkpoint folder and reading it back.
 
     Unlike ``RDD.checkpoint`` the plan runs once; the result survives executor
-    loss, and its file size lets AQE pick broadcast joins downstream."""
+    loss, and its file size lets AQE pick broadcast joins downstream.  The
+    shuffle files of the plan are dropped once the table is written, as nothing
+    reads them again."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/sieve-{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.parquet(path)
