@@ -172,9 +172,9 @@ class IndexFamily:
         return scanned.filter(wanted).select("doc", "at", "full")
 
 
-def _texts_of(docs: DataFrame, by_doc: DataFrame, rows: int) -> DataFrame:
-    """``docs`` joined with a table by ``(doc, base)`` of ``rows`` small rows, by broadcast if these are few."""
-    return docs.join(F.broadcast(by_doc) if rows <= BROADCAST_IDS else by_doc, ["doc", "base"])
+def _texts_of(docs: DataFrame, by_doc: DataFrame) -> DataFrame:
+    """``docs`` joined with a table by ``(doc, base)``, which grows with the corpus and is never broadcast."""
+    return docs.join(by_doc.hint("merge"), ["doc", "base"])
 
 
 def _of_doc(ats, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -201,7 +201,7 @@ def longer_matches(docs: DataFrame, rivals: DataFrame, length: int) -> DataFrame
                                            pa.array(np.repeat([0, 1], [left.sum(), right.sum()]).astype(np.int32))], names=["match", "doc", "at", "side"])
 
     by_doc = rivals.groupBy("doc", "base").agg(F.collect_list("at").alias("ats"))
-    rows = _texts_of(docs, by_doc, rivals.count()).select("doc", "base", "text", "ats").mapInArrow(run, "match long, doc long, at long, side int")
+    rows = _texts_of(docs, by_doc).select("doc", "base", "text", "ats").mapInArrow(run, "match long, doc long, at long, side int")
     by = W.partitionBy("match", "side")
     place = F.struct("doc", "at")
     return rows.select("doc", "at", "side", F.min(place).over(by).alias("low"), F.max(place).over(by).alias("high")) \
@@ -227,7 +227,7 @@ def repeated_parts(docs: DataFrame, rivals: DataFrame, length: int) -> DataFrame
 
     by_doc = rivals.groupBy("doc", "base").agg(F.collect_list(F.struct("at", "side")).alias("x")) \
         .select("doc", "base", F.col("x.at").alias("ats"), F.col("x.side").alias("sides"))
-    strings = _texts_of(docs, by_doc, rivals.count()).select("doc", "base", "text", "ats", "sides") \
+    strings = _texts_of(docs, by_doc).select("doc", "base", "text", "ats", "sides") \
         .mapInArrow(run, "string long, doc long, at long")
     order = W.partitionBy("string").orderBy("doc", "at")
     first = F.first(F.struct("doc", "at")).over(order)  # equal rows are one document: their own first place isn't earlier
