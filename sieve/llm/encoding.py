@@ -18,30 +18,50 @@ from array import array
 from tokenizers import Tokenizer
 
 #: Chunks in a task's cache (about 200 bytes each).
-CACHE = 600_000
+CACHE = 400_000
+#: The same for other chunks and parts of chunks.
+PARTS = 200_000
 _CUT = re.compile(r"(?<=\S)(?= )")
 _LINE = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _ODD = re.compile(r"\s ")
 _LOADED: dict[str, ChunkEncoder] = {}
 
 
+class _AfterSpace(dict):
+    """Ids of a space and a chunk, by the chunk alone: no string is built for a known one."""
+
+    def __init__(self, chunks: ChunkEncoder):
+        super().__init__()
+        self.chunks = chunks
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.chunks.fresh(" " + chunk)
+        if len(self) >= CACHE:
+            self.clear()
+        self[chunk] = ids
+        return ids
+
+
 class ChunkEncoder(dict):
     """Little-endian unsigned 32-bit ids by chunk, filled on first sight."""
 
     def __init__(self, path: str):
         super().__init__()
+        self.after_space = _AfterSpace(self)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
 
-    def __missing__(self, chunk: str) -> bytes:
+    def fresh(self, chunk: str) -> bytes:
         if "\n" in chunk and len(parts := _LINE.split(chunk)) > 1:
             return b"".join(map(self.__getitem__, parts))
         if len(chunk) > 2 and chunk[-1] in ".,;:!?" and chunk[-2] < "\u0250" and chunk[-2].isalpha():
-            ids = self[chunk[:-1]] + self[chunk[-1]]
-        else:
-            ids = self.whole(chunk)
-        if len(self) >= CACHE:
+            return self[chunk[:-1]] + self[chunk[-1]]
+        return self.whole(chunk)
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.fresh(chunk)
+        if len(self) >= PARTS:
             self.clear()
         self[chunk] = ids
         return ids
@@ -59,7 +79,7 @@ class ChunkEncoder(dict):
             return b"".join(map(self.__getitem__, _CUT.split(text)))
         first, *rest = text.split(" ")
         # the first chunk has no leading space; if it is empty, the text begins with one and nothing is lost
-        return (self[first] if first else b"") + b"".join([self[" " + x] for x in rest])
+        return (self[first] if first else b"") + b"".join(map(self.after_space.__getitem__, rest))
 
 
 def encoder(path: str) -> ChunkEncoder:
