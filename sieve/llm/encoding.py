@@ -56,7 +56,8 @@ class ChunkEncoder(dict):
         if "\n" in chunk and len(parts := _LINE.split(chunk)) > 1:
             return b"".join(map(self.__getitem__, parts))
         if len(chunk) > 2 and chunk[-1] in ".,;:!?" and chunk[-2] < "\u0250" and chunk[-2].isalpha():
-            return self[chunk[:-1]] + self[chunk[-1]]
+            head = self.after_space[chunk[1:-1]] if chunk[0] == " " else self[chunk[:-1]]
+            return head + self[chunk[-1]]
         return self.whole(chunk)
 
     def __missing__(self, chunk: str) -> bytes:
