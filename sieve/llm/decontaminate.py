@@ -2,10 +2,14 @@
 
 Texts are lower-cased and every run of characters other than letters and
 digits becomes one space.  Each benchmark item is cut into windows of
-``WINDOW`` characters that overlap by half (a shorter item is one window).  A
-window of ``m`` characters leaks when some region of a document lies within
-``e`` edits of it: ``m // CHARS_PER_EDIT``, and for short windows the most that
-the bound below allows, ``(m - q) // q``.
+``WINDOW`` characters that overlap by half (a shorter item is one window), and
+besides into windows of ``SHORT`` characters that start so closely that every
+run of ``PASSAGE`` characters of the item holds a whole one.  A window of ``m``
+characters leaks when some region of a document lies within ``e`` edits of it:
+``m // CHARS_PER_EDIT``, and for short windows the most that the bound below
+allows, ``(m - q) // q``.  So every verbatim run of ``PASSAGE`` characters or
+more is found, and every shorter item as a whole (under ``WHOLE`` characters
+without edits).
 
 By the q-gram lemma such a region shares at least ``m - q + 1 - q * e``
 q-grams with the window, and their diagonals (place in the document minus place
@@ -22,8 +26,8 @@ pieces of bounded size, so memory depends neither on the longest document nor
 on the number of hits.
 
 Edge cases: null or empty texts and items match nothing; an item with fewer
-than ``MIN_CHARS`` normalised characters is no evidence and isn't looked for
-(words as short as that occur in clean text); equal items are each reported;
+than ``MIN_CHARS`` normalised characters (a q-gram) is no evidence and isn't
+looked for (words as short as that occur in clean text); equal items are each reported;
 repeated documents each get their rows; a null id is reported as null; an empty
 table gives an empty result; other columns are ignored.
 """
@@ -41,13 +45,20 @@ from ._common import python_ready, saved, within
 
 Q = 12
 WINDOW = 96
+#: Least verbatim run that is always found, and the windows that find it.
+PASSAGE = 60
+SHORT = 50
 CHARS_PER_EDIT = 16
-MIN_CHARS = 32
-#: Normalised characters of one benchmark block (about 60 bytes of index for each).
+MIN_CHARS = 12
+#: Items under this many normalised characters are matched without edits.
+WHOLE = 32
+#: Normalised characters of one benchmark block (about 180 bytes of index for each).
 BLOCK_CHARS = 2_000_000
 #: Normalised characters of documents, and shared q-grams, worked on at once.
 PIECE = 1_000_000
 PAIRS = 4_000_000
+#: Bands aligned at once.
+BANDS = 10_000
 
 _U = np.uint64
 _P = 0x9E3779B97F4A7C15
@@ -103,35 +114,47 @@ def grams(a: np.ndarray, q: int) -> np.ndarray:
         return out ^ (out >> _U(29))
 
 
-def within_edits(region: np.ndarray, window: np.ndarray, shift: int, width: int, e: int) -> tuple[int, int] | None:
-    """Fewest edits, if at most ``e``, that turn a part of ``region`` into ``window``.
-
-    Banded alignment: row ``i`` of the window meets region places
-    ``i + shift .. i + shift + width - 1``; both ends of the region are free.
-    Returns ``(edits, end)`` with the end of the part in ``region``."""
-    m, n = len(window), len(region)
-    same = region.tobytes().find(window.tobytes())
-    if same >= 0 and same % 4 == 0:  # the plain case, without a table
-        return 0, same // 4 + m
-    big = m + e + 1
+def least_edits(a: np.ndarray, first: np.ndarray, windows: np.ndarray, width: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fewest edits that turn a part of ``a`` into each of ``windows`` (rows of equal length), and the end of that part.
+
+    Banded alignment of all rows at once: character ``i`` of window ``k`` meets
+    places ``first[k] + i .. first[k] + i + width - 1``; both ends of the part
+    are free.  Rows that need more than ``e`` edits get ``e + 1`` or more."""
+    n, m = len(a), windows.shape[1]
+    big = np.int32(m + e + 1)
     at = np.arange(width)
-    # cell b of row i: the first i characters of the window against region[:i + shift + b]
-    end = at + shift
-    row = np.where((end >= 0) & (end <= n), 0, big)
+    near = np.clip(first, -m - width, n)  # bands beyond either end meet nothing
+    pad = np.full(2 * (m + width) + 1, 0x110002, np.uint32)
+    chars = np.concatenate((pad, a, pad))
+    edits, ends = np.full(len(first), big), np.zeros(len(first), np.int64)
+    left = np.arange(len(first))
+    # cell b of row i: the first i characters of the window against a[..:first + i + b]
+    end = near[:, None] + at
+    row = np.where((end >= 0) & (end <= n), np.int32(0), big)
     for i in range(1, m + 1):
-        end = at + shift + i
-        char = end - 1
-        ok = (char >= 0) & (char < n)
-        cost = np.where(ok, region[np.clip(char, 0, n - 1)] != window[i - 1], big)
-        new = row + cost
-        new[:-1] = np.minimum(new[:-1], row[1:] + 1)
-        new = np.where((end >= 0) & (end <= n), new, big)
-        new = np.minimum.accumulate(new - at) + at
-        row = np.where((end >= 0) & (end <= n), new, big)
-        if row.min() > e:
-            return None
-    best = int(row.argmin())
-    return int(row[best]), int(best + shift + m)
+        end = near[left, None] + at + i
+        out = (end < 0) | (end > n)
+        new = row + (chars[end - 1 + len(pad)] != windows[left, i - 1][:, None])
+        new[:, :-1] = np.minimum(new[:, :-1], row[:, 1:] + 1)
+        new[out] = big
+        new = np.minimum.accumulate(new - at, axis=1) + at
+        new[out] = big
+        row = new
+        if i % 8 == 0 or i == m:
+            good = row.min(axis=1) <= e
+            row, left = row[good], left[good]
+            if not len(left):
+                return edits, ends
+    best = row.argmin(axis=1)
+    edits[left] = row[np.arange(len(left)), best]
+    ends[left] = near[left] + best + m
+    return edits, ends
+
+
+def within_edits(region: np.ndarray, window: np.ndarray, shift: int, width: int, e: int) -> tuple[int, int] | None:
+    """``(edits, end)`` of ``least_edits`` for one window, if at most ``e``."""
+    edits, ends = least_edits(region, np.array([shift]), window[None], width, e)
+    return (int(edits[0]), int(ends[0])) if edits[0] <= e else None
 
 
 class Index:
@@ -140,16 +163,19 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], q: int = Q, window: int = WINDOW,
                  chars_per_edit: int = CHARS_PER_EDIT, min_chars: int = MIN_CHARS):
         self.q, self.windows = q, []
+        short = min(SHORT, window)
         for item, text in items:
             a = normalise(text)
             if len(a) < max(min_chars, q):
                 continue
-            starts = [0] if len(a) <= window else [*range(0, len(a) - window, window // 2), len(a) - window]
-            for s in starts:
-                w = a[s:s + window]
-                e = min(len(w) // chars_per_edit, (len(w) - q) // q)
+            places = {(s, s + size) for size, step in ((window, window // 2), (short, PASSAGE - short + 1))
+                      for s in (*range(0, len(a) - size, step), max(0, len(a) - size))}
+            for s, t in sorted({(s, min(t, len(a))) for s, t in places}):
+                w = a[s:t]
+                e = min(len(w) // chars_per_edit, (len(w) - q) // q) if len(a) >= WHOLE else 0
                 self.windows.append((item, w, e, len(w) - q + 1 - q * e))
         self.edits = np.array([w[2] for w in self.windows], np.int64)
+        self.sizes = np.array([len(w[1]) for w in self.windows], np.int64)
         self.least = np.array([w[3] for w in self.windows], np.int64)
         z = 1
         while self.windows and 1 << z <= self.edits.max():
@@ -193,7 +219,7 @@ class Index:
             found.append((key, c))
             lo = hi
         if not found:
-            return []
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         if len(found) > 1:  # a band's q-grams may lie in two pieces
             key, back = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
             c = np.bincount(back, np.concatenate([c for _, c in found])).astype(np.int64)
@@ -201,19 +227,22 @@ class Index:
             key, c = found[0]
         win, band = key >> 40, key & ((1 << 40) - 1)
         ok = c >= self.least[win]
-        return zip(win[ok].tolist(), ((band[ok] << self.z) - (1 << 20)).tolist())
+        return win[ok], (band[ok] << self.z) - (1 << 20)
 
     def matches(self, a: np.ndarray):
         """``(window, start, end, edits)`` of verified regions of ``a`` (start is a lower bound within ``e``)."""
         if not len(self.hash):
             return
-        for win, low in self.candidates(a):
-            _, w, e, _ = self.windows[win]
-            width = (1 << self.z) + e
-            start = max(0, low - e)
-            region = a[start:max(start, low + width + len(w) + e)]
-            if len(region) and (hit := within_edits(region, w, low - e - start, width + 2 * e, e)):
-                yield win, max(start, start + hit[1] - len(w)), start + hit[1], hit[0]
+        wins, lows = self.candidates(a)
+        size = self.sizes[wins]
+        for m, e in {(len(w[1]), w[2]) for w in self.windows}:
+            of = np.flatnonzero((size == m) & (self.edits[wins] == e))
+            for lo in range(0, len(of), BANDS):
+                win, low = wins[of[lo:lo + BANDS]], lows[of[lo:lo + BANDS]]
+                edits, end = least_edits(a, low - e, np.stack([self.windows[k][1] for k in win.tolist()]), (1 << self.z) + 3 * e, e)
+                ok = edits <= e
+                start = np.maximum(np.maximum(low - e, 0), end - m)
+                yield from zip(win[ok].tolist(), start[ok].tolist(), end[ok].tolist(), edits[ok].tolist())
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -228,7 +257,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     python_ready(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     items = saved(benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("t"))
-                  .filter(F.length("t") >= min_chars), "dec-items")
+                  .filter(F.length("t") > 0), "dec-items")
     size = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, -(-2 * size // block_chars))
     out = None

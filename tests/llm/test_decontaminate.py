@@ -101,3 +101,18 @@ def test_edges(spark):
     assert sorted(r.doc_id for r in decontaminated(d, b).collect()) == [1, 2, 5]
     assert leaks(d.limit(0), b).count() == 0 and leaks(d, b.limit(0)).count() == 0
     assert np.array_equal(normalise(" A--b  "), normalise("-a b"))
+
+
+def test_passages_and_short_items(spark):
+    """Every run of 60 characters of an item is found wherever it lies, and items under 32 characters as a whole."""
+    r = random.Random(11)
+    say = lambda n: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 9))) for _ in range(n))
+    items = [(i, say(n)) for i, n in enumerate((13, 20, 40, 70))] + [(9, "blue heron 41 lake")]
+    docs, want = [], set()
+    for i, t in items[:-1]:
+        for lo in (x for x in range(len(t) - 60 + 1) if t[x] != " " and t[x + 59] != " "):
+            docs.append((len(docs), say(8) + " " + t[lo:lo + 60] + " " + say(8)))
+            want.add((len(docs) - 1, i))
+    docs += [(-1, say(30)), (-2, "a Blue heron, 41 lake b"), (-3, "a blue heron 42 lake b")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(x.doc_id, x.item_id) for x in leaks(d, b).collect()} == want | {(-2, 9)}
