@@ -148,7 +148,9 @@ def _sketch(sh: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, n_shingles, node, sketch`` by row; node and sketch are null for empty sets."""
+    """``doc_id, mark, n_shingles, node, sketch`` by row; node and sketch are null for empty sets.
+
+    ``mark`` is a hash of the text, never null."""
     def run(batches):
         words = WordHash()
         for b in batches:
@@ -158,11 +160,12 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
                 size.append(len(sh))
                 node.append(_node(sh) if len(sh) else None)
                 sketch.append(_sketch(sh) if len(sh) else None)
-            yield pa.record_batch([b.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
+            yield pa.record_batch([b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
                                    pa.array(sketch, pa.list_(pa.int64()))],
-                                  names=["doc_id", "n_shingles", "node", "sketch"])
+                                  names=["doc_id", "mark", "n_shingles", "node", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, sketch array<long>")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")) \
+        .mapInArrow(run, "doc_id long, mark long, n_shingles long, node long, sketch array<long>")
 
 
 def block_keys(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
@@ -216,8 +219,11 @@ def near_by_sketch(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> Da
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Of the node pairs ``(a, b)`` those whose sets reach the similarity, compared on whole texts."""
     used = saved(pairs.select("a").union(pairs.select("b")).distinct()
-                 .join(nodes.select(F.col("node").alias("a"), "rep"), "a").select(F.col("a").alias("node"), "rep"), "jac-used")
-    texts = docs.join(within(used), docs.doc_id == used.rep).select("node", "text")
+                 .join(nodes.select(F.col("node").alias("a"), "rep"), "a")
+                 .select(F.col("a").alias("node"), F.col("rep.doc_id").alias("_id"), F.col("rep.mark").alias("_mark")), "jac-used")
+    # A null id counts as an id; of rows equal in id and text one is taken.
+    texts = docs.join(within(used), docs.doc_id.eqNullSafe(used._id) & (F.xxhash64(docs.text) == used._mark)) \
+        .select("node", "text").dropDuplicates(["node"])
     both = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a") \
         .join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -229,7 +235,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: i
             for i, (ta, tb) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 if (hub := seen.get(b[i])) is None:
                     hub = shingles(tb, n, words)
-                    if _node(hub) != b[i]:  # another text under a repeated id
+                    if _node(hub) != b[i]:  # another text with an equal hash
                         ok.append(False)
                         continue
                     if len(seen) >= 64:
@@ -256,7 +262,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     scheme = Scheme(num, den)
     sig = saved(signatures(docs, n), "jac-signatures")
     nodes = saved(sig.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "jac-nodes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "jac-nodes")
     met = saved(groups(block_keys(docs, n, scheme)), "jac-groups")
 
     state = {"labels": None}

@@ -104,6 +104,18 @@ def test_edges(spark):
     assert sorted(r.component_id for r in jaccard_components(big).collect()) == [1, 1, 3]
 
 
+def test_null_ids_link(spark):
+    """Near copies under a null id get the smallest id of their component, and join what links only through them."""
+    words = [f"u{i}" for i in range(200)]
+    step = lambda k: " ".join([f"x{i}" for i in range(k)] + words[k:])
+    rows = [(5, step(0)), (None, step(4)), (3, step(8)), (None, step(4)), (None, "p q r s t u v w x y z"),
+            (8, "alone in the world with these words"), (8, "another text under an id that comes twice")]
+    assert [c for _, _, c in brute([(1, step(0)), (2, step(8))], 4, 93, 100)] == [1, 2]  # neighbours link, ends don't
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, jaccard_components(df, 4, 93, 100).collect()), key=str)
+    assert got == sorted([(5, 197, 3), (None, 197, 3), (3, 197, 3), (None, 197, 3), (None, 8, None), (8, 4, 8), (8, 5, 8)], key=str)
+
+
 def test_components_helper(spark):
     r = random.Random(1)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(500, 500)]
