@@ -152,10 +152,43 @@ def mixed(docs: DataFrame, schedule=None, share: float = 1.5, cap: float = 2.0,
           source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The mix itself: ``docs`` with every taken copy of a document, whole, in training order.
 
-    Rows equal in id, source and text share the copies of the first of them."""
+    Of rows equal in id, source and text as many are taken as the plan takes
+    of them; which of them is arbitrary."""
     plan = curriculum(docs, schedule, share, cap, True, id_col, source_col, text_col)
-    plan = saved(plan.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("mark").alias("_mark"))
-                 .agg(F.min("copies").alias("_copies")).filter(F.size("_copies") > 0), "mix-copies")
-    both = docs.join(plan, docs[id_col].eqNullSafe(plan._id) & docs[source_col].cast("string").eqNullSafe(plan._source)
-                     & (F.xxhash64(docs[text_col]) == plan._mark))
+    plan = saved(plan.filter(F.size("copies") > 0).select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("mark").alias("_mark"), F.col("copies").alias("_copies")),
+        "mix-copies")
+    names = ["_id", "_source", "_mark"]
+    keyed = docs.withColumns({"_id": docs[id_col], "_source": docs[source_col].cast("string"), "_mark": F.xxhash64(docs[text_col])})
+    same = lambda a, b: a._id.eqNullSafe(b._id) & a._source.eqNullSafe(b._source) & (a._mark == b._mark)
+
+    def joined(rows: DataFrame, taken: DataFrame) -> DataFrame:
+        on = same(rows, taken) & (rows._nr == taken._nr) if "_nr" in rows.columns else same(rows, taken)
+        return rows.join(taken, on).select(*[rows[c] for c in docs.columns], rows._mark, "_copies")
+
+    again = saved(keyed.groupBy(*names).count().filter("count > 1").select(*names), "mix-again")
+    if again.isEmpty():
+        both = joined(keyed, plan)
+    else:
+        one = lambda rows: rows.join(within(again), same(rows, again), "left_anti")
+        many = lambda rows, name: _numbered(rows.join(within(again), same(rows, again), "left_semi"), names, name)
+        both = joined(one(keyed), one(plan)).unionByName(joined(many(keyed, "mix-equal-rows"), many(plan, "mix-equal-copies")))
     return both.withColumn("_copy", F.explode("_copies")).orderBy("_copy.position", "_mark", "_copy.pass").select(*docs.columns)
+
+
+def _numbered(rows: DataFrame, names: list[str], name: str) -> DataFrame:
+    """Add ``_nr``: rows equal in ``names`` numbered from 0.
+
+    Numbers are given inside the parts that the rows are read in, and moved by
+    the counts of the parts before, so a large group is spread over tasks."""
+    rows = saved(rows.withColumn("_part", F.spark_partition_id()), name)
+    counts = rows.groupBy(*names, "_part").agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_before", F.sum("_n").over(W.partitionBy(*names).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)))
+    counts = saved(counts.select(*[F.col(c).alias(f"{c}2") for c in names], F.col("_part").alias("_part2"),
+                                 F.coalesce("_before", F.lit(0)).alias("_before")), f"{name}-counts")
+    inner = F.row_number().over(W.partitionBy(*names, "_part").orderBy("_mark")) - 1
+    equal = F.col("_part") == F.col("_part2")
+    for c in names:
+        equal = equal & F.col(c).eqNullSafe(F.col(f"{c}2"))
+    return rows.withColumn("_inner", inner).join(within(counts), equal) \
+        .withColumn("_nr", F.col("_inner") + F.col("_before")).drop("_part", "_part2", "_inner", "_before", *[f"{c}2" for c in names])

@@ -75,3 +75,17 @@ def test_edges(spark):
     assert [c for c in mixed(df).columns] == df.columns
     assert curriculum(df.limit(0)).count() == 0 and mixed(df.limit(0)).count() == 0
     assert curriculum(df.filter("text is null")).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_equal_rows_across_the_edge_of_a_target(spark):
+    """Rows equal in id, source and text that straddle the target's edge are taken as often as the plan takes them."""
+    rows = [(None if i < 60 else i, "s", "a b c" if i < 60 else "d e f", i) for i in range(100)]
+    rows += [(1_000, None, "x y z", i) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, nr int").repartition(5)
+    for share in (0.2, 0.5, 1.3):
+        plan = curriculum(df, share=share, whole=True).collect()
+        assert share != 0.5 or len({len(r.copies) for r in plan if r.doc_id is None}) == 2
+        out = mixed(df, share=share).collect()
+        count = lambda xs: {k: sum(n for r, n in xs if (r.doc_id, r.source) == k) for k in {(r.doc_id, r.source) for r, n in xs if n}}
+        assert count([(r, 1) for r in out]) == count([(r, len(r.copies)) for r in plan])
+        assert max(sum(x.nr == r.nr for x in out if (x.doc_id, x.source) == (r.doc_id, r.source)) for r in out) <= 2
