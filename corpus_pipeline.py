@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieve.llm._common import saved, table, within
+from sieve.llm._common import row_key, saved, table, within
 from sieve.llm.decontaminate import decontaminated
 from sieve.llm.jaccard import jaccard_components
 from sieve.llm.mixing import mixed
@@ -20,34 +20,40 @@ from sieve.llm.token_files import read_token_files, write_token_files
 from sieve.llm.toxicity import score_documents
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` without the rows of the ids in ``ids`` (a column ``doc_id``); rows with a null id stay."""
-    ids = saved(ids.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_drop")).distinct(), "pipe-drop")
-    return docs.join(within(ids), docs.doc_id == ids._drop, "left_anti")
+def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``row_key`` is in ``keys`` (a column ``key``)."""
+    keys = saved(keys.select(F.col("key").alias("_drop")).distinct(), "pipe-drop")
+    return docs.join(within(keys), row_key(docs.doc_id, docs.text) == keys._drop, "left_anti")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the calibrated model rejects go."""
-    scored = score_documents(docs, table(spark, sf_dir, "labels"))
+    scored = score_documents(docs, table(spark, sf_dir, "labels"), keyed=True)
     return _without(docs, scored.filter("predicted = 1"))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, 0.8 or more) the smallest id stays.
-
-    A row repeated under one id stays once; blank documents and rows without an id all stay."""
-    found = saved(jaccard_components(docs, n=5, num=80, den=100).filter("n_shingles > 0 AND doc_id IS NOT NULL"), "pipe-groups")
-    left = _without(docs, found.groupBy("doc_id").agg(F.min("component_id").alias("least")).filter("least < doc_id"))
-    again = saved(found.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again")), "pipe-again")
+    """Of each group of near duplicates (five-word shingles, 0.8 or more) the smallest id stays, a null id only if the group has no other.
+
+    Of rows equal in id and text one stays; blank documents all stay."""
+    keyed = docs.withColumn("key", row_key(F.col("doc_id"), F.col("text")))
+    found = saved(jaccard_components(keyed, n=5, num=80, den=100, id_col="key").filter("n_shingles > 0")
+                  .groupBy(F.col("doc_id").alias("key"), F.col("component_id").alias("group")).count(), "pipe-groups")
+    ranked = found.join(keyed.select("key", "doc_id").distinct(), "key") \
+        .select("key", "group", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key").alias("rank"))
+    least = saved(ranked.groupBy("group").agg(F.min("rank").alias("least")), "pipe-least")
+    left = _without(docs, ranked.join(within(least), "group").filter("rank != least"))
+    again = saved(found.filter("count > 1").select(F.col("key").alias("_again")), "pipe-again")
     if again.isEmpty():
         return left
-    here = F.col("doc_id") == F.col("_again")
+    left = left.withColumn("_key", row_key(F.col("doc_id"), F.col("text")))
+    here = F.col("_key") == F.col("_again")
     return left.join(within(again), here, "left_anti").unionByName(
-        left.join(within(again), here, "left_semi").dropDuplicates(["doc_id"]))
+        left.join(within(again), here, "left_semi").dropDuplicates(["_key"])).drop("_key")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go."""
+    """Documents with a passage of the benchmark go, each row by its own text."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

@@ -48,3 +48,8 @@ def within(ids: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
 def lower_ascii(text: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def row_key(id_: Column, text: Column) -> Column:
+    """A 64-bit key, never null: rows equal in id and text share it."""
+    return F.xxhash64(id_.isNull(), id_, text.isNull(), text)

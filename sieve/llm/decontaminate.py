@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import python_ready, saved, within
+from ._common import python_ready, row_key, saved, within
 
 Q = 12
 WINDOW = 96
@@ -310,8 +310,11 @@ def _scan(docs: DataFrame, items: list[tuple[int, str]], q: int, window: int, ch
     return docs.mapInArrow(run, "doc_id long, item_id long, n_windows long, edits long, start long, end long")
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """``docs`` without the documents that leak; all columns stay, rows with a null id are judged alone
-    and kept only if no row with a null id leaks."""
-    found = saved(leaks(docs, benchmark, id_col=id_col, **params).select("doc_id").distinct(), "dec-found")
-    return docs.join(within(found), docs[id_col].cast("long").eqNullSafe(found.doc_id), "left_anti")
+def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """``docs`` without the rows that leak; all columns stay.
+
+    Rows are judged by id and text, so a leak says nothing of another text under the same or a null id."""
+    keyed = docs.withColumn("_key", row_key(F.col(id_col), F.col(text_col)))
+    found = leaks(keyed, benchmark, id_col="_key", text_col=text_col, **params)
+    found = saved(found.select(F.col("doc_id").alias("_leak")).distinct(), "dec-found")
+    return keyed.join(within(found), F.col("_key") == F.col("_leak"), "left_anti").drop("_key")

@@ -37,7 +37,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import python_ready, saved, within
+from ._common import python_ready, row_key, saved, within
 
 #: Insults looked for by default; a parameter of ``score_documents``.
 LEXICON = (
@@ -143,18 +143,18 @@ def features_of(text: str | None, codes: WordCodes) -> list[float]:
 
 
 def dense_features(docs: DataFrame, lexicon, learned, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, features array<double>)``, one row per row of ``docs``."""
+    """``(doc_id, key, features array<double>)``, one row per row of ``docs``; ``key`` is its ``row_key``."""
     python_ready(docs.sparkSession)
     lexicon, learned = tuple(lexicon), tuple(learned)
 
     def run(batches):
         codes = WordCodes(lexicon, learned)
         for b in batches:
-            yield pa.record_batch([b.column(0), pa.array([features_of(t, codes) for t in b.column(1).to_pylist()],
-                                                         pa.list_(pa.float64()))], names=["doc_id", "features"])
+            yield pa.record_batch([b.column(0), b.column(2), pa.array([features_of(t, codes) for t in b.column(1).to_pylist()],
+                                                                      pa.list_(pa.float64()))], names=["doc_id", "key", "features"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(run, "doc_id long, features array<double>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(F.col(id_col), F.col(text_col)).alias("key")) \
+        .mapInArrow(run, "doc_id long, key long, features array<double>")
 
 
 def part_of(doc_id):
@@ -200,8 +200,8 @@ def learned_words(rows: DataFrame, limit: int = LEARNED_WORDS) -> list[tuple[str
 
 def score_documents(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
                     text_col: str = "text", lexicon=LEXICON, threshold: float = THRESHOLD, held_out_part: int = 2,
-                    max_part: int = MAX_PART, trees: int = 20, depth: int = 3, seed: int = 7) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``."""
+                    max_part: int = MAX_PART, trees: int = 20, depth: int = 3, seed: int = 7, keyed: bool = False) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row of ``docs``, with ``keyed`` also the ``row_key`` as ``key``."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).cast("long").alias("doc_id")) \
@@ -222,7 +222,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
         .withColumn("features", array_to_vector("features"))
     n_by = {(r.part, r.label): r.n for r in train.groupBy("part", "label").agg(F.count("*").alias("n")).collect()}
     at = lambda part, label: n_by.get((part, float(label)), 0)
-    out = feats.select("doc_id", (part_of(F.col("doc_id")) == held_out_part).alias("held_out"), "features")
+    out = feats.select("doc_id", "key", (part_of(F.col("doc_id")) == held_out_part).alias("held_out"), "features")
     if not at(trees_part, 0) or not at(trees_part, 1):
         n, p = sum(x[0] for x in by_part.values()), sum(x[1] or 0 for x in by_part.values())
         score = F.lit((p + 0.5) / (n + 1.0))
@@ -236,9 +236,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
             calm = model.transform(train.filter(F.col("part") == calm_part)).withColumn("p", p1)
             iso = IsotonicRegression(labelCol="label", featuresCol="p", predictionCol="score").fit(
                 calm.select("label", "p"))
-            out = iso.transform(out.select("doc_id", "held_out", "p"))
+            out = iso.transform(out.select("doc_id", "key", "held_out", "p"))
         else:
             out = out.withColumn("score", F.col("p"))
     score = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    return out.select("doc_id", "held_out", score.alias("score"),
+    return out.select("doc_id", *["key"] * keyed, "held_out", score.alias("score"),
                       (score >= threshold).cast("int").alias("predicted"))
