@@ -52,8 +52,6 @@ from ._common import BROADCAST_IDS, python_ready, saved
 GRAM = 32
 #: Bits of a place inside a piece; pieces start at every half of that.
 BITS = 20
-#: Documents' rows under one id are this far apart in ``start``.
-BASE = 1 << 40
 _NULL = -(1 << 63)
 _U = np.uint64
 
@@ -122,23 +120,23 @@ def _bytes(text) -> np.ndarray:
 
 
 def index_entries(docs: DataFrame, length: int) -> DataFrame:
-    """``key, ctx, doc, at`` of ``docs (doc, base, text)``; ``at`` packs ``base + start``, ``n - 1`` and ``off``."""
+    """``key, ctx, doc, nr, at`` of ``docs (doc, nr, text)``; ``at`` packs ``start``, ``n - 1`` and ``off``."""
     def run(batches):
         with np.errstate(over="ignore"):
             for b in batches:
-                cols, rows = [[], [], [], []], 0
-                for doc, base, text in zip(*(c.to_pylist() for c in b.columns)):
+                cols, rows = [[], [], [], [], []], 0
+                for doc, nr, text in zip(*(c.to_pylist() for c in b.columns)):
                     key, ctx, start, n, off = entries(_bytes(text), length)
-                    for c, v in zip(cols, (key, ctx, np.full(len(key), doc), _pack(start + base, n, off))):
+                    for c, v in zip(cols, (key, ctx, np.full(len(key), doc), np.full(len(key), nr), _pack(start, n, off))):
                         c.append(v)
                     rows += len(key)
                     if rows >= 200_000:
-                        yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["key", "ctx", "doc", "at"])
-                        cols, rows = [[], [], [], []], 0
+                        yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["key", "ctx", "doc", "nr", "at"])
+                        cols, rows = [[], [], [], [], []], 0
                 if rows:
-                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["key", "ctx", "doc", "at"])
+                    yield pa.record_batch([pa.array(np.concatenate(c)) for c in cols], names=["key", "ctx", "doc", "nr", "at"])
 
-    return docs.select("doc", "base", "text").mapInArrow(run, "key long, ctx long, doc long, at long")
+    return docs.select("doc", "nr", "text").mapInArrow(run, "key long, ctx long, doc long, nr long, at long")
 
 
 class IndexFamily:
@@ -150,110 +148,110 @@ class IndexFamily:
     def add(self, batch: DataFrame, last: bool = False) -> DataFrame:
         """Merge-scan a batch of entries later than all before against the levels.
 
-        Returns ``doc, at, full``: entries that repeat as a whole, and (``full``
+        Returns ``doc, nr, at, full``: entries that repeat as a whole, and (``full``
         false) the first entries of contexts whose prefix has others.  With
         ``last`` the batch isn't kept as a level."""
         rows = batch.withColumn("old", F.lit(False))
         for _, level in self.levels:
             rows = rows.unionByName(level.withColumn("old", F.lit(True)))
-        by, order = W.partitionBy("key"), W.partitionBy("key").orderBy("ctx", "doc", "at")
+        by, order = W.partitionBy("key"), W.partitionBy("key").orderBy("ctx", "doc", "nr", "at")
         rows = rows.select("*", F.lag("ctx").over(order).alias("last"), F.min("ctx").over(by).alias("low"), F.max("ctx").over(by).alias("high"))
         first = F.col("last").isNull() | (F.col("last") != F.col("ctx"))
-        rows = rows.select("key", "ctx", "doc", "at", (~first).alias("full"), (first & (F.col("low") != F.col("high"))).alias("rival"),
+        rows = rows.select("key", "ctx", "doc", "nr", "at", (~first).alias("full"), (first & (F.col("low") != F.col("high"))).alias("rival"),
                            (first & ~F.col("old")).alias("fresh"))
         wanted = F.col("full") | F.col("rival")
         scanned = saved(rows.filter(wanted if last else wanted | F.col("fresh")), "suffix-scan")
         if not last:
-            self.levels.append((1, scanned.filter("fresh").select("key", "ctx", "doc", "at")))
+            self.levels.append((1, scanned.filter("fresh").select("key", "ctx", "doc", "nr", "at")))
             while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
                 (n, a), (m, b) = self.levels.pop(), self.levels.pop()
                 merged = a.unionByName(b).repartition("key").sortWithinPartitions("key", "ctx")
                 self.levels.append((n + m, saved(merged, "suffix-level")))
-        return scanned.filter(wanted).select("doc", "at", "full")
+        return scanned.filter(wanted).select("doc", "nr", "at", "full")
 
 
 def _texts_of(docs: DataFrame, by_doc: DataFrame) -> DataFrame:
-    """``docs`` joined with a table by ``(doc, base)``, which grows with the corpus and is never broadcast."""
-    return docs.join(by_doc.hint("merge"), ["doc", "base"])
+    """``docs`` joined with a table by ``(doc, nr)``, which grows with the corpus and is never broadcast."""
+    return docs.join(by_doc.hint("merge"), ["doc", "nr"])
 
 
-def _of_doc(ats, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _of_doc(ats) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``start, n, off`` of packed entries."""
     ats = np.array(ats, np.int64)
-    return (ats >> 14) - base, (ats >> 7 & 127) + 1, ats & 127
+    return ats >> 14, (ats >> 7 & 127) + 1, ats & 127
 
 
 def longer_matches(docs: DataFrame, rivals: DataFrame, length: int) -> DataFrame:
-    """``doc, at, side`` of the rivals that share a longer match on a side (0 left, 1 right) with another."""
-    rivals = saved(rivals.distinct().withColumn("base", F.shiftright("at", 54) * F.lit(BASE)), "suffix-rivals")
+    """``doc, nr, at, side`` of the rivals that share a longer match on a side (0 left, 1 right) with another."""
+    rivals = saved(rivals.distinct(), "suffix-rivals")
     far = (length - GRAM) // 2
 
     def run(batches):
         with np.errstate(over="ignore"):
             for b in batches:
-                for doc, base, text, ats in zip(*(c.to_pylist() for c in b.columns)):
-                    start, n, off = _of_doc(ats, base)
+                for doc, nr, text, ats in zip(*(c.to_pylist() for c in b.columns)):
+                    start, n, off = _of_doc(ats)
                     grams = string_hashes(_bytes(text), length)[0]
                     anchor, ats = start + off, np.array(ats, np.int64)
                     left, right = off >= far, start + n - 1 + length >= anchor + GRAM + far
                     h = np.concatenate((_join(grams[anchor[left] - far], grams[anchor[left]]), _join(grams[anchor[right]], grams[anchor[right] + far])))
-                    yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(np.full(len(h), doc)), pa.array(np.concatenate((ats[left], ats[right]))),
-                                           pa.array(np.repeat([0, 1], [left.sum(), right.sum()]).astype(np.int32))], names=["match", "doc", "at", "side"])
+                    yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(np.full(len(h), doc)), pa.array(np.full(len(h), nr)), pa.array(np.concatenate((ats[left], ats[right]))),
+                                           pa.array(np.repeat([0, 1], [left.sum(), right.sum()]).astype(np.int32))], names=["match", "doc", "nr", "at", "side"])
 
-    by_doc = rivals.groupBy("doc", "base").agg(F.collect_list("at").alias("ats"))
-    rows = _texts_of(docs, by_doc).select("doc", "base", "text", "ats").mapInArrow(run, "match long, doc long, at long, side int")
+    by_doc = rivals.groupBy("doc", "nr").agg(F.collect_list("at").alias("ats"))
+    rows = _texts_of(docs, by_doc).select("doc", "nr", "text", "ats").mapInArrow(run, "match long, doc long, nr long, at long, side int")
     by = W.partitionBy("match", "side")
-    place = F.struct("doc", "at")
-    return rows.select("doc", "at", "side", F.min(place).over(by).alias("low"), F.max(place).over(by).alias("high")) \
-        .filter("low != high").select("doc", "at", "side").distinct()
+    place = F.struct("doc", "nr", "at")
+    return rows.select("doc", "nr", "at", "side", F.min(place).over(by).alias("low"), F.max(place).over(by).alias("high")) \
+        .filter("low != high").select("doc", "nr", "at", "side").distinct()
 
 
 def repeated_parts(docs: DataFrame, rivals: DataFrame, length: int) -> DataFrame:
-    """``doc, at`` of the single strings of ``rivals`` that an earlier one equals."""
-    rivals = saved(longer_matches(docs, rivals, length).withColumn("base", F.shiftright("at", 54) * F.lit(BASE)), "suffix-longer")
+    """``doc, nr, at`` of the single strings of ``rivals`` that an earlier one equals."""
+    rivals = saved(longer_matches(docs, rivals, length), "suffix-longer")
     far = (length - GRAM) // 2
 
     def run(batches):
         with np.errstate(over="ignore"):
             for b in batches:
-                for doc, base, text, ats, sides in zip(*(c.to_pylist() for c in b.columns)):
-                    start, n, off = _of_doc(ats, base)
+                for doc, nr, text, ats, sides in zip(*(c.to_pylist() for c in b.columns)):
+                    start, n, off = _of_doc(ats)
                     strings = string_hashes(_bytes(text), length)[1]
                     inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                     place = np.repeat(start, n) + inner
                     place = place[(np.repeat(off, n) - inner >= far) == (np.repeat(np.array(sides), n) == 0)]
                     yield pa.record_batch([pa.array(strings[place].view(np.int64)), pa.array(np.full(len(place), doc)),
-                                           pa.array(_pack(place + base, 1, 0))], names=["string", "doc", "at"])
+                                           pa.array(np.full(len(place), nr)), pa.array(_pack(place, 1, 0))], names=["string", "doc", "nr", "at"])
 
-    by_doc = rivals.groupBy("doc", "base").agg(F.collect_list(F.struct("at", "side")).alias("x")) \
-        .select("doc", "base", F.col("x.at").alias("ats"), F.col("x.side").alias("sides"))
-    strings = _texts_of(docs, by_doc).select("doc", "base", "text", "ats", "sides") \
-        .mapInArrow(run, "string long, doc long, at long")
-    order = W.partitionBy("string").orderBy("doc", "at")
-    first = F.first(F.struct("doc", "at")).over(order)  # equal rows are one document: their own first place isn't earlier
-    return strings.withColumn("first", first).filter("doc != first.doc OR at != first.at").select("doc", "at").distinct()
+    by_doc = rivals.groupBy("doc", "nr").agg(F.collect_list(F.struct("at", "side")).alias("x")) \
+        .select("doc", "nr", F.col("x.at").alias("ats"), F.col("x.side").alias("sides"))
+    strings = _texts_of(docs, by_doc).select("doc", "nr", "text", "ats", "sides") \
+        .mapInArrow(run, "string long, doc long, nr long, at long")
+    order = W.partitionBy("string").orderBy("doc", "nr", "at")
+    first = F.first(F.struct("doc", "nr", "at")).over(order)  # equal rows are one document: their own first place isn't earlier
+    return strings.withColumn("first", first).filter("doc != first.doc OR nr != first.nr OR at != first.at").select("doc", "nr", "at").distinct()
 
 
-def _runs(ats, length: int, base: int) -> tuple[list[int], list[int]]:
+def _runs(ats, length: int) -> tuple[list[int], list[int]]:
     """Maximal byte runs covered by packed strings."""
-    start, n, _ = _of_doc(np.sort(np.array(ats, np.int64)), base)
+    start, n, _ = _of_doc(np.sort(np.array(ats, np.int64)))
     end = np.maximum.accumulate(start + n - 1 + length)
     cut = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
     return start[cut].tolist(), end[np.append(cut[1:], len(start)) - 1].tolist()
 
 
 def _with_order(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """Add ``doc`` (never null) and ``base``, which tells different texts under one id apart; whether ids repeat."""
+    """Add ``doc`` (never null) and ``nr``, which numbers the different texts under one id from 0; whether ids repeat."""
     docs = docs.withColumn("doc", F.coalesce("doc_id", F.lit(_NULL)))
     many = docs.select("doc").groupBy("doc").count().filter("count > 1")
     many = saved(many.select("doc"), "suffix-many")
     if many.isEmpty():
-        return docs.withColumn("base", F.lit(0).cast("long")), False
+        return docs.withColumn("nr", F.lit(0).cast("long")), False
     mark = F.xxhash64("text")
     texts = docs.join(many, "doc", "left_semi").select("doc", mark.alias("mark")).distinct()
-    texts = saved(texts.withColumn("base", (F.row_number().over(W.partitionBy("doc").orderBy("mark")) - 1) * F.lit(BASE)), "suffix-bases")
+    texts = saved(texts.withColumn("nr", F.row_number().over(W.partitionBy("doc").orderBy("mark")).cast("long") - 1), "suffix-numbers")
     return docs.withColumn("mark", mark).join(texts, ["doc", "mark"], "left") \
-        .withColumn("base", F.coalesce("base", F.lit(0).cast("long"))).drop("mark"), True
+        .withColumn("nr", F.coalesce("nr", F.lit(0).cast("long"))).drop("mark"), True
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -273,10 +271,10 @@ def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 2, id_col:
             part = part.filter(F.col("doc") >= cuts[i - 1])
         if i < len(cuts):
             part = part.filter(F.col("doc") < cuts[i])
-        found = family.add(index_entries(part.dropDuplicates(["doc", "base"]) if repeated else part, length), last=i == len(cuts))
+        found = family.add(index_entries(part.dropDuplicates(["doc", "nr"]) if repeated else part, length), last=i == len(cuts))
         covered = found if covered is None else covered.unionByName(found)
-    parts = repeated_parts(docs, covered.filter("NOT full").select("doc", "at"), length)
-    ats = covered.filter("full").select("doc", "at").unionByName(parts)
+    parts = repeated_parts(docs, covered.filter("NOT full").select("doc", "nr", "at"), length)
+    ats = covered.filter("full").select("doc", "nr", "at").unionByName(parts)
     runs = saved(_merged(ats, length), "suffix-runs")
     total = runs.agg(F.sum(F.size("starts"))).first()[0] or 0
 
@@ -296,18 +294,18 @@ def remove_repeats(docs: DataFrame, length: int = 100, batches: int = 2, id_col:
                                   names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     side = F.broadcast(runs) if total <= BROADCAST_IDS else runs
-    return docs.join(side, ["doc", "base"], "left").select("doc_id", "text", "starts", "ends").mapInArrow(
+    return docs.join(side, ["doc", "nr"], "left").select("doc_id", "text", "starts", "ends").mapInArrow(
         run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _merged(ats: DataFrame, length: int) -> DataFrame:
-    """``doc, base, starts, ends``: maximal byte runs by document (a group is one document's strings)."""
-    by_doc = ats.withColumn("base", F.shiftright("at", 54) * F.lit(BASE)).groupBy("doc", "base").agg(F.collect_list("at").alias("ats"))
+    """``doc, nr, starts, ends``: maximal byte runs by document (a group is one document's strings)."""
+    by_doc = ats.groupBy("doc", "nr").agg(F.collect_list("at").alias("ats"))
 
     def run(batches):
         for b in batches:
-            runs = [_runs(a, length, base) for base, a in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            runs = [_runs(a, length) for a in b.column(2).to_pylist()]
             yield pa.record_batch([b.column(0), b.column(1), pa.array([r[0] for r in runs], pa.list_(pa.int64())),
-                                   pa.array([r[1] for r in runs], pa.list_(pa.int64()))], names=["doc", "base", "starts", "ends"])
+                                   pa.array([r[1] for r in runs], pa.list_(pa.int64()))], names=["doc", "nr", "starts", "ends"])
 
-    return by_doc.select("doc", "base", "ats").mapInArrow(run, "doc long, base long, starts array<long>, ends array<long>")
+    return by_doc.select("doc", "nr", "ats").mapInArrow(run, "doc long, nr long, starts array<long>, ends array<long>")

@@ -92,3 +92,16 @@ def test_edges(spark):
     order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, marks[x[1]] if x[0] == 4 else 0))
     assert sorted(map(tuple, remove_repeats(df, batches=2).collect()), key=str) == brute(order)
     assert remove_repeats(df.limit(0)).count() == 0
+
+
+def test_many_texts_under_one_id(spark):
+    """More than 1,024 different texts under one id, a null one too, are documents of their own."""
+    from pyspark.sql import functions as F
+    r = random.Random(2)
+    say = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    shared = say(180)
+    rows = [(d, f"{i} " + (say(150) if i % 3 else say(40) + shared[i % 50:] + say(30))) for d in (None, 4) for i in range(1_100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = {x.text: x.m for x in df.select("text", F.xxhash64("text").alias("m")).collect()}
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, marks[x[1]]))
+    assert sorted(map(tuple, remove_repeats(df, batches=2).collect()), key=str) == brute(order)
