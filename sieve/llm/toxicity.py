@@ -58,6 +58,8 @@ LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t"
 
 #: Bound on labelled documents used for each of the three parts.
 MAX_PART = 40_000
+#: Least hashes of long words that near copies share.
+LEAST = 6
 #: Bound on learned words.
 LEARNED_WORDS = 2_000
 #: Lengths of the word beginnings that are learned.
@@ -175,12 +177,14 @@ def learned_words(rows: DataFrame, limit: int = LEARNED_WORDS) -> list[tuple[str
     At least 3 and 1 in 200 of the positive documents hold such a unit, with
     ``RATIO`` times the share among the negative ones; the ``limit`` with the
     most positive documents are kept, with whether they reach ``STRONG``.
-    Documents of one label with the same least hash of a long word count once."""
+    Documents of one label with the same ``LEAST`` least hashes of long words (with
+    fewer long words: with the same words) are near copies and count once."""
     words = F.array_distinct(F.transform(F.split(F.lower("text"), r"\s+"),
                                          lambda w: F.regexp_replace(w, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", "")))
     long_words = F.filter("words", lambda w: F.length(w) >= 8)
     rows = rows.select("label", words.alias("words")) \
-        .withColumn("mark", F.coalesce(F.array_min(F.transform(long_words, lambda w: F.xxhash64(w))), F.xxhash64("words"))) \
+        .withColumn("mark", F.when(F.size(long_words) >= LEAST, F.xxhash64(F.slice(F.array_sort(F.transform(long_words, lambda w: F.xxhash64(w))), 1, LEAST)))
+                    .otherwise(F.xxhash64(F.array_sort("words")))) \
         .groupBy("label", "mark").agg(F.min("words").alias("words"))
     rows = saved(rows, "tox-words")
     sizes = rows.agg(F.sum("label").alias("p"), F.count("*").alias("n")).first()

@@ -43,3 +43,12 @@ def test_edges(spark):
     odd = spark.createDataFrame([(1, None), (None, 1), (1, 1), (1, 0)], "doc_id long, toxic int")
     assert score_documents(docs, odd).count() == 5
     assert score_documents(docs.limit(0), odd).count() == 0
+
+
+def test_documents_with_one_common_long_word_all_count(spark):
+    """Only near copies count once, not all documents with the same long word."""
+    from sieve.llm.toxicity import learned_words
+    rows = [(f"somewhere zorg a{i} b{i} c{i}", 1.0) for i in range(4)] + [("everywhere blarg d e f", 1.0)] * 4
+    rows += [(f"elsewhere fine x{i} y{i}", 0.0) for i in range(40)]
+    got = {w for w, _ in learned_words(spark.createDataFrame(rows, "text string, label double"))}
+    assert "zorg" in got and "blarg" not in got
