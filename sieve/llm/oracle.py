@@ -67,4 +67,40 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op1_tool_calls": OP1, "op3_curriculum_mix": OP3, "op6_topk_search": OP6}
+# h is crc32 of the decimal id, byte by byte and bit by bit, modulo 6; (depth, smallest member) names a node
+OP13 = r"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - c % 100 AS base,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+           lambda s, x: list_reduce(list_concat([xor(s, x)], [0::BIGINT, 1, 2, 3, 4, 5, 6, 7]),
+             lambda p, q: CASE WHEN p % 2 = 1 THEN xor(p // 2, 3988292384::BIGINT) ELSE p // 2 END)), 4294967295::BIGINT) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns)),
+parts AS (
+  SELECT v.c, 0 AS own, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.base AND t.pos <= v.h
+  UNION ALL
+  SELECT v.c, 1, t.pos, t.role, t.text FROM convs v JOIN turns t ON t.c = v.c AND t.pos > v.h),
+rebuilt AS (SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS d FROM parts),
+seqs AS (SELECT v.c, coalesce(list({'r': r.role, 't': r.text} ORDER BY r.d) FILTER (WHERE r.d IS NOT NULL), []) AS turns
+  FROM convs v LEFT JOIN rebuilt r ON r.c = v.c GROUP BY v.c),
+steps AS (SELECT c, len(turns) AS n, d, turns[1:d] AS prefix, CASE WHEN d > 0 THEN length(turns[d].t) ELSE 0 END AS size
+  FROM (SELECT c, turns, unnest(range(0, len(turns) + 1)) AS d FROM seqs)),
+placed AS (SELECT c, n, d, size, min(c) OVER (PARTITION BY d, prefix) AS node FROM steps),
+nodes AS (
+  SELECT node, d, count(*) AS n_convs, max(size) AS size,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE n = d), '')) AS ends_sha256
+  FROM placed GROUP BY node, d),
+parents AS (SELECT n.*, p.node AS parent FROM nodes n LEFT JOIN placed p ON p.c = n.node AND p.d = n.d - 1),
+children AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM parents WHERE d > 0 GROUP BY ALL),
+whole AS (SELECT p.*, coalesce(k.n_children, 0) AS n_children FROM parents p LEFT JOIN children k ON k.parent = p.node AND k.d = p.d),
+sums AS (
+  SELECT a.node, a.d, sum((w.n_convs - 1) * w.size)::BIGINT AS saved_tokens, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves
+  FROM whole w JOIN placed a ON a.c = w.node AND a.d <= w.d GROUP BY ALL)
+SELECT w.node AS conv_id, w.d AS depth, w.parent AS parent_conv_id, w.n_convs, w.n_children, s.n_leaves, s.saved_tokens, w.ends_sha256
+FROM whole w JOIN sums s ON s.node = w.node AND s.d = w.d
+"""
+
+ORACLE: dict[str, str] = {"op1_tool_calls": OP1, "op3_curriculum_mix": OP3, "op6_topk_search": OP6, "op13_prefix_trie": OP13}
