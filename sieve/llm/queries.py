@@ -11,6 +11,7 @@ from .jaccard import jaccard_components
 from .mixing import curriculum
 from .prefix_trie import prefix_trie, rebuilt
 from .secrets import scan
+from .simhash import simhash_components
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .token_files import read_token_files, write_token_files
@@ -65,10 +66,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*rebuilt(table(spark, sf_dir, "conversations")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_tool_calls, op2_suffix_dedup, op3_curriculum_mix, op4_benchmark_leaks, op5_token_files, op6_topk_search, op7_ngram_jaccard, op8_secret_scan,
-    op9_token_counts, op10_toxicity, op13_prefix_trie)}
+    op9_token_counts, op10_toxicity, op12_simhash_dedup, op13_prefix_trie)}
