@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import table
+from .alignment import aligned_tokens
 from .decontaminate import leaks
 from .jaccard import jaccard_components
 from .mixing import curriculum
@@ -66,6 +67,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned_tokens(table(spark, sf_dir, "documents"))
+
+
 def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"))
 
@@ -76,4 +81,4 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_tool_calls, op2_suffix_dedup, op3_curriculum_mix, op4_benchmark_leaks, op5_token_files, op6_topk_search, op7_ngram_jaccard, op8_secret_scan,
-    op9_token_counts, op10_toxicity, op12_simhash_dedup, op13_prefix_trie)}
+    op9_token_counts, op10_toxicity, op11_token_alignment, op12_simhash_dedup, op13_prefix_trie)}
