@@ -15,7 +15,9 @@ which gives the links.
   checked when it is loaded), so cuts are ends of groups and the alignment of a
   text is its chunks' one after the other.  Each distinct chunk is encoded and
   aligned once and kept in a bounded cache; a batch's new chunks are encoded
-  and aligned together.  Tests compare with whole texts.
+  and aligned together.  A mark that ends a chunk behind a letter is a token of
+  its own on both sides (checked too), so a word with a mark is put together
+  from the two.  Tests compare with whole texts.
 * **Counts.**  A document's distinct id pairs travel packed in one column.
   Corpus counts are combined in the tasks before they are summed.  There are at
   most |A| x |B| id pairs; up to ``PAIRS`` of them are broadcast, more are
@@ -34,6 +36,7 @@ import os
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,11 +52,12 @@ from .encoding import default_tokenizer
 #: Id pairs that are broadcast at most (13 bytes each).
 PAIRS = 4_000_000
 #: Chunks in a task's cache (about 350 bytes each).
-CACHE = 300_000
+CACHE = 600_000
 #: Characters worked through at once.
 _BLOCK = 1 << 20
 _STRIDE = 64
 _CUT = re.compile(r"(?<=\S)(?= )|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
+_ENDED = re.compile(r".*[A-Za-zÀ-ÖØ-öø-ɏ][.,;:!?]", re.DOTALL).fullmatch
 _BAD = b"!"
 _LOADED: dict[tuple[str, str], Aligner] = {}
 
@@ -148,8 +152,12 @@ class Aligner(dict):
         #: Whether no piece spans a cut or a line end; else texts are encoded whole.
         self.cuts = not any(re.search("[^▁]▁|\n", p) for p in plain) \
             and self.b.encode("\n \n x", out_type=str) == ["▁", "<0x0A>", "▁", "<0x0A>", "▁x"]
+        #: Whether a mark that ends a chunk behind a letter is a token of its own.
+        self.marks = self.cuts and not any(map(_ENDED, plain))
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.shown = [b"%d%c" % (i, end) for size, ends in ((len(self.a_bytes), b",|"), (len(pieces), b",;")) for end in ends for i in range(size)]
+        self.shown_size = np.array([len(x) for x in self.shown])
 
     def chunks(self, text: str) -> list[str]:
         return _CUT.split(text) if self.cuts else [text]
@@ -163,30 +171,34 @@ class Aligner(dict):
             b_ids = [ids[2:] for ids in self.b.encode(["\n" + c for c in chunks], num_threads=1)]
         else:
             b_ids = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        ab, bb = self.a_bytes, self.b_bytes
-        good = [k for k, r in enumerate(raw) if b"".join([ab[i] for i in a_ids[k]]) == r == b"".join([bb[i] for i in b_ids[k]])]
-        for k in set(range(len(chunks))).difference(good):
-            self[chunks[k]] = (b"", b"", _BAD)
-        if not good:
-            return
-        a_ids, b_ids = [a_ids[k] for k in good], [b_ids[k] for k in good]
-        a = np.array([i for ids in a_ids for i in ids], np.uint32)
-        b = np.array([i for ids in b_ids for i in ids], np.uint32)
+        a_list, b_list = list(chain.from_iterable(a_ids)), list(chain.from_iterable(b_ids))
+        a, b = np.array(a_list, np.int64), np.array(b_list, np.int64)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(raw)) for x in (a_ids, b_ids))
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        upto_a, upto_b, last = np.cumsum(n_a), np.cumsum(n_b), np.cumsum(list(map(len, raw)))
+        joined = b"".join(raw)
+        if not (n_a.all() and n_b.all() and np.array_equal(a_end[upto_a - 1], last) and np.array_equal(b_end[upto_b - 1], last)
+                and joined == b"".join(map(self.a_bytes.__getitem__, a_list)) == b"".join(map(self.b_bytes.__getitem__, b_list))):
+            bad = {k for k, r in enumerate(raw) if not b"".join([self.a_bytes[i] for i in a_ids[k]]) == r == b"".join([self.b_bytes[i] for i in b_ids[k]])}
+            self.update((chunks[k], (b"", b"", _BAD)) for k in bad)
+            if good := [c for k, c in enumerate(chunks) if k not in bad]:
+                self.learn(good)
+            return
         group_a, group_b, link_a, link_b = align(a_end, b_end)
-        pairs = ((a[link_a] << np.uint32(16)) | b[link_b]).tobytes()
-        sa, sb = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        groups, i, j = [], 0, 0
-        for x, y in zip((group_a + 1).tolist(), (group_b + 1).tolist()):
-            groups.append(f"{','.join(sa[i:x])}|{','.join(sb[j:y])}")
-            i, j = x, y
-        # a chunk ends where its bytes end, on both sides
-        last = np.cumsum([len(raw[k]) for k in good])
-        of_group = np.searchsorted(a_end[group_a], last, "right").tolist()
-        of_link = (4 * np.searchsorted(link_a, np.searchsorted(a_end, last, "right"), "left")).tolist()
+        pairs = ((a[link_a] << 16) | b[link_b]).astype("<u4").tobytes()
+        # ids as text with what follows them: "," inside a group, "|" after its A ids, ";" at its end
+        ends_a, ends_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        ends_a[group_a] = ends_b[group_b] = 1
+        code = np.empty(len(a) + len(b), np.int64)
+        code[np.arange(len(a)) + np.append(0, group_b + 1)[np.cumsum(ends_a) - ends_a]] = a + ends_a * len(self.a_size)
+        code[np.arange(len(b)) + (group_a + 1)[np.cumsum(ends_b) - ends_b]] = b + ends_b * len(self.b_size) + 2 * len(self.a_size)
+        groups = b"".join(map(self.shown.__getitem__, code.tolist()))
+        to_group = np.cumsum(self.shown_size[code])[upto_a + upto_b - 1].tolist()
+        to_pair = (4 * np.searchsorted(link_a, upto_a)).tolist()
+        sizes = np.stack((n_a, n_b), 1).astype("<u8").tobytes()
         g = at = 0
-        for k, n, m, g2, at2 in zip(good, map(len, a_ids), map(len, b_ids), of_group, of_link):
-            self[chunks[k]] = (struct.pack("<QQ", n, m), pairs[at:at2], ";".join(groups[g:g2]).encode())
+        for k, (chunk, g2, at2) in enumerate(zip(chunks, to_group, to_pair)):
+            self[chunk] = (sizes[16 * k:16 * k + 16], pairs[at:at2], groups[g:g2 - 1])
             g, at = g2, at2
 
     def know(self, lists: list[list[str]]) -> None:
@@ -195,8 +207,14 @@ class Aligner(dict):
         if len(self) + len(new) > CACHE:
             self.clear()
             new = set().union(*lists)
-        if new:
+        ended = [c for c in new if _ENDED(c)] if self.marks else []
+        new.difference_update(ended)
+        parts = {c[:-1] for c in ended} | {c[-1] for c in ended}
+        if new := new | parts.difference(self):
             self.learn(list(new))
+        for c in ended:
+            (n, pairs, groups), (n2, pairs2, groups2) = self[c[:-1]], self[c[-1]]
+            self[c] = (n + n2, pairs + pairs2, groups + b";" + groups2)
 
     def text(self, lists: Iterable[list[str]], known: bool = False) -> tuple[int, int, int, int, str, np.ndarray, np.ndarray]:
         """``n_a, n_b, n_groups, n_links, sha256, pairs, counts`` of a text cut into lists of chunks."""
