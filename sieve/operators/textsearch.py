@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank
 from ..session import materialize
 from .analyze import postings as build_postings
+from .covers import cover_scores
 from .limits import cut, query_limits
 from .query_terms import query_terms
 
@@ -98,135 +99,12 @@ def match_hits(post: DataFrame, qt: DataFrame,
     return hits, occ, matched, n_pos, pos_ok.select("query_id", "clause_id", "doc_id")
 
 
-def cover_density(hits: DataFrame, occ: DataFrame, matched: DataFrame, n_pos: DataFrame,
-                  qt: DataFrame) -> DataFrame:
-    """``(query_id, doc_id, score)`` for the matched pairs.
-
-    The hit list (positions and weights of the query's positive words) and
-    the item occurrences of one ``(query_id, doc_id)`` -- both bounded by the
-    length of that one document -- are brought together by one shuffle on
-    the pair, and each group is scored by ``_cover_scores`` (NumPy)."""
-    hp = (hits.where(~F.col("negated")).select("query_id", "doc_id", "pos", "w").distinct()
-          .join(matched, QK, "left_semi"))
-    op = occ.where(~F.col("negated")).join(matched, QK, "left_semi")
-    nil_i, nil_d = F.lit(None).cast("int"), F.lit(None).cast("double")
-    u = (hp.select("query_id", "doc_id", F.lit(0).alias("kind"), F.col("pos").cast("int").alias("pos"),
-                   F.col("w").cast("double").alias("w"), nil_i.alias("clause_id"), nil_i.alias("item_id"),
-                   nil_i.alias("start"), nil_i.alias("end"))
-         .unionByName(op.select("query_id", "doc_id", F.lit(1).alias("kind"), nil_i.alias("pos"),
-                                nil_d.alias("w"), F.col("clause_id").cast("int"),
-                                F.col("item_id").cast("int"), F.col("start").cast("int"),
-                                F.col("end").cast("int"))))
-    np_ = n_pos.select("query_id", "clause_id", "n_pos")
-    u = u.unionByName(np_.join(matched, "query_id").select(
-        "query_id", "doc_id", F.lit(2).alias("kind"), nil_i.alias("pos"), nil_d.alias("w"),
-        F.col("clause_id").cast("int"), F.col("n_pos").cast("int").alias("item_id"),
-        nil_i.alias("start"), nil_i.alias("end")))
-    from .._ship import ensure_package
-    ensure_package(hits.sparkSession)
-    n = hits.sparkSession.sparkContext.defaultParallelism
-    parts = max(n, int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    grouped = u.repartition(parts, *QK).sortWithinPartitions(*QK)
-    return grouped.mapInPandas(_cover_batches, "query_id long, doc_id long, score double")
-
-
-def _cover_batches(batches):
-    """Rows arrive clustered by (query_id, doc_id); a group cut by a batch
-    boundary is carried over to the next batch."""
-    import numpy as np
-    import pandas as pd
-    carry = None
-    for pdf in batches:
-        if carry is not None:
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        if pdf.empty:
-            continue
-        q = pdf["query_id"].to_numpy(dtype=np.int64)
-        d = pdf["doc_id"].to_numpy(dtype=np.int64)
-        brk = np.flatnonzero((q[1:] != q[:-1]) | (d[1:] != d[:-1])) + 1
-        starts = np.concatenate(([0], brk))
-        last_start = int(starts[-1])
-        carry = pdf.iloc[last_start:].reset_index(drop=True)
-        if last_start == 0:
-            continue
-        yield _score_groups(pdf.iloc[:last_start], starts[:-1], last_start)
-    if carry is not None and not carry.empty:
-        yield _score_groups(carry, np.array([0]), len(carry))
-
-
-def _score_groups(pdf, starts, end):
-    import numpy as np
-    import pandas as pd
-    cols = {c: pdf[c].to_numpy() for c in ("kind", "pos", "w", "clause_id", "item_id", "start", "end")}
-    q = pdf["query_id"].to_numpy(dtype=np.int64)
-    d = pdf["doc_id"].to_numpy(dtype=np.int64)
-    bounds = np.concatenate((starts, [end]))
-    out = np.empty(len(starts), dtype=np.float64)
-    for g in range(len(starts)):
-        a, b = int(bounds[g]), int(bounds[g + 1])
-        out[g] = _cover_scores({c: v[a:b] for c, v in cols.items()})
-    return pd.DataFrame({"query_id": q[starts], "doc_id": d[starts], "score": out})
-
-
-def _cover_scores(g) -> float:
-    """Cover density of one document for one query.
-
-    ``kind 0`` rows are hits (pos, w), ``kind 1`` item occurrences
-    (clause_id, item_id, start, end), ``kind 2`` the number of positive items
-    of each clause (clause_id, item_id = n).  For every occurrence end ``e``
-    the latest start ``p(e)`` of a window ``[p, e]`` that satisfies the
-    query is ``max_clause(min_item(latest start of the item ending <= e))``;
-    ``e`` closes a minimal cover iff ``p(e)`` exceeds every earlier ``p``.
-    Cover score ``n_hits / sum(1/w) / (1 + gaps)``."""
-    import numpy as np
-    kind = g["kind"]
-    hk = kind == 0
-    pos = g["pos"][hk].astype(np.int64)
-    order = np.argsort(pos, kind="stable")
-    pos = pos[order]
-    inv = 1.0 / g["w"][hk].astype(np.float64)[order]
-    ok = kind == 1
-    if len(pos) == 0 or not ok.any():
-        return 0.0
-    cw = np.cumsum(inv)
-    s_idx = np.searchsorted(pos, g["start"][ok].astype(np.int64))
-    e_idx = np.searchsorted(pos, g["end"][ok].astype(np.int64))
-    clause = g["clause_id"][ok].astype(np.int64)
-    item = g["item_id"][ok].astype(np.int64)
-    nk = kind == 2
-    need_c = g["clause_id"][nk].astype(np.int64)
-    need_n = g["item_id"][nk].astype(np.int64)
-    events = np.unique(e_idx)
-    big = len(pos) + 1
-    # dense id per (clause, item); occurrences sorted by (id, end)
-    pair_keys, gid = np.unique(clause * (1 << 32) + item, return_inverse=True)
-    gclause = pair_keys >> 32
-    o = np.lexsort((e_idx, gid))
-    gs, es, ss = gid[o], e_idx[o], s_idx[o]
-    runmax = np.maximum.accumulate(ss + gs * big) - gs * big
-    okeys = gs * big + es
-    n_g = len(pair_keys)
-    grid = (np.arange(n_g)[:, None] * big + events[None, :]).ravel()
-    k = np.searchsorted(okeys, grid, side="right") - 1
-    kk = np.maximum(k, 0)
-    valid = (k >= 0) & (gs[kk] == np.repeat(np.arange(n_g), len(events)))
-    last = np.where(valid, runmax[kk], -1).reshape(n_g, len(events))
-    p = np.full(len(events), -1, dtype=np.int64)
-    for c, n_items in zip(need_c, need_n):
-        rows = np.flatnonzero(gclause == c)
-        if len(rows) < n_items:
-            continue
-        p = np.maximum(p, last[rows].min(axis=0))
-    prev = np.concatenate(([-1], np.maximum.accumulate(p)[:-1]))
-    cov = (p >= 0) & (p > prev)
-    if not cov.any():
-        return 0.0
-    e, s = events[cov], p[cov]
-    span = e - s
-    noise = (pos[e] - pos[s]) - span
-    noise = np.where(noise < 0, span // 2, noise)
-    invsum = cw[e] - cw[s] + inv[s]
-    return float(np.sum((span + 1) / invsum / (1 + noise)))
+def cover_density(hits: DataFrame, occ: DataFrame, matched: DataFrame, n_pos: DataFrame) -> DataFrame:
+    """``(query_id, doc_id, score)`` for the matched pairs, all in JVM windows (see ``covers``)."""
+    hp = hits.where(~F.col("negated")).select("query_id", "doc_id", "pos", "w").distinct().join(matched, QK, "left_semi")
+    op = occ.where(~F.col("negated")).join(matched, QK, "left_semi") \
+        .join(bounded_broadcast(materialize(n_pos, "n-pos")), ["query_id", "clause_id"])
+    return cover_scores(hp, op)
 
 
 def top_k(scored: DataFrame, queries: DataFrame | None = None, k: int = 20,
@@ -306,7 +184,7 @@ def search_text(corpus: DataFrame, queries: DataFrame, k: int = 20, config: str
     if not ranked:
         matched = matched.union(of_one.select(*QK))
         return matched if zero is None else matched.union(zero).distinct()
-    scored = cover_density(hits, occ, matched, n_pos, qt).unionByName(of_one)
+    scored = cover_density(hits, occ, matched, n_pos).unionByName(of_one)
     if zero is not None:
         scored = scored.unionByName(zero.join(matched, QK, "left_anti").withColumn("score", F.lit(0.0)))
     return top_k(scored, q, k).select("query_id", "rank", "doc_id", "score")
