@@ -4,7 +4,7 @@ Grammar (the web-search syntax has no parentheses, so it is already DNF):
 
 * bare words are ANDed,
 * ``"..."`` is a phrase (an unterminated quote runs to the end),
-* a stand-alone ``or`` (any case) separates clauses,
+* a stand-alone ``or`` (any case) between two operands separates clauses; elsewhere it is a word,
 * a leading ``-`` negates a word or a phrase,
 * a word chunk that analyses to several words (``b-tree``) is a phrase,
 * chunks with no word are dropped; the parser never fails.
@@ -38,11 +38,16 @@ def query_terms(queries: DataFrame, config: str = "simple", plain: bool = False)
     ch = queries.select("query_id", F.posexplode(
         F.regexp_extract_all(F.coalesce(F.col("q"), F.lit("")), F.lit(CHUNK_PATTERN), 0))
         .alias("item_id", "chunk"))
-    is_or = (F.lower(F.col("chunk")) == "or")
-    win = Window.partitionBy("query_id").orderBy("item_id").rowsBetween(Window.unboundedPreceding, 0)
-    ch = ch.select("query_id", F.col("item_id").cast("int"), "chunk",
-                   is_or.alias("is_or"),
-                   F.sum(is_or.cast("int")).over(win).cast("int").alias("clause_id"))
+    # `or` separates clauses only between two operands: of several in a row every second one is a word,
+    # and so is one that begins or ends the string
+    in_order = Window.partitionBy("query_id").orderBy("item_id")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    named = F.lower(F.col("chunk")) == "or"
+    ch = ch.withColumns({"named": named, "run": F.sum((~named).cast("int")).over(so_far), "last": F.lead("item_id").over(in_order).isNull()})
+    nr = F.row_number().over(Window.partitionBy("query_id", "run", "named").orderBy("item_id"))
+    between = (nr - (F.col("run") == 0).cast("int")) % 2 == 1
+    ch = ch.withColumn("is_or", F.col("named") & between & ~F.col("last"))
+    ch = ch.select("query_id", F.col("item_id").cast("int"), "chunk", "is_or", F.sum(F.col("is_or").cast("int")).over(so_far).cast("int").alias("clause_id"))
     items = ch.where(~F.col("is_or")).select(
         "query_id", "clause_id", "item_id",
         F.col("chunk").startswith("-").alias("negated"),

@@ -2,8 +2,9 @@
 
 Plan, all DataFrame operators:
 
-1. Collection frequency of the query vocabulary only (left-semi join of the
-   postings on the distinct query words, broadcast behind a size check).
+1. Collection frequency of the query vocabulary only: from a stored index'
+   term directory, or by a left-semi join of the postings on the distinct
+   query words (broadcast behind a size check).
 2. Rarest words first: per clause the two positive words of smallest
    collection frequency are its *anchors*; candidate documents hold both.
    Every match contains its clause's anchors, so nothing is lost, and
@@ -13,13 +14,8 @@ Plan, all DataFrame operators:
    which are check-pointed: every later step reads only this small table.
 4. Item occurrences (phrases: all words at ``start + offset``), clause
    checks, negation by ``left_anti`` -> matched ``(query_id, doc_id)``.
-5. Cover density (Clarke, Cormack & Tudhope): the hits and occurrences of
-   each matched ``(query_id, doc_id)`` meet in one group (one shuffle on
-   the pair; a group is bounded by one document) and a vectorised NumPy
-   function finds the minimal covers: for each occurrence end ``e`` the
-   latest cover start ``p(e) = max_clause(min_item(last start up to e))``;
-   ``e`` closes a minimal cover iff ``p(e)`` rises.  (An all-window
-   formulation needs events x items rows, ~80M at sf0.1.)
+5. Cover density: windows over each pair's occurrences (see ``covers``), one
+   shuffle on the pair.
 
 Cover score = ``n_hits / sum(1/weight) / (1 + gaps)`` with
 ``gaps = (end_pos - start_pos) - (end_idx - start_idx)``.  Hits are the
@@ -27,10 +23,10 @@ positions of the query's positive words (any clause) in the document.
 
 A clause of negated items only matches every document without them; documents
 that match by such clauses alone have score 0 and rank by id after all others.
-For the ranked form only the first ``k + (documents with the negated items)``
-ids of each such clause are tried, which is enough to fill ``k`` places, so
-no queries x corpus table arises.  A query of one word needs no covers: its
-score is the sum of the word's weights.
+For the ranked form only the first ``k`` documents by id that such a clause
+doesn't exclude are listed, found from the gaps of its posting list (see
+``complement``), so no queries x corpus table arises.  A query of one word
+needs no covers: its score is the sum of the word's weights.
 
 Deviation (stated): negated words are not part of the hit list used for covers.
 """
@@ -43,6 +39,7 @@ from pyspark.sql import functions as F
 from ..functions.text import is_blank
 from ..session import materialize
 from .analyze import postings as build_postings
+from .complement import first_free
 from .covers import cover_scores
 from .limits import cut, query_limits
 from .query_terms import query_terms
@@ -59,13 +56,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def match_hits(post: DataFrame, qt: DataFrame,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS):
+def match_hits(post: DataFrame, qt: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, freq: DataFrame | None = None):
     """Return ``(hits, occ, matched, n_pos, pos_ok)`` for the query term table.
 
-    ``pos_ok`` holds the ``(query_id, clause_id, doc_id)`` whose positive items all occur."""
-    vocab = bounded_broadcast(materialize(qt.select("term").distinct()), max_broadcast_rows)
-    cf = post.join(vocab, "term", "left_semi").groupBy("term").agg(F.count("*").alias("cf"))
+    ``pos_ok`` holds the ``(query_id, clause_id, doc_id)`` whose positive items all occur.
+    ``freq (term, cf)`` are known frequencies; else the postings are counted."""
+    cf = freq
+    if cf is None:
+        vocab = bounded_broadcast(materialize(qt.select("term").distinct()), max_broadcast_rows)
+        cf = post.join(vocab, "term", "left_semi").groupBy("term").agg(F.count("*").alias("cf"))
     posw = qt.where(~F.col("negated"))
     a = posw.select("query_id", "clause_id", "term").distinct().join(cf, "term", "left")
     wa = Window.partitionBy("query_id", "clause_id").orderBy(F.col("cf").asc(), F.col("term").asc())
@@ -131,24 +130,37 @@ def negated_clauses(qt: DataFrame) -> DataFrame:
     return qt.join(qt.where(~F.col("negated")).select("query_id", "clause_id").distinct(), ["query_id", "clause_id"], "left_anti")
 
 
-def excluded_by(post: DataFrame, pure: DataFrame) -> DataFrame:
-    """``(query_id, clause_id, doc_id)``: documents that hold a negated item of a purely negated clause.
-
-    Each such clause is searched as a query of its own, its items as the query's alternatives."""
-    own = pure.select(F.struct("query_id", "clause_id").alias("query_id"), F.col("item_id").alias("clause_id"),
-                      F.lit(0).alias("item_id"), F.lit(False).alias("negated"), "offset", "term", "n_words")
-    found = match_hits(post, materialize(own, "negated"))[2]
-    return found.select(F.col("query_id.query_id").alias("query_id"), F.col("query_id.clause_id").alias("clause_id"), "doc_id")
-
-
-def first_without(docs: DataFrame, clauses: DataFrame, excluded: DataFrame, kmax: int) -> DataFrame:
-    """``(query_id, doc_id)`` holding at least the first ``kmax`` documents by id that each clause doesn't exclude."""
-    from .ingest import assign_ids
-    placed = assign_ids(docs.select("doc_id"), ["doc_id"]).select("id", "doc_id")
-    n = excluded.groupBy("query_id", "clause_id").agg(F.count("*").alias("_n"))
-    tries = clauses.join(n, ["query_id", "clause_id"], "left").select(
-        "query_id", "clause_id", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(0)) + kmax)).alias("id"))
-    return tries.join(placed, "id").join(excluded, ["query_id", "clause_id", "doc_id"], "left_anti").select(*QK).distinct()
+def excluded_by(post: DataFrame, pure: DataFrame, freq: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(clauses, excluded)``: ``query_id, clause_id, clause`` and ``clause, doc_id``.
+
+    Purely negated clauses with equal items share one ``clause``, and so one
+    list of the documents that hold an item of theirs.  The documents of a
+    single word are its postings; other clauses are searched, each item as an
+    alternative."""
+    items = pure.groupBy("query_id", "clause_id", "item_id").agg(F.array_sort(F.collect_list(F.struct("offset", "term"))).alias("words"))
+    clauses = materialize(items.groupBy("query_id", "clause_id").agg(F.array_sort(F.collect_set("words")).alias("items")), "negated-clauses")
+    numbered = materialize(clauses.groupBy("items").agg(F.min(F.struct("query_id", "clause_id")).alias("clause")), "negated-distinct")
+    clauses = clauses.join(numbered, "items").select("query_id", "clause_id", "clause")
+    one = (F.size("items") == 1) & (F.size(F.col("items")[0]) == 1)
+    words = numbered.where(one).select("clause", F.col("items")[0][0]["term"].alias("term"))
+    found = post.join(bounded_broadcast(materialize(words, "negated-words")), "term").select("clause", "doc_id").distinct()
+    rest = numbered.where(~one).select(F.col("clause").alias("query_id"), F.posexplode("items").alias("clause_id", "words"))
+    rest = rest.select("query_id", "clause_id", F.lit(0).alias("item_id"), F.lit(False).alias("negated"), F.size("words").alias("n_words"),
+                       F.explode("words").alias("w")).select("query_id", "clause_id", "item_id", "negated", "w.offset", "w.term", "n_words")
+    rest = materialize(rest, "negated-items")
+    if not rest.isEmpty():
+        found = found.unionByName(match_hits(post, rest, freq=freq)[2].withColumnRenamed("query_id", "clause"))
+    return clauses, materialize(found, "excluded")
+
+
+def all_without(docs: DataFrame, clauses: DataFrame, excluded: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """``(query_id, doc_id)``: every document that a clause doesn't exclude, by blocks of places."""
+    last = ((docs.agg(F.max("place")).first()[0] or 0) - 1) // block
+    if last < 0:
+        return excluded.select(F.col("clause.query_id").alias("query_id"), "doc_id").limit(0)
+    tries = clauses.select("query_id", "clause", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long"))).alias("b"))
+    return tries.join(docs.select(F.floor((F.col("place") - 1) / block).alias("b"), "doc_id"), "b") \
+        .join(excluded, ["clause", "doc_id"], "left_anti").select(*QK).distinct()
 
 
 def search_text(corpus: DataFrame, queries: DataFrame, k: int = 20, config: str = "simple",
@@ -160,26 +172,39 @@ def search_text(corpus: DataFrame, queries: DataFrame, k: int = 20, config: str
     if post is None:
         post = build_postings(corpus, config)
     qt = materialize(query_terms(q, config=config, plain=plain))
+    return search_terms(q, qt, post, k=k, ranked=ranked, corpus=corpus)
+
+
+def search_terms(q: DataFrame, qt: DataFrame, post: DataFrame, k: int = 20, ranked: bool = True, freq: DataFrame | None = None,
+                 docs: DataFrame | None = None, corpus: DataFrame | None = None) -> DataFrame:
+    """``search_text`` of the parsed queries ``qt`` over the postings ``post``.
+
+    ``freq (term, cf)`` and ``docs (place, doc_id)`` are what a stored index
+    knows; without them words are counted and the corpus' ids numbered."""
     alone = qt.groupBy("query_id").agg(F.count("*").alias("_n"), F.max("negated").alias("_neg")).where("_n = 1 AND NOT _neg")
     singles = qt.join(alone.select("query_id"), "query_id", "left_semi")
     qt = materialize(qt.join(alone.select("query_id"), "query_id", "left_anti"), "longer")
     of_one = one_word_scores(post, singles)
-    hits, occ, matched, n_pos, pos_ok = match_hits(post, qt)
     pure = materialize(negated_clauses(qt), "pure-negated")
+    # a purely negated clause alone needs no hits of its words
+    hits, occ, matched, n_pos, pos_ok = match_hits(post, qt.join(pure.select("query_id", "clause_id").distinct(), ["query_id", "clause_id"], "left_anti"), freq=freq)
     zero = None
     if not pure.isEmpty():
-        if corpus is None:
-            raise ValueError("purely negated clauses need the corpus")
-        clauses = pure.select("query_id", "clause_id").distinct()
-        excluded = materialize(excluded_by(post, pure), "excluded")
+        if docs is None:
+            if corpus is None:
+                raise ValueError("purely negated clauses need the corpus")
+            from .ingest import assign_ids
+            docs = materialize(assign_ids(corpus.select("doc_id"), ["doc_id"]).select(F.col("id").alias("place"), "doc_id"), "places")
+        clauses, excluded = excluded_by(post, pure, freq)
+        clauses = materialize(clauses, "negated-of")
         if ranked:
-            zero = first_without(corpus, clauses, excluded, query_limits(q, k)[0])
+            # k documents beyond those that rank by a score are enough to fill k places
+            free = first_free(clauses.select("clause").distinct(), excluded, docs, query_limits(q, k)[0])
+            zero = clauses.join(free, "clause").select(*QK).distinct()
         else:
-            zero = corpus.select("doc_id").join(clauses, how="cross") \
-                .join(excluded, ["query_id", "clause_id", "doc_id"], "left_anti").select(*QK).distinct()
+            zero = all_without(docs, clauses, excluded)
         # Documents that match by a negated clause keep the covers of the query's other clauses.
-        also = pos_ok.select(*QK).distinct().join(clauses, "query_id") \
-            .join(excluded, ["query_id", "clause_id", "doc_id"], "left_anti").select(*QK)
+        also = pos_ok.select(*QK).distinct().join(clauses, "query_id").join(excluded, ["clause", "doc_id"], "left_anti").select(*QK)
         matched = materialize(matched.union(also).distinct(), "matched")
     if not ranked:
         matched = matched.union(of_one.select(*QK))
@@ -190,10 +215,13 @@ def search_text(corpus: DataFrame, queries: DataFrame, k: int = 20, config: str
     return top_k(scored, q, k).select("query_id", "rank", "doc_id", "score")
 
 
-def phrase_matches(post: DataFrame, queries: DataFrame, config: str = "simple") -> DataFrame:
-    """Documents containing the whole query as one phrase."""
+def phrase_items(queries: DataFrame, config: str = "simple") -> DataFrame:
+    """The term rows of whole queries as one phrase each."""
     q = queries.where(~is_blank(F.col("q")))
     words = q.select("query_id", F.concat(F.lit('"'), F.regexp_replace("q", '"', " "), F.lit('"')).alias("q"))
-    qt = materialize(query_terms(words, config=config))
-    _, _, matched, _, _ = match_hits(post, qt)
-    return matched
+    return materialize(query_terms(words, config=config))
+
+
+def phrase_matches(post: DataFrame, queries: DataFrame, config: str = "simple") -> DataFrame:
+    """Documents containing the whole query as one phrase."""
+    return match_hits(post, phrase_items(queries, config))[2]

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import embed_tokens, is_blank
+from ..session import materialize
 from ..operators import embedding as emb
 from ..operators import vectorsearch as vs
 from ..sources.tables import load_corpus, queries_from_benchmark, read_table
@@ -124,13 +125,13 @@ from ..functions.text import word_tokens  # noqa: E402
 from ..operators import analyze as an  # noqa: E402
 from ..operators import query_terms as qtm  # noqa: E402
 from ..operators import textsearch as ts  # noqa: E402
+from ..operators import wordindex as wi  # noqa: E402
 from ..sources.tables import text_queries_from_benchmark  # noqa: E402
 
 
 def _index(spark, sf, corpus=None):
     """Postings index of the corpus, written once per plan (the reference
     stores its lexeme vector on write as well)."""
-    from ..session import materialize
     return materialize(an.postings(corpus if corpus is not None else _corpus(spark, sf)), "postings")
 
 
@@ -268,24 +269,55 @@ def _varied_limits(q, id_col):
                         .when(turn == 4, 25).otherwise(50).cast("int"))
 
 
+def _benchmark_words(spark, sf):
+    """``id, q``: every distinct word of the benchmark, numbered from 1 in order."""
+    words = read_table(spark, sf, "benchmark").select(F.explode(word_tokens(F.col("text"))).alias("q")).distinct()
+    return materialize(ing.assign_ids(words, ["q"]).select("id", "q"), "benchmark-words")
+
+
+def _word_pairs(words):
+    """``id, q, q2``: each word and the next one."""
+    return words.join(words.select((F.col("id") - 1).alias("id"), F.col("q").alias("q2")), "id")
+
+
+def _shapes(rows, *queries):
+    """``query_id, q`` from the given query texts of each row, the first with id 2 * id, the second with the next."""
+    shapes = F.array(*[F.struct((F.col("id") * 2 + i).alias("query_id"), q.alias("q")) for i, q in enumerate(queries)])
+    return rows.select(F.explode(shapes).alias("x")).select("x.*")
+
+
 def q_search_limits(spark, sf):
-    """The shortest word of every item as a query."""
-    words = _bench_queries(spark, sf).select("query_id", F.explode(word_tokens(F.col("q"))).alias("q"))
-    short = words.groupBy("query_id").agg(F.min(F.struct(F.length("q").alias("n"), "q")).alias("x")).select("query_id", F.col("x.q").alias("q"))
-    return ts.search_text(_corpus(spark, sf), _varied_limits(short, "query_id"), k=K, post=_index(spark, sf))
+    """Every word of the benchmark as a query."""
+    words = _benchmark_words(spark, sf).withColumnRenamed("id", "query_id")
+    return ts.search_text(_corpus(spark, sf), _varied_limits(words, "query_id"), k=K, post=_index(spark, sf))
 
 
 def q_search_negated(spark, sf):
-    """``-word`` (even ids) and ``word or -next`` (odd ids) of every item's shortest word and the next item's."""
-    words = read_table(spark, sf, "benchmark").select("item_id", F.explode(word_tokens(F.col("text"))).alias("q"))
-    short = words.groupBy("item_id").agg(F.min(F.struct(F.length("q").alias("n"), "q")).alias("x")).select("item_id", F.col("x.q").alias("q"))
-    nxt = short.select((F.col("item_id") - 1).alias("item_id"), F.col("q").alias("q2"))
-    shapes = F.array(F.struct((F.col("item_id") * 2).alias("query_id"), F.concat(F.lit("-"), "q").alias("q")),
-                     F.struct((F.col("item_id") * 2 + 1).alias("query_id"), F.concat("q", F.lit(" or -"), "q2").alias("q")))
-    q = short.join(nxt, "item_id").select(F.explode(shapes).alias("x")).select("x.*")
+    """``-word`` (even ids) and ``word or -next`` (odd ids) for every word of the benchmark and the next one."""
+    q = _shapes(_word_pairs(_benchmark_words(spark, sf)), F.concat(F.lit("-"), "q"), F.concat("q", F.lit(" or -"), "q2"))
     return ts.search_text(_corpus(spark, sf), _varied_limits(q, "query_id"), k=K, post=_index(spark, sf))
 
 
+def q_search_words(spark, sf):
+    """Every word of the benchmark, alone and with the next one as an alternative, over a stored index."""
+    words = _benchmark_words(spark, sf)
+    q = words.select((F.col("id") * 2).alias("query_id"), "q") \
+        .unionByName(_shapes(_word_pairs(words), F.col("q"), F.concat("q", F.lit(" or "), "q2")).where("query_id % 2 = 1"))
+    return wi.stored_search(_stored(spark, sf), q, k=K)
+
+
+def _stored(spark, sf):
+    return wi.write_word_index(_corpus(spark, sf), _scratch(spark, "word-index"), block_docs=4096)
+
+
+def q_stored_search(spark, sf):
+    return wi.stored_search(_stored(spark, sf), _text_queries(spark, sf), k=K)
+
+
+def q_stored_phrase(spark, sf):
+    return wi.stored_phrases(_stored(spark, sf), _bench_queries(spark, sf))
+
+
 def q_vector_limits(spark, sf):
     q = _varied_limits(_bench_queries(spark, sf), "query_id")
     return vs.knn(emb.embed_queries(q), emb.embed_corpus(_corpus(spark, sf)), k=K, metric="cosine")
@@ -298,6 +330,9 @@ def q_hybrid_limits(spark, sf):
 
 QUERIES.update({
     "search_limits": q_search_limits,
+    "search_words": q_search_words,
+    "stored_search": q_stored_search,
+    "stored_phrase": q_stored_phrase,
     "search_negated": q_search_negated,
     "vector_limits": q_vector_limits,
     "hybrid_limits": q_hybrid_limits,
@@ -401,14 +436,24 @@ def q_index_documents(spark, sf):
     return _index_summary(tables)
 
 
-def q_stream_index(spark, sf):
+def _streamed(spark, sf):
+    """The corpus as JSON files indexed batch by batch."""
     from ..streaming.incremental import read_index, start_index_stream
     src = _scratch(spark, "stream-src")
-    (_corpus(spark, sf).select("doc_id", "title", "body", "tags")
-     .repartition(4, F.pmod(F.col("doc_id"), F.lit(4))).write.json(src))
+    _corpus(spark, sf).select("doc_id", "title", "body", "tags").repartition(4, "doc_id").write.json(src)
     out, ck = _scratch(spark, "stream-out"), _scratch(spark, "stream-ck")
     start_index_stream(spark, src, out, ck).awaitTermination()
-    return _index_summary(read_index(spark, out))
+    return read_index(spark, out)
+
+
+def q_stream_index(spark, sf):
+    return _index_summary(_streamed(spark, sf))
+
+
+def q_stream_search(spark, sf):
+    """The web-search queries over an index that a stream has written."""
+    tables = _streamed(spark, sf)
+    return ts.search_text(tables["corpus"], _text_queries(spark, sf), k=K, post=tables["postings"])
 
 
 def q_assign_ids(spark, sf):
@@ -445,6 +490,7 @@ QUERIES.update({
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "index_documents": q_index_documents,
     "stream_index": q_stream_index,
+    "stream_search": q_stream_search,
     "assign_ids": q_assign_ids,
     "union_sources": q_union_sources,
     "lookup_ids": q_lookup_ids,
@@ -462,7 +508,6 @@ IVF_LISTS = 100
 
 def _ivf(spark, sf):
     c = _corpus(spark, sf)
-    from ..session import materialize
     docs = materialize(emb.embed_corpus(c), "vectors")
     cents, assigned = ivf.build_ivf(docs, lists=IVF_LISTS)
     assigned = materialize(assigned, "ivf")

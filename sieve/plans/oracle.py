@@ -145,11 +145,18 @@ def _qt(src: str) -> str:
     return f"""chunks AS (
   SELECT query_id, unnest(ch) AS chunk, unnest(range(0, len(ch))) AS item_id
   FROM (SELECT query_id, regexp_extract_all(q, '-?"[^"]*"?|[^\\s"]+') AS ch FROM {src})),
-cl AS (
-  SELECT *, lower(chunk) = 'or' AS is_or,
-         sum(CASE WHEN lower(chunk) = 'or' THEN 1 ELSE 0 END)
-           OVER (PARTITION BY query_id ORDER BY item_id ROWS UNBOUNDED PRECEDING) AS clause_id
+named AS (
+  SELECT *, lower(chunk) = 'or' AS named,
+         sum(CASE WHEN lower(chunk) = 'or' THEN 0 ELSE 1 END) OVER (PARTITION BY query_id ORDER BY item_id ROWS UNBOUNDED PRECEDING) AS run,
+         max(item_id) OVER (PARTITION BY query_id) AS last_item
   FROM chunks),
+ors AS (
+  SELECT *, named AND item_id < last_item
+         AND (row_number() OVER (PARTITION BY query_id, run, named ORDER BY item_id) - (run = 0)::INT) % 2 = 1 AS is_or
+  FROM named),
+cl AS (
+  SELECT *, sum(is_or::INT) OVER (PARTITION BY query_id ORDER BY item_id ROWS UNBOUNDED PRECEDING) AS clause_id
+  FROM ors),
 items AS (
   SELECT query_id, clause_id, item_id, starts_with(chunk, '-') AS negated,
          regexp_extract_all(lower(regexp_replace(chunk, '^-|"', '', 'g')), {WORD}) AS words
@@ -354,25 +361,24 @@ SELECT query_id, n_text, n_vector, n_hybrid, n_common,
 
 LIMIT = "CASE {id} % 6 WHEN 3 THEN 5 WHEN 4 THEN 25 WHEN 5 THEN 50 ELSE 20 END"
 
-SHORT = f"""sw AS (
-  SELECT item_id, word FROM (
-    SELECT item_id, word, row_number() OVER (PARTITION BY item_id ORDER BY length(word), word) AS r
-    FROM (SELECT item_id, unnest(regexp_extract_all(lower(coalesce(text, '')), {WORD})) AS word FROM benchmark)) WHERE r = 1)"""
+WORDS = f"""sw AS (
+  SELECT word, row_number() OVER (ORDER BY word) AS id
+  FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), {WORD})) AS word FROM benchmark))"""
 
 WORD_SUMS = "ws AS (SELECT term, doc_id, sum(w) AS s FROM post WHERE term IN (SELECT word FROM sw) GROUP BY ALL)"
 
-SEARCH_LIMITS = f"""WITH {CORPUS}, {POST}, {SHORT}, {WORD_SUMS},
-r AS (SELECT sw.item_id AS query_id, ws.doc_id, round(s, 6) + 0.0 AS score,
-             row_number() OVER (PARTITION BY sw.item_id ORDER BY round(s, 6) DESC, ws.doc_id) AS rank
+SEARCH_LIMITS = f"""WITH {CORPUS}, {POST}, {WORDS}, {WORD_SUMS},
+r AS (SELECT sw.id AS query_id, ws.doc_id, round(s, 6) + 0.0 AS score,
+             row_number() OVER (PARTITION BY sw.id ORDER BY round(s, 6) DESC, ws.doc_id) AS rank
       FROM sw JOIN ws ON ws.term = sw.word)
 SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= {LIMIT.format(id='query_id')}"""
 
-SEARCH_NEGATED = f"""WITH {CORPUS}, {POST}, {SHORT}, {WORD_SUMS},
-pair AS (SELECT a.item_id, a.word AS w1, b.word AS w2 FROM sw a JOIN sw b ON b.item_id = a.item_id + 1),
-m AS (SELECT item_id * 2 AS query_id, c.doc_id, 0.0 AS score FROM pair CROSS JOIN corpus c
+SEARCH_NEGATED = f"""WITH {CORPUS}, {POST}, {WORDS}, {WORD_SUMS},
+pair AS (SELECT a.id, a.word AS w1, b.word AS w2 FROM sw a JOIN sw b ON b.id = a.id + 1),
+m AS (SELECT id * 2 AS query_id, c.doc_id, 0.0 AS score FROM pair CROSS JOIN corpus c
       WHERE NOT EXISTS (SELECT 1 FROM ws WHERE ws.term = w1 AND ws.doc_id = c.doc_id)
       UNION ALL
-      SELECT item_id * 2 + 1, c.doc_id, coalesce(p.s, 0.0) FROM pair CROSS JOIN corpus c
+      SELECT id * 2 + 1, c.doc_id, coalesce(p.s, 0.0) FROM pair CROSS JOIN corpus c
       LEFT JOIN ws p ON p.term = w1 AND p.doc_id = c.doc_id
       LEFT JOIN ws n ON n.term = w2 AND n.doc_id = c.doc_id
       WHERE p.s IS NOT NULL OR n.s IS NULL),
@@ -380,6 +386,14 @@ r AS (SELECT query_id, doc_id, round(score, 6) + 0.0 AS score,
              row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM m)
 SELECT query_id, rank::INTEGER AS rank, doc_id, score::DOUBLE AS score FROM r WHERE rank <= {LIMIT.format(id='query_id')}"""
 
+SEARCH_WORDS = f"""WITH {CORPUS}, {POST}, {WORDS}, {WORD_SUMS},
+asked AS (
+  SELECT id * 2 AS query_id, word FROM sw
+  UNION ALL SELECT a.id * 2 + 1, unnest([a.word, b.word]) FROM sw a JOIN sw b ON b.id = a.id + 1),
+m AS (SELECT query_id, doc_id, round(sum(s), 6) + 0.0 AS score FROM asked JOIN ws ON ws.term = asked.word GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM m)
+SELECT query_id, rank::INTEGER AS rank, doc_id, score::DOUBLE AS score FROM r WHERE rank <= 20"""
+
 VECTOR_LIMITS = f"""WITH {COSINE_DOCS_CTE}
 SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {LIMIT.format(id='query_id')}"""
 
@@ -387,6 +401,10 @@ HYBRID_LIMITS = HYBRID_RRF.replace("rank <= 20", f"rank <= {LIMIT.format(id='que
 
 ORACLE.update({
     "search_limits": SEARCH_LIMITS,
+    "search_words": SEARCH_WORDS,
+    "stored_search": SEARCH_RANKED,
+    "stored_phrase": SEARCH_PHRASE,
+    "stream_search": SEARCH_RANKED,
     "search_negated": SEARCH_NEGATED,
     "vector_limits": VECTOR_LIMITS,
     "hybrid_limits": HYBRID_LIMITS,
