@@ -10,8 +10,9 @@ the last one is the index: ids of documents, their token counts, frames and
 places.  A reader takes the footer, the seek table and the index from the end
 of the file and then only the frames it needs, each checked by its checksum.
 
-Documents are dealt to files by a range partitioning on the id, so files and
-the documents in them stand in ascending order; a task streams its documents
+Documents are dealt to files by a range partitioning on the id and a hash of
+the text, or on columns of the caller, so files and the documents in them stand
+in ascending order; a task streams its documents
 into frames and never holds more than one frame, its index and one batch.
 Every attempt writes a file of its own name; only the files named in the
 manifest, which Spark commits, belong to the result, so a lost executor or a
@@ -19,7 +20,7 @@ second attempt does no harm.  The files lie in a folder that all executors
 share (below ``spark.checkpoint.dir`` by default).
 
 Edge cases: a null or empty text is the end id alone; rows with a null id come
-first, rows with equal ids stand beside each other, by text; long texts get a
+first, rows with equal ids stand beside each other, by a hash of the text; long texts get a
 frame of their own; an empty table gives no file and an empty result.
 """
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -116,9 +117,10 @@ class FrameReader:
 
 
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, end_id: int = 2,
-                      id_col: str = "doc_id", text_col: str = "text", frame_ids: int = FRAME_IDS) -> DataFrame:
+                      id_col: str = "doc_id", text_col: str = "text", frame_ids: int = FRAME_IDS, order: list[Column] | None = None) -> DataFrame:
     """Encode ``docs`` into files below ``folder``; the manifest ``part, path, n_docs, n_tokens`` in order.
 
+    Documents stand in ascending order of the id, or of the columns ``order``.
     ``tokenizer`` is the path of a byte-level BPE file of the tokenizers library
     that every executor can read; special tokens aren't added, ``end_id`` ends
     each document."""
@@ -127,9 +129,10 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
     folder = folder or shared_path(spark, "token-files")
     tokenizer = tokenizer or default_tokenizer()
     end = struct.pack("<I", end_id)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text") \
-        .select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    order = order or [F.col(id_col).cast("long"), F.xxhash64(F.col(text_col).cast("string"))]  # rows that share an id are dealt out too
+    by = [f"_by{i}" for i in range(len(order))]
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[c.alias(b) for c, b in zip(order, by)])
+    rows = rows.repartitionByRange(*by).sortWithinPartitions(*by).select(F.spark_partition_id().alias("part"), "doc_id", "text")
 
     def run(batches):
         fs, base = pafs.FileSystem.from_uri(folder)

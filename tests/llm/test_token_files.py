@@ -85,3 +85,18 @@ def test_edges(spark):
     assert [r.ids for r in got][2:4] == [[2], [2]] and got[1].n_tokens > 90_000
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert read_token_files(write_token_files(empty)).count() == 0
+
+
+def test_rows_of_one_id_are_dealt_out_and_order_of_the_caller(spark):
+    """Rows that share a null id go to several files; with an order, files hold documents in it."""
+    from pyspark.sql import functions as F
+    docs = spark.range(4000).select(F.when(F.col("id") % 10 > 6, F.col("id")).alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"),
+                                    ((F.col("id") * 7919) % 4001).alias("position")).repartition(6)
+    manifest = write_token_files(docs)
+    assert manifest.agg(F.max("n_docs")).first()[0] < 1500 and manifest.count() > 4
+    got = [r.doc_id for r in read_token_files(manifest).orderBy("start").collect()]
+    assert got == [None] * 2800 + sorted(r.doc_id for r in docs.filter("doc_id is not null").collect())
+    t, text_at = plain(), {r.text: r.position for r in docs.collect()}
+    rows = read_token_files(write_token_files(docs, order=[F.col("position")])).orderBy("start").collect()
+    places = [text_at[t.decode(r.ids[:-1])] for r in rows]
+    assert places == sorted(places) and len(places) == 4000
