@@ -63,8 +63,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-id files of the mix; a row for each document in them."""
-    return read_token_files(write_token_files(docs), with_ids=False)
+    """Token-id files of the mix, in training order; a row for each document in them.
+
+    The mix comes as a table written in training order: its files in order of
+    their names, and the rows in them, hold that order."""
+    order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")] if docs.inputFiles() else None
+    return read_token_files(write_token_files(docs, order=order), with_ids=False)
 
 
 STAGES = [("toxicity", toxicity), ("ngram_jaccard", ngram_jaccard), ("decontamination", decontamination),
