@@ -19,7 +19,8 @@ sets of sizes ``s1 <= s2`` with Jaccard similarity of ``t`` or more have
   of at most one shingle: what makes a block poor is its content, which both
   members share, so one common block is sent by both.
 * **Verification.**  Candidates must pass the size test and the Hamming test on
-  a dense 1,024-bit parity sketch; the rest are verified on the whole texts.
+  a dense parity sketch of 1,024 bits, or as many as the set's size rounded up to
+  a power of two; the rest are verified on the whole texts.
 
 Only the components are wanted, so a key's group isn't expanded into pairs.
 Each member is compared with the group's first one; members that still lie in
@@ -52,7 +53,7 @@ from ._common import python_ready, saved, within
 from .components import components
 
 _WORDS = 400_000          # bound of the word-hash cache of a task
-_SKETCH = 1024            # bits of the dense sketch
+_SKETCH = 1024            # least bits of the dense sketch
 EXTRA_LEADERS = 2         # rounds of further leading members before members are compared with all others
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
@@ -110,7 +111,7 @@ class Scheme:
         """``k, s, d_max`` of a band's scheme."""
         upper = self.low[band + 1] - 1
         d = 2 * upper * (self.den - self.num) // (self.den + self.num)
-        s = d // 16
+        s = d // 8
         return d + 1 + s, s, d
 
     def keys(self, sh: np.ndarray) -> np.ndarray:
@@ -142,30 +143,38 @@ def _node(sh: np.ndarray) -> int:
         return int(mix(np.array([np.bitwise_xor.reduce(sh) + mix(sh + _P).sum() * _P + _U(len(sh))]))[0].view(np.int64))
 
 
-def _sketch(sh: np.ndarray) -> np.ndarray:
-    bits = np.bincount((mix(sh + _U(1)) >> _U(54)).astype(np.int64), minlength=_SKETCH) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+def sketch_bits(size: int) -> int:
+    """Bits of the dense sketch of a set: a power of two that doesn't fall behind its size, as a full sketch tells nothing."""
+    return max(_SKETCH, 1 << (size - 1).bit_length())
+
+
+def _sketch(sh: np.ndarray, bits: int) -> np.ndarray:
+    at = (mix(sh + _U(1)) >> _U(65 - bits.bit_length())).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """``doc_id, mark, n_shingles, node, sketch`` by row; node and sketch are null for empty sets.
+    """``doc_id, mark, n_shingles, node, sketch, half`` by row; node and sketch are null for empty sets.
 
-    ``mark`` is a hash of the text, never null."""
+    ``mark`` is a hash of the text, never null; ``half`` is the sketch with
+    half as many bits, null if that were fewer than ``_SKETCH``."""
     def run(batches):
         words = WordHash()
         for b in batches:
-            size, node, sketch = [], [], []
+            size, node, sketch, half = [], [], [], []
             for t in b.column(1).to_pylist():
                 sh = shingles(t, n, words)
                 size.append(len(sh))
                 node.append(_node(sh) if len(sh) else None)
-                sketch.append(_sketch(sh) if len(sh) else None)
+                bits = sketch_bits(len(sh)) if len(sh) else 0
+                sketch.append(_sketch(sh, bits) if bits else None)
+                half.append(_sketch(sh, bits // 2) if bits > _SKETCH else None)
             yield pa.record_batch([b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
-                                   pa.array(sketch, pa.list_(pa.int64()))],
-                                  names=["doc_id", "mark", "n_shingles", "node", "sketch"])
+                                   pa.array(sketch, pa.list_(pa.int64())), pa.array(half, pa.list_(pa.int64()))],
+                                  names=["doc_id", "mark", "n_shingles", "node", "sketch", "half"])
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")) \
-        .mapInArrow(run, "doc_id long, mark long, n_shingles long, node long, sketch array<long>")
+        .mapInArrow(run, "doc_id long, mark long, n_shingles long, node long, sketch array<long>, half array<long>")
 
 
 def block_keys(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
@@ -200,14 +209,23 @@ def groups(keys: DataFrame) -> DataFrame:
 
 
 def _near(a: str, b: str, num: int, den: int):
-    """Size test, and the Hamming distance of the dense sketches with its test, of sides with columns ``n`` and ``s``."""
-    na, nb = F.col(f"n{a}"), F.col(f"n{b}")
-    far = sum((F.bit_count(F.col(f"s{a}")[i].bitwiseXOR(F.col(f"s{b}")[i])) for i in range(_SKETCH // 64)), F.lit(0))
-    return (den * F.least(na, nb) >= num * F.greatest(na, nb)) & (far * (den + num) <= (na + nb) * (den - num)), far
+    """Size test, and the Hamming distance of the dense sketches with its test, of sides with columns ``n``, ``s`` and ``h``.
+
+    Sets that pass the size test have sketches of equal length, or one has
+    twice the bits and gives its half."""
+    na, nb, sa, sb = F.col(f"n{a}"), F.col(f"n{b}"), F.col(f"s{a}"), F.col(f"s{b}")
+    x = F.when(F.size(sa) > F.size(sb), F.col(f"h{a}")).otherwise(sa)
+    y = F.when(F.size(sb) > F.size(sa), F.col(f"h{b}")).otherwise(sb)
+    words = _SKETCH // 64
+    short = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(words)), F.lit(0))
+    long = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, n: t + n)
+    far = F.when(F.size(x) == words, short).otherwise(long)
+    sized = den * F.least(na, nb) >= num * F.greatest(na, nb)
+    return F.when(sized, far * (den + num) <= (na + nb) * (den - num)).otherwise(False), far
 
 
 def _side(nodes: DataFrame, x: str) -> DataFrame:
-    return nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    return nodes.select(F.col("node").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("half").alias(f"h{x}"))
 
 
 def near_by_sketch(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
@@ -262,7 +280,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     scheme = Scheme(num, den)
     sig = saved(signatures(docs, n), "jac-signatures")
     nodes = saved(sig.filter("node is not null").groupBy("node").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "jac-nodes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("half").alias("half")), "jac-nodes")
     met = saved(groups(block_keys(docs, n, scheme)), "jac-groups")
 
     state = {"labels": None}

@@ -134,3 +134,24 @@ def test_shingles_rule():
     assert np.array_equal(shingles("Aa BB cc dd", 4, w), shingles("aa bb\tCC\x0bdd ", 4, w))
     assert not np.array_equal(shingles("É b c d", 4, w), shingles("é b c d", 4, w))
     assert len(shingles("a b a b a b a b", 2, w)) == 2
+
+
+def test_sketches_tell_large_sets_apart(spark):
+    """Unrelated sets of any size fail the sketch test, linked ones never do, across the sizes at which sketches grow."""
+    from pyspark.sql import functions as F
+
+    from sieve.llm.jaccard import near_by_sketch, signatures
+    r = random.Random(9)
+    rows, related = [], set()
+    for size in (40, 900, 1020, 1100, 2040, 2100, 5000):
+        for k in range(4):
+            words = [f"{size}x{k}x{r.randrange(10 ** 9)}" for _ in range(size)]
+            near = words + [f"new{i}" for i in range(size // 20)]
+            related.add((len(rows), len(rows) + 1))
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(near))]
+    nodes = signatures(spark.createDataFrame(rows, "doc_id long, text string"), 3)
+    assert {len(x.sketch) * 64 for x in nodes.collect()} == {1024, 2048, 4096, 8192}
+    of = {x.node: x.doc_id for x in nodes.collect()}
+    pairs = spark.createDataFrame([(a, b) for a in of for b in of if of[a] < of[b]], "a long, b long")
+    got = {(of[x.a], of[x.b]) for x in near_by_sketch(pairs, nodes.select("node", "n_shingles", "sketch", F.col("half")), 80, 100).collect()}
+    assert got == related
