@@ -24,8 +24,8 @@ sets of sizes ``s1 <= s2`` with Jaccard similarity of ``t`` or more have
 
 Only the components are wanted, so a key's group isn't expanded into pairs.
 Each member is compared with the group's first one; members that still lie in
-another component than the first get a first member of their own, twice; those
-still apart are compared with the group's other members, by sketch inside the
+another component than the first get a leader of their own, another one in each
+of ``EXTRA_LEADERS`` rounds; those still apart are compared with the group's other members, by sketch inside the
 join, which yields only near pairs.  Then every pair that
 shares a key has been compared or is connected already, so no link that would
 join two components is lost.  Exact copies share one node (the fingerprint of
@@ -54,7 +54,7 @@ from .components import components
 
 _WORDS = 400_000          # bound of the word-hash cache of a task
 _SKETCH = 1024            # least bits of the dense sketch
-EXTRA_LEADERS = 2         # rounds of further leading members before members are compared with all others
+EXTRA_LEADERS = 6         # rounds of further leading members before members are compared with all others
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
 
@@ -312,20 +312,23 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
         link(rest)
 
     wide = met.filter("size > 2 AND place > 1").select("key", "node", "first")
-    # Members apart from their group's first member often link among themselves: the smallest of them leads the others.
-    for _ in range(EXTRA_LEADERS if not wide.isEmpty() else 0):
+    # Members apart from their group's first member often link among themselves: one of them, another each round, leads the others.
+    for turn in range(EXTRA_LEADERS if not wide.isEmpty() else 0):
         open_pairs = saved(apart(firsts), "jac-open")
         left = wide.join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b"))).select("key", "node")
         if state["labels"] is not None:  # members of one component need one leader only, so the next is of another
             left = left.join(state["labels"], "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
         else:
             left = left.withColumn("label", F.col("node"))
-        lead = F.min(F.struct("label", "node")).over(W.partitionBy("key"))
-        pairs = left.withColumn("lead", lead).filter("label != lead.label").select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct()
-        pairs = saved(near_by_sketch(pairs, nodes, num, den), "jac-led")
+        lead = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "label", "node")).over(W.partitionBy("key"))
+        pairs = left.withColumn("lead", lead).filter("label != lead.label") \
+            .select(F.greatest(F.col("node"), F.col("lead.node")).alias("a"), F.least(F.col("node"), F.col("lead.node")).alias("b")).distinct()
+        pairs = saved(pairs, "jac-turn")
         if pairs.isEmpty():
             break
-        link(pairs.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
+        pairs = saved(near_by_sketch(pairs, nodes, num, den), "jac-led")
+        if not pairs.isEmpty():
+            link(pairs.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
 
     # Members that aren't in the component of their group's first member meet the group's
     # other members; the sketches are compared inside the join, which yields near pairs only.
