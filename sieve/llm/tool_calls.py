@@ -17,7 +17,7 @@ Everything is DataFrame functions.
 Edge cases: repeated calls or results of one identifier count once, the first
 by position (``n_calls``, ``n_results`` tell how many there were); a call
 without an identifier is linked with nothing; results without a call get a row
-of their own (``orphan_result``); dependencies on unknown calls are ignored;
+of their own (``orphan_result``), those without an identifier too, unless equal in position and content; dependencies on unknown calls are ignored;
 arguments that aren't a JSON object are ``invalid_json``, tools without a
 schema are ``unknown_tool``; nulls, empty texts and empty tables are allowed,
 other columns are ignored.
@@ -71,7 +71,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
                                                                         F.coalesce(F.col("arguments"), F.lit(""))))
     c = calls.withColumn("conv_key", conv).withColumn("key", call_id).groupBy("conv_key", "key").agg(
         F.min(F.struct("position", "name", "arguments", "depends_on", "conv_id", "call_id")).alias("c"), F.count("*").alias("n_calls"))
-    result_id = F.coalesce(F.concat(F.lit("="), F.col("call_id")), F.lit("!"))
+    result_id = F.coalesce(F.concat(F.lit("="), F.col("call_id")), F.concat(F.lit("!"), F.coalesce(F.col("position").cast("string"), F.lit("")),
+                                                                          F.lit(" "), F.coalesce(F.col("content"), F.lit(""))))
     r = results.withColumn("conv_key", conv).withColumn("key", result_id).groupBy("conv_key", "key").agg(
         F.min(F.struct("position", "content", "conv_id", "call_id")).alias("r"), F.count("*").alias("n_results"))
     c = saved(c, "calls")

@@ -42,3 +42,11 @@ def test_random_order_is_topological(spark):
     key = {c: (got[c].level if c in got else 0, p) for _, c, p, _ in rows}
     assert not any(x.cyclic for x in got.values())
     assert all(key[d] < key[c] for _, c, _, deps in rows for d in deps)
+
+
+def test_results_without_identifier_stay_apart(spark):
+    results = [(1, None, 2, "one"), (1, None, 2, "two"), (1, None, 5, "one"), (1, None, 5, "one"), (1, None, None, None), (2, None, 2, "one")]
+    rows = link_calls(spark.createDataFrame([], CALLS), spark.createDataFrame(results, RESULTS), spark.createDataFrame([], SCHEMAS)).collect()
+    got = sorted((r.conv_id, r.position, json.loads(r.canonical)["result"], r.n_results, r.status) for r in rows if r.position is not None)
+    assert got == [(1, 2, "one", 1, "orphan_result"), (1, 2, "two", 1, "orphan_result"), (1, 5, "one", 2, "orphan_result"), (2, 2, "one", 1, "orphan_result")]
+    assert len(rows) == 5
