@@ -1,144 +1,121 @@
 """Substring overlap ranking, trigram similarity, ILIKE.
 
-Substring predicates cannot be equi-joins, and emitting every (query,
-document) pair would grow as queries x corpus.  Two shapes are used instead:
-
-* R4 / R7 -- the distinct query terms (size checked) are broadcast; each
-  task tests them against its documents with native substring search, turns
-  the test into a (documents x terms) matrix, scores all queries with one
-  matrix product and keeps only a local top-k per query.  The corpus is
-  never shuffled and no pair becomes a row.
-* R6 -- trigram sets are compared with an exact set-similarity join: grams
-  in one global order (rarest first); two sets with Jaccard >= t must share
-  a gram within the first ``|x| - ceil(t|x|) + 1`` grams of each (prefix
-  filter), so only prefix grams are joined to find candidates, then the
-  exact overlap is counted for the candidates only.
+A substring predicate has no equi-join key of its own.  Both substring
+operators get one from grams: a string that contains a pattern contains each
+gram of it, so a pattern looks up only its *rarest* gram of three characters
+(or itself, when shorter) among the grams of the strings, and what is longer
+than a gram is verified.
+
+* R4 -- a query term holds no white space, so it lies inside one white-space
+  chunk of a document.  Terms are matched with the distinct chunks of the
+  corpus (its vocabulary, much smaller than the text), and chunks lead to
+  documents by an equi-join.
+* R7 -- the same lookup on the strings of one column.
+* R6 -- scan counting: each task counts, for a batch of titles, how many
+  grams each title shares with each query from the queries' gram lists.
+  Counts stay inside the task; a running k-th similarity by query drops what
+  can't be among the best any more.  No pair below the threshold is a row.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._ship import ensure_package
-from ..functions.text import is_blank
+from ..functions.text import BLANK, WORD_PATTERN, is_blank
+from ..session import materialize
 from .limits import cut, query_limits
 
-DEFAULT_MAX_TERMS = 1_000_000
+GRAM = 3
+QUERY_BLOCK_BYTES = 64 << 20
+_CELLS = 4 << 20     # counters of a tile of titles x queries
+_PIECE = 8 << 20     # increments done at once
+
+
+# -- substring lookup ------------------------------------------------------------
+
+def _substrings(s: Column, n: int) -> Column:
+    """Distinct substrings of ``n`` characters, by one pass of a look-ahead; the empty one for ``n = 0``."""
+    if n == 0:
+        return F.array(F.lit(""))
+    return F.array_distinct(F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{n}}}))"), 1))
+
+
+def substring_candidates(patterns: DataFrame, strings: DataFrame) -> DataFrame:
+    """``(pattern, sid, exact)``: strings holding the rarest gram of a pattern.
+
+    ``patterns(pattern)`` are distinct, ``strings(sid, s)`` are looked through.
+    Patterns of at most three characters are their own gram, so their rows
+    are ``exact``; the others are still to be verified.  An empty pattern
+    lies in every string."""
+    n = F.least(F.length("pattern"), F.lit(GRAM))
+    lengths = sorted(r["n"] for r in patterns.select(n.alias("n")).distinct().collect())
+    grams = F.array().cast("array<string>")
+    for i in lengths:
+        grams = F.when(n == i, _substrings(F.col("pattern"), i)).otherwise(grams)
+    keys = patterns.select("pattern", F.explode(grams).alias("gram"))
+    of_strings = [_substrings(F.col("s"), i) for i in lengths] or [F.array().cast("array<string>")]
+    index = materialize(strings.select("sid", F.explode(F.concat(*of_strings)).alias("gram"))
+                        .join(keys.select("gram").distinct(), "gram", "left_semi"), "gram-index")
+    sizes = index.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = (keys.join(sizes, "gram", "left").groupBy("pattern")
+              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("m"))
+              .select("pattern", F.col("m.gram").alias("gram")))
+    return rarest.join(index, "gram").select("pattern", "sid", (F.length("pattern") <= GRAM).alias("exact"))
 
 
 # -- R4 ------------------------------------------------------------------------
 
-def overlap_search(corpus: DataFrame, queries: DataFrame, k: int = 20,
-                   max_terms: int = DEFAULT_MAX_TERMS) -> DataFrame:
+def overlap_search(corpus: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     """``(query_id, rank, doc_id, score)``.
 
-    Query: lower-cased, split on white space.  Each term that is a substring
-    of ``lower(title + ' ' + body)`` adds 1, plus 0.5 when it is also in the
-    lower-cased title; repeated terms count again; score > 0 kept; ties in
-    document order."""
-    spark = corpus.sparkSession
-    ensure_package(spark)
+    Query: lower-cased, split on white space (Unicode separators too).  Each
+    term that is a substring of ``lower(title + ' ' + body)`` adds 1, plus 0.5
+    when it is also in the lower-cased title; repeated terms count again;
+    score > 0 kept; ties by id.  Ids of documents are distinct; nulls count
+    as empty texts."""
     q = queries.where(~is_blank(F.col("q")))
-    terms = (q.select("query_id", F.explode(F.split(F.lower(F.col("q")), r"\s+")).alias("term"))
-             .where(F.length("term") > 0)
-             .groupBy("query_id", "term").agg(F.count("*").alias("n")))
-    n_terms = terms.count()
-    if n_terms > max_terms:
-        raise ValueError(f"{n_terms} query terms exceed max_terms={max_terms}")
-    rows = terms.collect()
-    qids = sorted({r["query_id"] for r in rows})
-    vocab = sorted({r["term"] for r in rows})
-    qi = {v: i for i, v in enumerate(qids)}
-    ti = {v: i for i, v in enumerate(vocab)}
-    weights = np.zeros((len(vocab), len(qids)), dtype=np.float64)
-    for r in rows:
-        weights[ti[r["term"]], qi[r["query_id"]]] = r["n"]
-    if not qids:
-        return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    bc = spark.sparkContext.broadcast((np.array(qids, dtype=np.int64), vocab, weights))
-    docs = corpus.select(F.col("doc_id").cast("long"), F.coalesce("title", F.lit("")).alias("title"),
-                         F.coalesce("body", F.lit("")).alias("body"))
     k, limits = query_limits(q, k)
-    local = docs.mapInPandas(_overlap_scorer(bc, k), "query_id long, doc_id long, score double")
+    chunks = lambda c: F.array_distinct(F.split(F.lower(F.coalesce(c, F.lit(""))), f"{BLANK}+"))
+    terms = materialize(
+        q.select("query_id", F.explode(F.split(F.lower(F.col("q")), f"{BLANK}+")).alias("term"))
+        .where(F.length("term") > 0).groupBy("query_id", "term").agg(F.count("*").alias("n")), "overlap-terms")
+    docs = corpus.select(F.col("doc_id").cast("long"), chunks(F.col("title")).alias("t"), chunks(F.col("body")).alias("b"))
+    placed = docs.select("doc_id", F.explode(F.concat(
+        F.transform("t", lambda c: F.struct(c.alias("chunk"), F.lit(1.5).alias("w"))),
+        F.transform(F.array_except("b", "t"), lambda c: F.struct(c.alias("chunk"), F.lit(1.0).alias("w"))))).alias("x")
+    ).select("doc_id", "x.*")
+    vocabulary = placed.select(F.col("chunk").alias("s")).distinct().select(F.col("s").alias("sid"), "s")
+    found = substring_candidates(terms.select(F.col("term").alias("pattern")).distinct(), vocabulary)
+    of_chunk = materialize(found.where(F.col("exact") | F.contains("sid", "pattern"))
+                           .groupBy(F.col("sid").alias("chunk")).agg(F.collect_list("pattern").alias("terms")), "chunk-terms")
+    held = (placed.join(of_chunk, "chunk").select("doc_id", "w", F.explode("terms").alias("term"))
+            .groupBy("doc_id", "term").agg(F.max("w").alias("w")))
+    scores = (held.join(terms, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("n") * F.col("w")).alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
-    return cut(local.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k), limits) \
+    return cut(scores.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k), limits) \
         .select("query_id", "rank", "doc_id", "score")
 
 
-def _overlap_scorer(bc, k):
-    def run(batches):
-        import pandas as pd
-
-        from .vectorsearch import _local_topk
-        qids, vocab, weights = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf["doc_id"].to_numpy(dtype=np.int64)
-            hay = [(t + " " + b).lower() for t, b in zip(pdf["title"], pdf["body"])]
-            tl = [t.lower() for t in pdf["title"]]
-            m = np.zeros((len(hay), len(vocab)), dtype=np.float64)
-            for j, term in enumerate(vocab):
-                for i in range(len(hay)):
-                    if term in hay[i]:
-                        m[i, j] = 1.5 if term in tl[i] else 1.0
-            scores = m @ weights
-            oq, od, os_ = [], [], []
-            for j in range(len(qids)):
-                col = scores[:, j]
-                keep = np.flatnonzero(col > 0)
-                if len(keep) == 0:
-                    continue
-                sel = keep[_local_topk(-col[keep], ids[keep], k)]
-                oq.append(np.full(len(sel), qids[j], dtype=np.int64))
-                od.append(ids[sel])
-                os_.append(col[sel])
-            if oq:
-                yield pd.DataFrame({"query_id": np.concatenate(oq), "doc_id": np.concatenate(od),
-                                    "score": np.concatenate(os_)})
-    return run
-
-
 # -- R7 ------------------------------------------------------------------------
 
 def ilike_matches(corpus: DataFrame, patterns: DataFrame, column: str = "title") -> DataFrame:
     """``(query_id, doc_id)`` where ``column ILIKE '%' || pattern || '%'``.
 
-    Patterns ``(query_id, pattern)`` are broadcast after a size check; each
-    task tests them with native case-insensitive substring search."""
-    spark = corpus.sparkSession
-    ensure_package(spark)
-    n = patterns.count()
-    if n > DEFAULT_MAX_TERMS:
-        raise ValueError("too many patterns")
-    rows = patterns.select("query_id", "pattern").collect()
-    bc = spark.sparkContext.broadcast([(int(r["query_id"]), (r["pattern"] or "").lower()) for r in rows])
-    docs = corpus.select(F.col("doc_id").cast("long"), F.coalesce(column, F.lit("")).alias("s"))
-
-    def run(batches):
-        import pandas as pd
-        pats = bc.value
-        for pdf in batches:
-            low = [s.lower() for s in pdf["s"]]
-            ids = pdf["doc_id"].to_numpy(dtype=np.int64)
-            oq, od = [], []
-            for qid, p in pats:
-                for i, s in enumerate(low):
-                    if p in s:
-                        oq.append(qid)
-                        od.append(int(ids[i]))
-            yield pd.DataFrame({"query_id": np.array(oq, dtype=np.int64), "doc_id": np.array(od, dtype=np.int64)})
-
-    return docs.mapInPandas(run, "query_id long, doc_id long")
+    ``patterns(query_id, pattern)`` of any number; a null pattern counts as
+    empty, an empty one matches every document; a null column as empty."""
+    docs = corpus.select(F.col("doc_id").cast("long").alias("sid"), F.lower(F.coalesce(column, F.lit(""))).alias("s"))
+    p = patterns.select("query_id", F.lower(F.coalesce("pattern", F.lit(""))).alias("pattern"))
+    found = substring_candidates(p.select("pattern").distinct(), docs)
+    verified = (found.where(~F.col("exact")).join(docs, "sid").where(F.contains("s", "pattern")).select("pattern", "sid"))
+    pairs = found.where("exact").select("pattern", "sid").unionByName(verified)
+    return p.join(pairs, "pattern").select("query_id", F.col("sid").alias("doc_id"))
 
 
 # -- R6 ------------------------------------------------------------------------
 
-WORD_PATTERN = r"[\p{L}\p{N}]+"
-
-
 def trigram_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Words lower-cased and padded with two blanks before and one after;
     the *set* of their 3-character grams -> ``(id, gram)`` distinct rows."""
@@ -184,17 +161,117 @@ def trigram_similarity_join(left: DataFrame, right: DataFrame, threshold: float
             .where(F.col("inter") * den >= (F.col("ln") + F.col("rn") - F.col("inter")) * num))
 
 
+def gram_lists(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The sets of ``trigram_sets`` as arrays ``(id, grams)``, built row by row; texts without a word have none."""
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(F.col(text_col), F.lit(""))), F.lit(WORD_PATTERN), 0))
+    grams = F.array_distinct(F.flatten(F.transform(words, lambda x: _substrings(F.concat(F.lit("  "), x, F.lit(" ")), GRAM))))
+    return df.select(F.col(id_col).cast("long").alias("id"), grams.alias("grams")).where(F.size("grams") > 0)
+
+
 def fuzzy_title(corpus: DataFrame, queries: DataFrame, threshold: float = 0.3,
                 k: int | None = None) -> DataFrame:
     """Titles whose trigram similarity to the query is >= threshold:
-    ``(query_id, doc_id, similarity)``, optionally the top ``k`` per query."""
+    ``(query_id, doc_id, similarity)``, or with ``k`` the best ``k`` of each
+    query (its own ``k`` column counts, as in ``query_limits``) with a ``rank``.
+
+    ``threshold`` counts in thousandths and is above 0.  Ties by id.  The gram
+    lists of the queries are shipped in blocks of at most ``QUERY_BLOCK_BYTES``;
+    each block is one more scan of the titles."""
+    spark = corpus.sparkSession
+    ensure_package(spark)
+    num = int(round(threshold * 1000))
+    if num < 1:
+        raise ValueError("threshold must be at least 0.001")
     q = queries.where(~is_blank(F.col("q")))
-    qg = trigram_sets(q, "query_id", "q")
-    dg = trigram_sets(corpus, "doc_id", "title")
-    s = trigram_similarity_join(qg, dg, threshold).select(
-        F.col("lid").alias("query_id"), F.col("rid").alias("doc_id"),
-        (F.round("similarity", 6) + F.lit(0.0)).alias("similarity"))
+    limits = None
+    if k is not None:
+        k, limits = query_limits(q, k)
+    qg = materialize(gram_lists(q, "query_id", "q"), "query-grams")
+    size = qg.agg(F.sum(F.size("grams") * 24 + 32)).first()[0] or 0
+    blocks = -(-size // QUERY_BLOCK_BYTES)
+    titles = gram_lists(corpus, "doc_id", "title")
+    found = spark.createDataFrame([], "query_id long, doc_id long, key long")
+    for b in range(blocks):
+        rows = qg.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
+        if rows:
+            bc = spark.sparkContext.broadcast(_lists_of(rows))
+            found = found.unionByName(titles.mapInArrow(_scan_counter(bc, num, k), "query_id long, doc_id long, key long"))
     if k is None:
-        return s
-    w = Window.partitionBy("query_id").orderBy(F.col("similarity").desc(), F.col("doc_id").asc())
-    return s.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+        return found.select("query_id", "doc_id", (F.col("key") / 1e6).alias("similarity"))
+    w = Window.partitionBy("query_id").orderBy(F.col("key").desc(), F.col("doc_id").asc())
+    ranked = found.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
+    return cut(ranked, limits).select("query_id", "rank", "doc_id", (F.col("key") / 1e6).alias("similarity"))
+
+
+def _lists_of(rows):
+    """``(ids, sizes, grams, starts, members)``: queries in gram order, those of gram g at ``starts[g]:starts[g + 1]``."""
+    sizes = np.array([len(r["grams"]) for r in rows], dtype=np.int64)
+    grams, place = np.unique(np.array([g for r in rows for g in r["grams"]], dtype=object), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    members = np.repeat(np.arange(len(rows)), sizes)[order]
+    starts = np.searchsorted(place[order], np.arange(len(grams) + 1))
+    return np.array([r["id"] for r in rows], dtype=np.int64), sizes, list(grams), starts, members
+
+
+def _shared(row, gram, n_rows, n_queries, starts, members):
+    """Counts of shared grams, titles x queries, from the titles' occurrences ``(row, gram)``."""
+    fan = starts[gram + 1] - starts[gram]
+    counts = np.zeros(n_rows * n_queries, dtype=np.int64)
+    ends = np.cumsum(fan)
+    lo = 0
+    while lo < len(fan):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + _PIECE, side="right")))
+        f = fan[lo:hi]
+        first = np.cumsum(f) - f
+        at = np.repeat(starts[gram[lo:hi]] - first, f) + np.arange(f.sum())
+        counts += np.bincount(np.repeat(row[lo:hi], f) * n_queries + members[at], minlength=len(counts))
+        lo = hi
+    return counts.reshape(n_rows, n_queries)
+
+
+def _best(q, doc, key, k, n_queries):
+    """The ``k`` best hits of each query, and the similarity that a further hit of it must reach."""
+    order = np.lexsort((doc, -key, q))
+    q, doc, key = q[order], doc[order], key[order]
+    rank = np.arange(len(q)) - np.searchsorted(q, q)
+    least = np.zeros(n_queries, dtype=np.int64)
+    least[q[rank == k - 1]] = key[rank == k - 1]
+    return q[rank < k], doc[rank < k], key[rank < k], least
+
+
+def _scan_counter(bc, num, k):
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        qids, nq, grams, starts, members = bc.value
+        vocabulary = pa.array(grams, pa.string())
+        held = (np.empty(0, np.int64),) * 3
+        least = np.zeros(len(qids), dtype=np.int64)
+
+        def out(q, doc, key):
+            return pa.RecordBatch.from_arrays([pa.array(qids[q]), pa.array(doc), pa.array(key)],
+                                              names=["query_id", "doc_id", "key"])
+
+        step = max(1, _CELLS // len(qids))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                tile = batch.slice(at, step)
+                ids = tile.column(0).to_numpy()
+                nd = pc.list_value_length(tile.column(1)).to_numpy().astype(np.int64)
+                gram = pc.fill_null(pc.index_in(tile.column(1).flatten(), value_set=vocabulary), -1).to_numpy()
+                row = np.repeat(np.arange(len(ids)), nd)
+                c = _shared(row[gram >= 0], gram[gram >= 0], len(ids), len(qids), starts, members)
+                union = nd[:, None] + nq[None, :] - c
+                i, j = np.nonzero(c * 1000 >= union * num)
+                # Similarity in millionths, rounded half up.
+                key = (2_000_000 * c[i, j] + union[i, j]) // (2 * union[i, j])
+                if k is None:
+                    yield out(j, ids[i], key)
+                    continue
+                keep = key >= least[j]
+                held = tuple(np.concatenate(p) for p in zip(held, (j[keep], ids[i[keep]], key[keep])))
+                *held, least = _best(*held, k, len(qids))
+        if k is not None:
+            yield out(*held)
+    return run

@@ -346,8 +346,6 @@ QUERIES.update({
 
 # -- R4, R6, R7, X4-X6 -------------------------------------------------------
 
-from pyspark.sql import Window  # noqa: E402
-
 from ..functions.text import limit_rule, snippet  # noqa: E402
 from ..operators import fuzzy as fz  # noqa: E402
 
@@ -360,16 +358,15 @@ def q_fuzzy_title(spark, sf):
     return fz.fuzzy_title(_corpus(spark, sf), _bench_queries(spark, sf), threshold=0.3)
 
 
-def _longest_words(spark, sf):
-    b = read_table(spark, sf, "benchmark")
-    w = b.select(F.col("item_id").alias("query_id"), F.explode(word_tokens(F.col("text"))).alias("word"))
-    win = Window.partitionBy("query_id").orderBy(F.length("word").desc(), F.col("word").asc())
-    return w.withColumn("_r", F.row_number().over(win)).where("_r = 1").select(
-        "query_id", F.col("word").alias("pattern"))
+def q_fuzzy_title_k(spark, sf):
+    """The most similar titles of each item, with limits of their own."""
+    return fz.fuzzy_title(_corpus(spark, sf), _varied_limits(_bench_queries(spark, sf), "query_id"), threshold=0.1, k=K)
 
 
 def q_title_ilike(spark, sf):
-    return fz.ilike_matches(_corpus(spark, sf), _longest_words(spark, sf), "title")
+    """Every distinct word of the benchmark as a pattern, by its number."""
+    words = _benchmark_words(spark, sf).select(F.col("id").alias("query_id"), F.col("q").alias("pattern"))
+    return fz.ilike_matches(_corpus(spark, sf), words, "title")
 
 
 def q_limit_rule(spark, sf):
@@ -394,6 +391,7 @@ def q_shaped_hits(spark, sf):
 QUERIES.update({
     "search_overlap": q_search_overlap,
     "fuzzy_title": q_fuzzy_title,
+    "fuzzy_title_k": q_fuzzy_title_k,
     "title_ilike": q_title_ilike,
     "limit_rule": q_limit_rule,
     "snippets": q_snippets,

@@ -418,9 +418,12 @@ ORACLE.update({
 
 # -- R4, R6, R7, X4-X6 -------------------------------------------------------
 
+# White space of the reference's split: tab to carriage return, Unicode separators, U+FEFF.
+BLANK = r"[\t\n\v\f\r\p{Z}\x{FEFF}]"
+
 SEARCH_OVERLAP = f"""WITH {CORPUS}, {QUERIES_B},
 terms AS (SELECT query_id, t AS term, count(*) AS n
-          FROM (SELECT query_id, unnest(string_split_regex(lower(q), '\\s+')) AS t FROM qry)
+          FROM (SELECT query_id, unnest(string_split_regex(lower(q), '{BLANK}+')) AS t FROM qry)
           WHERE length(t) > 0 GROUP BY ALL),
 sc AS (SELECT t.query_id, c.doc_id,
               sum(t.n * CASE WHEN contains(lower(c.title || ' ' || c.body), t.term)
@@ -439,21 +442,28 @@ def _grams(src: str, idc: str, col: str, name: str) -> str:
           FROM (SELECT {idc}, unnest(regexp_extract_all(lower(coalesce({col}, '')), {WORD})) AS w FROM {src}))))"""
 
 
-FUZZY_TITLE = f"""WITH {CORPUS}, {QUERIES_B},
+FUZZY_CTE = f"""{CORPUS}, {QUERIES_B},
 {_grams('qry', 'query_id', 'q', 'qg')},
 {_grams('corpus', 'doc_id', 'title', 'dg')},
 nq AS (SELECT id, count(*) AS n FROM qg GROUP BY id),
 nd AS (SELECT id, count(*) AS n FROM dg GROUP BY id),
-it AS (SELECT q.id AS query_id, d.id AS doc_id, count(*) AS inter FROM qg q JOIN dg d ON q.gram = d.gram GROUP BY ALL)
-SELECT it.query_id, it.doc_id, round(inter / (nq.n + nd.n - inter), 6) + 0.0 AS similarity
-FROM it JOIN nq ON nq.id = it.query_id JOIN nd ON nd.id = it.doc_id
-WHERE inter * 1000 >= (nq.n + nd.n - inter) * 300"""
+it AS (SELECT q.id AS query_id, d.id AS doc_id, count(*) AS inter FROM qg q JOIN dg d ON q.gram = d.gram GROUP BY ALL),
+sim AS (SELECT it.query_id, it.doc_id, inter, nq.n + nd.n - inter AS either,
+               round(inter / (nq.n + nd.n - inter), 6) + 0.0 AS similarity
+        FROM it JOIN nq ON nq.id = it.query_id JOIN nd ON nd.id = it.doc_id)"""
+
+FUZZY_TITLE = f"""WITH {FUZZY_CTE}
+SELECT query_id, doc_id, similarity FROM sim WHERE inter * 1000 >= either * 300"""
+
+FUZZY_TITLE_K = f"""WITH {FUZZY_CTE},
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, doc_id) AS rank
+      FROM sim WHERE inter * 1000 >= either * 100)
+SELECT query_id, rank::INTEGER AS rank, doc_id, similarity FROM r WHERE rank <= {LIMIT.format(id='query_id')}"""
 
 TITLE_ILIKE = f"""WITH {CORPUS},
-w AS (SELECT item_id AS query_id, unnest(regexp_extract_all(lower(coalesce(text, '')), {WORD})) AS word FROM benchmark),
-pat AS (SELECT query_id, word AS pattern FROM (
-          SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY length(word) DESC, word) AS r FROM w) WHERE r = 1)
-SELECT p.query_id, c.doc_id FROM pat p JOIN corpus c ON contains(lower(c.title), lower(p.pattern))"""
+w AS (SELECT DISTINCT unnest(regexp_extract_all(lower(coalesce(text, '')), {WORD})) AS pattern FROM benchmark),
+pat AS (SELECT row_number() OVER (ORDER BY pattern) AS query_id, pattern FROM w)
+SELECT p.query_id, c.doc_id FROM pat p JOIN corpus c ON contains(lower(c.title), p.pattern)"""
 
 LIMIT_RULE = """SELECT item_id AS query_id, ((item_id % 7) * 10 - 20)::INTEGER AS k_requested,
        (CASE WHEN (item_id % 7) * 10 - 20 > 0 THEN (item_id % 7) * 10 - 20 ELSE 20 END)::INTEGER AS k_used
@@ -472,6 +482,7 @@ FROM ranked r JOIN corpus c USING (doc_id) WHERE r.rank <= 20"""
 ORACLE.update({
     "search_overlap": SEARCH_OVERLAP,
     "fuzzy_title": FUZZY_TITLE,
+    "fuzzy_title_k": FUZZY_TITLE_K,
     "title_ilike": TITLE_ILIKE,
     "limit_rule": LIMIT_RULE,
     "snippets": SNIPPETS,
