@@ -9,7 +9,7 @@ than a gram is verified.
 * R4 -- a query term holds no white space, so it lies inside one white-space
   chunk of a document.  Terms are matched with the distinct chunks of the
   corpus (its vocabulary, much smaller than the text), and chunks lead to
-  documents by an equi-join.
+  documents by an equi-join; scores are then summed as in R6.
 * R7 -- the same lookup on the strings of one column.
 * R6 -- scan counting: each task counts, for a batch of titles, how many
   grams each title shares with each query from the queries' gram lists.
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .._ship import ensure_package
 from ..functions.text import BLANK, WORD_PATTERN, is_blank
 from ..session import materialize
+from .ingest import assign_ids
 from .limits import cut, query_limits
 
 GRAM = 3
@@ -76,29 +77,120 @@ def overlap_search(corpus: DataFrame, queries: DataFrame, k: int = 20) -> DataFr
     when it is also in the lower-cased title; repeated terms count again;
     score > 0 kept; ties by id.  Ids of documents are distinct; nulls count
     as empty texts."""
+    ensure_package(corpus.sparkSession)
     q = queries.where(~is_blank(F.col("q")))
     k, limits = query_limits(q, k)
     chunks = lambda c: F.array_distinct(F.split(F.lower(F.coalesce(c, F.lit(""))), f"{BLANK}+"))
-    terms = materialize(
-        q.select("query_id", F.explode(F.split(F.lower(F.col("q")), f"{BLANK}+")).alias("term"))
-        .where(F.length("term") > 0).groupBy("query_id", "term").agg(F.count("*").alias("n")), "overlap-terms")
+    terms = (q.select(F.col("query_id").cast("long"), F.explode(F.split(F.lower(F.col("q")), f"{BLANK}+")).alias("term"))
+             .where(F.length("term") > 0).groupBy("query_id", "term").agg(F.count("*").alias("n")))
+    numbers = materialize(assign_ids(terms.select("term").distinct(), ["term"]).select(F.col("id").alias("no"), "term"), "terms")
+    wanted = materialize(terms.join(numbers, "term").groupBy(F.col("query_id").alias("id"))
+                         .agg(F.collect_list("no").alias("terms"), F.collect_list("n").alias("ns")), "query-terms")
     docs = corpus.select(F.col("doc_id").cast("long"), chunks(F.col("title")).alias("t"), chunks(F.col("body")).alias("b"))
     placed = docs.select("doc_id", F.explode(F.concat(
-        F.transform("t", lambda c: F.struct(c.alias("chunk"), F.lit(1.5).alias("w"))),
-        F.transform(F.array_except("b", "t"), lambda c: F.struct(c.alias("chunk"), F.lit(1.0).alias("w"))))).alias("x")
+        F.transform("t", lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("in_title"))),
+        F.transform(F.array_except("b", "t"), lambda c: F.struct(c.alias("chunk"), F.lit(False).alias("in_title"))))).alias("x")
     ).select("doc_id", "x.*")
     vocabulary = placed.select(F.col("chunk").alias("s")).distinct().select(F.col("s").alias("sid"), "s")
-    found = substring_candidates(terms.select(F.col("term").alias("pattern")).distinct(), vocabulary)
+    found = substring_candidates(numbers.select(F.col("term").alias("pattern")), vocabulary)
     of_chunk = materialize(found.where(F.col("exact") | F.contains("sid", "pattern"))
-                           .groupBy(F.col("sid").alias("chunk")).agg(F.collect_list("pattern").alias("terms")), "chunk-terms")
-    held = (placed.join(of_chunk, "chunk").select("doc_id", "w", F.explode("terms").alias("term"))
-            .groupBy("doc_id", "term").agg(F.max("w").alias("w")))
-    scores = (held.join(terms, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("n") * F.col("w")).alias("score")))
+                           .join(numbers.withColumnRenamed("term", "pattern"), "pattern")
+                           .groupBy(F.col("sid").alias("chunk")).agg(F.collect_list("no").alias("nos")), "chunk-terms")
+    held = placed.join(of_chunk, "chunk").groupBy("doc_id").agg(
+        F.array_distinct(F.flatten(F.collect_list(F.when(F.col("in_title"), F.col("nos"))))).alias("t"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(~F.col("in_title"), F.col("nos"))))).alias("b"))
+    held = materialize(held.select("doc_id", "t", F.array_except("b", "t").alias("b")), "document-terms")
+    scores = _by_blocks(wanted, held, "terms", lambda rows: (
+        *_lists_of([r["id"] for r in rows], [r["terms"] for r in rows]),
+        np.concatenate([np.array(r["ns"], dtype=np.float64) for r in rows])),
+        lambda bc: _overlap_scorer(bc, k), "query_id long, doc_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("doc_id").asc())
     return cut(scores.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k), limits) \
         .select("query_id", "rank", "doc_id", "score")
 
 
+def _overlap_scorer(bc, k):
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        qids, _, terms, starts, members, order, ns = bc.value
+        ns = ns[order]
+        held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float64))
+        least = np.zeros(len(qids))
+        step = max(1, _CELLS // len(qids))
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                tile = batch.slice(at, step)
+                ids = tile.column(0).to_numpy()
+                score = np.zeros((len(ids), len(qids)))
+                for column, weight in ((1, 1.5), (2, 1.0)):
+                    no = tile.column(column).flatten().to_numpy()
+                    row = np.repeat(np.arange(len(ids)), pc.list_value_length(tile.column(column)).to_numpy())
+                    place = np.minimum(np.searchsorted(terms, no), len(terms) - 1)
+                    known = terms[place] == no
+                    score += weight * _shared(row[known], place[known], len(ids), len(qids), starts, members, ns)
+                i, j = np.nonzero((score > 0) & (score >= least))
+                held = tuple(np.concatenate(p) for p in zip(held, (j, ids[i], score[i, j])))
+                *held, least = _best(*held, k, len(qids))
+        q, doc, score = held
+        yield pa.RecordBatch.from_arrays([pa.array(qids[q]), pa.array(doc), pa.array(score)], names=["query_id", "doc_id", "score"])
+    return run
+
+
+# -- scan counting ---------------------------------------------------------------
+
+def _by_blocks(queries: DataFrame, docs: DataFrame, column: str, packed, scorer, schema: str) -> DataFrame:
+    """``scorer`` over ``docs`` for the queries, shipped in blocks of about ``QUERY_BLOCK_BYTES`` (one scan for each)."""
+    spark = docs.sparkSession
+    size = queries.agg(F.sum(F.size(column) * 32 + 64)).first()[0] or 0
+    blocks = -(-size // QUERY_BLOCK_BYTES)
+    found = spark.createDataFrame([], schema)
+    for b in range(blocks):
+        rows = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
+        if rows:
+            found = found.unionByName(docs.mapInArrow(scorer(spark.sparkContext.broadcast(packed(rows))), schema))
+    return found
+
+
+def _lists_of(ids, lists):
+    """``(ids, sizes, keys, starts, members, order)``: queries in key order, those of key g at ``starts[g]:starts[g + 1]``."""
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
+    flat = [x for one in lists for x in one]
+    keys, place = np.unique(np.array(flat, dtype=object if flat and isinstance(flat[0], str) else np.int64), return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    members = np.repeat(np.arange(len(ids)), sizes)[order]
+    starts = np.searchsorted(place[order], np.arange(len(keys) + 1))
+    return np.array(ids, dtype=np.int64), sizes, keys, starts, members, order
+
+
+def _shared(row, gram, n_rows, n_queries, starts, members, weights=None):
+    """Shared keys, documents x queries, from the documents' occurrences ``(row, gram)``: counts, or sums of the weights."""
+    fan = starts[gram + 1] - starts[gram]
+    counts = np.zeros(n_rows * n_queries, dtype=np.int64 if weights is None else np.float64)
+    ends = np.cumsum(fan)
+    lo = 0
+    while lo < len(fan):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + _PIECE, side="right")))
+        f = fan[lo:hi]
+        first = np.cumsum(f) - f
+        at = np.repeat(starts[gram[lo:hi]] - first, f) + np.arange(f.sum())
+        counts += np.bincount(np.repeat(row[lo:hi], f) * n_queries + members[at],
+                              None if weights is None else weights[at], len(counts))
+        lo = hi
+    return counts.reshape(n_rows, n_queries)
+
+
+def _best(q, doc, key, k, n_queries):
+    """The ``k`` best hits of each query, and the key that a further hit of it must reach."""
+    order = np.lexsort((doc, -key, q))
+    q, doc, key = q[order], doc[order], key[order]
+    rank = np.arange(len(q)) - np.searchsorted(q, q)
+    least = np.zeros(n_queries, dtype=key.dtype)
+    least[q[rank == k - 1]] = key[rank == k - 1]
+    return q[rank < k], doc[rank < k], key[rank < k], least
+
+
 # -- R7 ------------------------------------------------------------------------
 
 def ilike_matches(corpus: DataFrame, patterns: DataFrame, column: str = "title") -> DataFrame:
@@ -177,8 +269,7 @@ def fuzzy_title(corpus: DataFrame, queries: DataFrame, threshold: float = 0.3,
     ``threshold`` counts in thousandths and is above 0.  Ties by id.  The gram
     lists of the queries are shipped in blocks of at most ``QUERY_BLOCK_BYTES``;
     each block is one more scan of the titles."""
-    spark = corpus.sparkSession
-    ensure_package(spark)
+    ensure_package(corpus.sparkSession)
     num = int(round(threshold * 1000))
     if num < 1:
         raise ValueError("threshold must be at least 0.001")
@@ -187,15 +278,9 @@ def fuzzy_title(corpus: DataFrame, queries: DataFrame, threshold: float = 0.3,
     if k is not None:
         k, limits = query_limits(q, k)
     qg = materialize(gram_lists(q, "query_id", "q"), "query-grams")
-    size = qg.agg(F.sum(F.size("grams") * 24 + 32)).first()[0] or 0
-    blocks = -(-size // QUERY_BLOCK_BYTES)
-    titles = gram_lists(corpus, "doc_id", "title")
-    found = spark.createDataFrame([], "query_id long, doc_id long, key long")
-    for b in range(blocks):
-        rows = qg.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
-        if rows:
-            bc = spark.sparkContext.broadcast(_lists_of(rows))
-            found = found.unionByName(titles.mapInArrow(_scan_counter(bc, num, k), "query_id long, doc_id long, key long"))
+    found = _by_blocks(qg, gram_lists(corpus, "doc_id", "title"), "grams",
+                       lambda rows: _lists_of([r["id"] for r in rows], [r["grams"] for r in rows]),
+                       lambda bc: _scan_counter(bc, num, k), "query_id long, doc_id long, key long")
     if k is None:
         return found.select("query_id", "doc_id", (F.col("key") / 1e6).alias("similarity"))
     w = Window.partitionBy("query_id").orderBy(F.col("key").desc(), F.col("doc_id").asc())
@@ -203,48 +288,11 @@ def fuzzy_title(corpus: DataFrame, queries: DataFrame, threshold: float = 0.3,
     return cut(ranked, limits).select("query_id", "rank", "doc_id", (F.col("key") / 1e6).alias("similarity"))
 
 
-def _lists_of(rows):
-    """``(ids, sizes, grams, starts, members)``: queries in gram order, those of gram g at ``starts[g]:starts[g + 1]``."""
-    sizes = np.array([len(r["grams"]) for r in rows], dtype=np.int64)
-    grams, place = np.unique(np.array([g for r in rows for g in r["grams"]], dtype=object), return_inverse=True)
-    order = np.argsort(place, kind="stable")
-    members = np.repeat(np.arange(len(rows)), sizes)[order]
-    starts = np.searchsorted(place[order], np.arange(len(grams) + 1))
-    return np.array([r["id"] for r in rows], dtype=np.int64), sizes, list(grams), starts, members
-
-
-def _shared(row, gram, n_rows, n_queries, starts, members):
-    """Counts of shared grams, titles x queries, from the titles' occurrences ``(row, gram)``."""
-    fan = starts[gram + 1] - starts[gram]
-    counts = np.zeros(n_rows * n_queries, dtype=np.int64)
-    ends = np.cumsum(fan)
-    lo = 0
-    while lo < len(fan):
-        done = ends[lo - 1] if lo else 0
-        hi = max(lo + 1, int(np.searchsorted(ends, done + _PIECE, side="right")))
-        f = fan[lo:hi]
-        first = np.cumsum(f) - f
-        at = np.repeat(starts[gram[lo:hi]] - first, f) + np.arange(f.sum())
-        counts += np.bincount(np.repeat(row[lo:hi], f) * n_queries + members[at], minlength=len(counts))
-        lo = hi
-    return counts.reshape(n_rows, n_queries)
-
-
-def _best(q, doc, key, k, n_queries):
-    """The ``k`` best hits of each query, and the similarity that a further hit of it must reach."""
-    order = np.lexsort((doc, -key, q))
-    q, doc, key = q[order], doc[order], key[order]
-    rank = np.arange(len(q)) - np.searchsorted(q, q)
-    least = np.zeros(n_queries, dtype=np.int64)
-    least[q[rank == k - 1]] = key[rank == k - 1]
-    return q[rank < k], doc[rank < k], key[rank < k], least
-
-
 def _scan_counter(bc, num, k):
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
-        qids, nq, grams, starts, members = bc.value
+        qids, nq, grams, starts, members, _ = bc.value
         vocabulary = pa.array(grams, pa.string())
         held = (np.empty(0, np.int64),) * 3
         least = np.zeros(len(qids), dtype=np.int64)

@@ -2,7 +2,6 @@
 
 import re
 
-
 from sieve.operators import fuzzy as fz
 
 TITLES = ["Postgres Indexing", "", None, "a", "Ab ab", "banana Bread", "x\U0001F600y", "50% off_now", "ananas", "ananas",
@@ -81,7 +80,7 @@ def test_tiles_and_running_limit_keep_every_best_title():
     old = fz._CELLS, fz._PIECE
     fz._CELLS, fz._PIECE = 40, 5
     try:
-        got = [r for b in fz._scan_counter(SimpleNamespace(value=fz._lists_of(qs)), 200, 3)(batches) for r in b.to_pylist()]
+        got = [r for b in fz._scan_counter(SimpleNamespace(value=fz._lists_of([q["id"] for q in qs], [q["grams"] for q in qs])), 200, 3)(batches) for r in b.to_pylist()]
     finally:
         fz._CELLS, fz._PIECE = old
     want = []
