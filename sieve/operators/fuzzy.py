@@ -45,7 +45,7 @@ def _substrings(s: Column, n: int) -> Column:
 
 
 def substring_candidates(patterns: DataFrame, strings: DataFrame) -> DataFrame:
-    """``(pattern, sid, exact)``: strings holding the rarest gram of a pattern.
+    """``(pattern, sid, exact)``: strings holding the rarest gram of a pattern, whose every gram lies in some string.
 
     ``patterns(pattern)`` are distinct, ``strings(sid, s)`` are looked through.
     Patterns of at most three characters are their own gram, so their rows
@@ -58,12 +58,11 @@ def substring_candidates(patterns: DataFrame, strings: DataFrame) -> DataFrame:
         grams = F.when(n == i, _substrings(F.col("pattern"), i)).otherwise(grams)
     keys = patterns.select("pattern", F.explode(grams).alias("gram"))
     of_strings = [_substrings(F.col("s"), i) for i in lengths] or [F.array().cast("array<string>")]
-    index = materialize(strings.select("sid", F.explode(F.concat(*of_strings)).alias("gram"))
-                        .join(keys.select("gram").distinct(), "gram", "left_semi"), "gram-index")
-    sizes = index.groupBy("gram").agg(F.count("*").alias("n"))
-    rarest = (keys.join(sizes, "gram", "left").groupBy("pattern")
-              .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("m"))
-              .select("pattern", F.col("m.gram").alias("gram")))
+    index = strings.select("sid", F.explode(F.concat(*of_strings)).alias("gram"))
+    sizes = index.join(materialize(keys.select("gram").distinct(), "grams"), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = materialize(keys.join(sizes, "gram").groupBy("pattern").agg(F.min(F.struct("n", "gram")).alias("m"), F.count("*").alias("held"))
+                         .join(keys.groupBy("pattern").agg(F.count("*").alias("grams")), "pattern").where("held = grams")
+                         .select("pattern", F.col("m.gram").alias("gram")), "rarest-grams")
     return rarest.join(index, "gram").select("pattern", "sid", (F.length("pattern") <= GRAM).alias("exact"))
 
 
@@ -91,7 +90,7 @@ def overlap_search(corpus: DataFrame, queries: DataFrame, k: int = 20) -> DataFr
         F.transform("t", lambda c: F.struct(c.alias("chunk"), F.lit(True).alias("in_title"))),
         F.transform(F.array_except("b", "t"), lambda c: F.struct(c.alias("chunk"), F.lit(False).alias("in_title"))))).alias("x")
     ).select("doc_id", "x.*")
-    vocabulary = placed.select(F.col("chunk").alias("s")).distinct().select(F.col("s").alias("sid"), "s")
+    vocabulary = materialize(placed.select("chunk").distinct(), "chunks").select(F.col("chunk").alias("sid"), F.col("chunk").alias("s"))
     found = substring_candidates(numbers.select(F.col("term").alias("pattern")), vocabulary)
     of_chunk = materialize(found.where(F.col("exact") | F.contains("sid", "pattern"))
                            .join(numbers.withColumnRenamed("term", "pattern"), "pattern")
