@@ -8,6 +8,12 @@ centroids (centroids and query vectors are broadcast); each task scores a
 document only against the queries probing that document's list and keeps a
 local top-k -- the corpus is never shuffled, so a large list never lands on
 one task.  With ``nprobe == lists`` the result equals exact search.
+
+``build_lists`` is the repeatable form: centroids are corpus vectors far from
+each other (no seed, ties by id), and the vectors are stored in a folder per
+list, large lists over several files, so that a search reads only the folders
+of the lists it probes.
+
 The list count follows the usual sizing rule (rows / 1000 up to 1M rows,
 sqrt(rows) above) unless given.
 """
@@ -21,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .._ship import ensure_package
+from ..session import materialize
 from .limits import cut, query_limits
 from .vectorsearch import DEFAULT_MAX_BROADCAST, _local_topk, _score_matrix
 
@@ -60,6 +67,71 @@ def build_ivf(corpus_vecs: DataFrame, lists: int | None = None, seed: int = 42,
     return cents, assigned
 
 
+def farthest_centroids(vecs: DataFrame, lists: int, doc_id: str = "doc_id", vec: str = "vec") -> np.ndarray:
+    """Up to ``lists`` corpus vectors, normalised: the one of the smallest id, then
+    each time the one whose highest cosine (6 places) to those chosen is lowest,
+    ties to the smaller id.  Zero and null vectors are never chosen; vectors
+    equal in direction count once.  One scan of ``vecs`` for each centroid;
+    only one row of each scan comes back."""
+    spark = vecs.sparkSession
+    ensure_package(spark)
+    nz = vecs.select(F.col(doc_id).cast("long").alias("id"), F.col(vec).cast("array<double>").alias("v")) \
+        .where(F.col("id").isNotNull() & F.exists("v", lambda x: x != 0))
+
+    def closeness(bc):
+        def run(batches):
+            for pdf in batches:
+                if len(pdf):
+                    m = np.stack(pdf["v"].to_numpy())
+                    yield pdf.assign(near=_score_matrix("cosine", m, bc.value, np.ones(len(bc.value)))[1].max(axis=1))
+        return run
+
+    first = nz.agg(F.min_by("v", "id").alias("v")).first()["v"]
+    chosen = [] if first is None else [np.asarray(first) / np.linalg.norm(first)]
+    while chosen and len(chosen) < lists:
+        bc = spark.sparkContext.broadcast(np.array(chosen))
+        far = nz.mapInPandas(closeness(bc), "id long, v array<double>, near double") \
+            .agg(F.min(F.struct("near", "id", "v")).alias("m")).first()["m"]
+        if far["near"] >= 1.0:
+            break
+        chosen.append(np.asarray(far["v"]) / np.linalg.norm(far["v"]))
+    return np.array(chosen)
+
+
+def assign_lists(vecs: DataFrame, centroids: np.ndarray, doc_id: str = "doc_id", vec: str = "vec") -> DataFrame:
+    """``(doc_id, list_id, vec)``: the list of the highest cosine (6 places), ties to the smaller list; zero vectors in list 0."""
+    bc = vecs.sparkSession.sparkContext.broadcast(centroids)
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                near = _score_matrix("cosine", np.stack(pdf["vec"].to_numpy()), bc.value, np.ones(len(bc.value)))[1]
+                yield pdf.assign(list_id=near.argmax(axis=1).astype(np.int32))[["doc_id", "list_id", "vec"]]
+
+    return vecs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(vec).cast("array<double>").alias("vec")) \
+        .where(F.col("vec").isNotNull()).mapInPandas(run, "doc_id long, list_id int, vec array<double>")
+
+
+def build_lists(vecs: DataFrame, path: str, lists: int | None = None, rows_per_file: int = 100_000,
+                centroids: np.ndarray | None = None, doc_id: str = "doc_id", vec: str = "vec"):
+    """Store ``vecs`` under ``path``, a folder per list; ``(centroids, stored DataFrame(doc_id, vec, list_id))``.
+
+    Without ``centroids`` they are chosen by ``farthest_centroids``.  A list
+    above ``rows_per_file`` is dealt over several tasks and files by a hash
+    of the id.  Null vectors are left out."""
+    spark = vecs.sparkSession
+    if centroids is None:
+        centroids = farthest_centroids(vecs, lists or default_lists(vecs.count()), doc_id, vec)
+    if len(centroids) == 0:
+        centroids = np.zeros((1, 1 if vecs.isEmpty() else len(vecs.first()[vec] or [0.0])))
+    assigned = materialize(assign_lists(vecs, centroids, doc_id, vec), "lists")
+    sizes = assigned.groupBy("list_id").agg(F.ceil(F.count("*") / rows_per_file).alias("_files"))
+    dealt = assigned.join(F.broadcast(sizes), "list_id").withColumn("_file", F.pmod(F.xxhash64("doc_id"), F.col("_files")))
+    dealt.repartition("list_id", "_file").drop("_files", "_file").write.partitionBy("list_id") \
+        .option("maxRecordsPerFile", rows_per_file).parquet(path)
+    return centroids, spark.read.schema("doc_id long, vec array<double>, list_id int").parquet(path)
+
+
 def ivf_search(queries: DataFrame, centroids: np.ndarray, assigned: DataFrame, k: int = 20,
                nprobe: int = 1, query_id: str = "query_id", vec: str = "vec",
                max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST, k_col: str | None = None) -> DataFrame:
@@ -97,7 +169,7 @@ def _ivf_block(spark, rows, centroids, assigned, k, nprobe, vec):
     qids = np.array([r["qid"] for r in rows], dtype=np.int64)
     qmat = np.array([np.asarray(r["qv"] if r["qv"] is not None else [0.0] * d, dtype=np.float64) for r in rows])
     nprobe = min(nprobe, len(centroids))
-    sims = qmat @ centroids.T
+    sims = _score_matrix("cosine", qmat, centroids, np.linalg.norm(centroids, axis=1))[1]
     probes = np.argsort(-sims, axis=1, kind="stable")[:, :nprobe]
     probe_mask = np.zeros((len(qids), len(centroids)), dtype=bool)
     probe_mask[np.arange(len(qids))[:, None], probes] = True
@@ -129,6 +201,9 @@ def _ivf_block(spark, rows, centroids, assigned, k, nprobe, vec):
                 yield pd.DataFrame({"query_id": np.concatenate(oq), "doc_id": np.concatenate(od),
                                     "score": np.concatenate(os_)})
 
+    # Lists that no query probes aren't read where the vectors are stored by list.
+    if not probe_mask.any(axis=0).all():
+        assigned = assigned.where(F.col("list_id").isin([int(x) for x in np.flatnonzero(probe_mask.any(axis=0))]))
     # No shuffle of the corpus: any task can score any document; sorting
     # inside each partition only groups a list's documents into one product.
     return assigned.sortWithinPartitions("list_id").mapInPandas(score, "query_id long, doc_id long, score double")

@@ -525,7 +525,28 @@ def q_ann_recall(spark, sf):
     return ivf.recall_at_k(approx, exact, K)
 
 
+STORED_LISTS, PROBED_LISTS = 10, 3
+
+
+def _list_search(spark, sf):
+    docs = materialize(emb.embed_corpus(_corpus(spark, sf)), "vectors")
+    cents, stored = ivf.build_lists(docs, _scratch(spark, "vector-lists"), lists=STORED_LISTS)
+    qv = materialize(emb.embed_queries(_bench_queries(spark, sf)), "qvec")
+    return docs, qv, ivf.ivf_search(qv, cents, stored, k=K, nprobe=PROBED_LISTS, k_col="k")
+
+
+def q_vector_lists(spark, sf):
+    return _list_search(spark, sf)[2]
+
+
+def q_list_recall(spark, sf):
+    docs, qv, approx = _list_search(spark, sf)
+    return ivf.recall_at_k(approx, vs.knn(qv, docs, k=K, metric="cosine"), K)
+
+
 QUERIES.update({
+    "vector_lists": q_vector_lists,
+    "list_recall": q_list_recall,
     "vector_ivf": q_vector_ivf,
     "ann_recall": q_ann_recall,
 })

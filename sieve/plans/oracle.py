@@ -539,3 +539,36 @@ ORACLE.update({
 
 # V8 with nprobe = lists must equal exact search.
 ORACLE["vector_ivf"] = VECTOR_COSINE_DOCS
+
+
+# V8 / V9 with stored lists: 10 centroids far from each other, 3 probed.
+def _lists_cte(lists: int, probed: int) -> str:
+    steps = ["m0 AS MATERIALIZED (SELECT DISTINCT id, -2.0 AS near FROM dv)"]
+    for i in range(lists):
+        pick = "id" if i == 0 else "near, id"
+        steps.append(f"c{i} AS MATERIALIZED (SELECT dv.dim, dv.v FROM dv JOIN (SELECT id FROM m{i} ORDER BY {pick} LIMIT 1) p USING (id))")
+        steps.append(f"s{i} AS MATERIALIZED (SELECT dv.id, round(sum(dv.v * c.v), 6) + 0.0 AS s FROM dv JOIN c{i} c USING (dim) GROUP BY dv.id)")
+        steps.append(f"t{i} AS (SELECT qv.id, round(sum(qv.v * c.v), 6) + 0.0 AS s FROM qv JOIN c{i} c USING (dim) GROUP BY qv.id)")
+        steps.append(f"m{i + 1} AS MATERIALIZED (SELECT m.id, greatest(m.near, coalesce(s.s, 0.0)) AS near FROM m{i} m LEFT JOIN s{i} s USING (id))")
+    docs = " UNION ALL ".join(f"SELECT c.doc_id, {i} AS list, coalesce(s.s, 0.0) AS s FROM corpus c LEFT JOIN s{i} s ON s.id = c.doc_id"
+                              for i in range(lists))
+    asks = " UNION ALL ".join(f"SELECT q.query_id, {i} AS list, coalesce(t.s, 0.0) AS s FROM qry q LEFT JOIN t{i} t ON t.id = q.query_id"
+                              for i in range(lists))
+    return ", ".join(steps) + f""",
+home AS (SELECT doc_id, list FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, list) AS r FROM ({docs})) WHERE r = 1),
+probe AS (SELECT query_id, list FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, list) AS r FROM ({asks})) WHERE r <= {probed}),
+found AS (SELECT p.query_id, p.doc_id, p.score, row_number() OVER (PARTITION BY p.query_id ORDER BY p.score DESC, p.doc_id) AS rank
+          FROM pairs p JOIN home h USING (doc_id) JOIN probe b ON b.query_id = p.query_id AND b.list = h.list)"""
+
+
+LISTS_CTE = f"{COSINE_DOCS_CTE}, {_lists_cte(10, 3)}"
+
+ORACLE["vector_lists"] = f"""WITH {LISTS_CTE}
+SELECT query_id, rank::INTEGER AS rank, doc_id, score FROM found WHERE rank <= 20"""
+
+ORACLE["list_recall"] = f"""WITH {LISTS_CTE},
+best AS (SELECT query_id, doc_id FROM ranked WHERE rank <= 20),
+near AS (SELECT query_id, doc_id FROM found WHERE rank <= 20)
+SELECT b.query_id, count(*) AS n_exact, count(n.doc_id) AS n_common,
+       round(count(n.doc_id) / least(count(*), 20), 6) AS recall
+FROM best b LEFT JOIN near n ON n.query_id = b.query_id AND n.doc_id = b.doc_id GROUP BY b.query_id"""
