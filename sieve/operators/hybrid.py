@@ -82,3 +82,18 @@ def overlap(text_hits: DataFrame, vector_hits: DataFrame, hybrid_hits: DataFrame
                     F.when(union == 0, F.lit(0.0)).otherwise(F.round(F.col("n_common") / union, 6))
                     .alias("jaccard"),
                     F.round("mean_rank_diff", 6).alias("mean_rank_diff"))
+
+
+def shape_hits(hits: DataFrame, corpus: DataFrame) -> DataFrame:
+    """Each hit with its document: ``query_id, rank, doc_id, title, body, tags, score`` (6 places), then ``details``.
+
+    ``details`` is a struct of the further columns of ``hits``, absent if there
+    are none.  A hit whose document is gone is left out.  Whole bodies are
+    joined for the hits only."""
+    own = ("query_id", "rank", "doc_id", "score")
+    rest = [c for c in hits.columns if c not in own]
+    shaped = hits.select(*own, *([F.struct(*rest).alias("details")] if rest else []))
+    docs = corpus.select("doc_id", "title", "body", "tags")
+    return shaped.join(docs, "doc_id").select(
+        "query_id", "rank", "doc_id", "title", "body", "tags", (F.round("score", 6) + F.lit(0.0)).alias("score"),
+        *(["details"] if rest else []))

@@ -7,6 +7,9 @@ documents is indexed by one job that writes the three derived tables
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,7 +96,7 @@ def index_documents(docs: DataFrame, out_dir: str | None = None, dims: int = 128
     """S3: ``docs(doc_id, title, body, tags)`` -> corpus, postings, vectors.
 
     With ``out_dir`` the three tables are written (``overwrite``: S6 replace
-    all) and read back.  Postings are range-partitioned on ``(term, doc_id)``
+    all; ``replace_index`` is the form whose readers never see a mixture) and read back.  Postings are range-partitioned on ``(term, doc_id)``
     -- sorted by term for row-group pruning, and a very common word is split
     over several tasks instead of landing on one.  S11 (rebuild after load) is
     ``ivf.build_ivf`` / ``analyze.term_stats`` run on the written tables.
@@ -119,6 +122,44 @@ def index_documents(docs: DataFrame, out_dir: str | None = None, dims: int = 128
     return out
 
 
+def replace_index(docs: DataFrame, root: str, dims: int = 128, config: str = "simple") -> dict[str, DataFrame]:
+    """Index ``docs`` beside what ``root`` holds, then make it the current version.
+
+    Each call writes a folder of its own; only when all its tables stand does a
+    row ``(version, folder)`` join the ``versions`` table, in one committed file.
+    A reader thus sees the old tables or the new ones, a failed or lost job
+    leaves the old ones current, and tables opened before go on reading their
+    own files.  One writer at a time."""
+    spark = docs.sparkSession
+    root = root.rstrip("/")
+    current = _current(spark, root)
+    version, folder = (current["version"] + 1 if current else 1), f"index-{uuid.uuid4().hex}"
+    index_documents(docs, f"{root}/{folder}", dims, config)
+    spark.createDataFrame([(version, folder)], _VERSIONS).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+    return read_current(spark, root)
+
+
+def read_current(spark: SparkSession, root: str) -> dict[str, DataFrame] | None:
+    """The tables of the last version that ``replace_index`` completed under ``root``; None before the first."""
+    current = _current(spark, root.rstrip("/"))
+    if current is None:
+        return None
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{current['folder']}/{name}") for name in ("corpus", "postings", "vectors")}
+
+
+_VERSIONS = "version long, folder string"
+
+
+def _current(spark, root):
+    try:
+        versions = spark.read.schema(_VERSIONS).parquet(f"{root}/versions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return versions.agg(F.max(F.struct("version", "folder")).alias("m")).first()["m"]
+
+
 def corpus_count(corpus: DataFrame) -> DataFrame:
     """S9."""
     return corpus.agg(F.count("*").alias("n"))

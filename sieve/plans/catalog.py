@@ -388,7 +388,30 @@ def q_shaped_hits(spark, sf):
                     snippet(F.col("body")).alias("snippet"), F.round("score", 6).alias("score")))
 
 
+def _flat(shaped):
+    return shaped.withColumn("tags", F.array_join("tags", ","))
+
+
+def q_shaped_text(spark, sf):
+    return _flat(hy.shape_hits(q_search_ranked(spark, sf), _corpus(spark, sf)))
+
+
+def q_shaped_hybrid(spark, sf):
+    shaped = _flat(hy.shape_hits(q_explain_hybrid(spark, sf), _corpus(spark, sf)))
+    return shaped.select(*[c for c in shaped.columns if c != "details"], "details.*")
+
+
+def q_explain_dims(spark, sf):
+    """Vector hits with distance, similarity, norm and the query's five largest dimensions."""
+    dims = q_query_vector_dims(spark, sf).groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "dim", "value"))).alias("d"))
+    shown = F.array_join(F.transform("d", lambda x: F.concat(x["dim"].cast("string"), F.lit(":"), F.format_string("%.6f", x["value"]))), " ")
+    return q_explain_vector(spark, sf).join(dims.select("query_id", shown.alias("top_dims")), "query_id", "left")
+
+
 QUERIES.update({
+    "shaped_text": q_shaped_text,
+    "shaped_hybrid": q_shaped_hybrid,
+    "explain_dims": q_explain_dims,
     "search_overlap": q_search_overlap,
     "fuzzy_title": q_fuzzy_title,
     "fuzzy_title_k": q_fuzzy_title_k,

@@ -572,3 +572,17 @@ near AS (SELECT query_id, doc_id FROM found WHERE rank <= 20)
 SELECT b.query_id, count(*) AS n_exact, count(n.doc_id) AS n_common,
        round(count(n.doc_id) / least(count(*), 20), 6) AS recall
 FROM best b LEFT JOIN near n ON n.query_id = b.query_id AND n.doc_id = b.doc_id GROUP BY b.query_id"""
+
+# X2, X4 with whole documents and details.
+TAGS = "concat_ws(',', c.lang, c.source)"
+
+ORACLE["shaped_text"] = f"""WITH {CORPUS.replace('corpus AS', 'c AS', 1)}
+SELECT h.query_id, h.rank, h.doc_id, c.title, c.body, {TAGS} AS tags, h.score
+FROM ({SEARCH_RANKED}) h JOIN c USING (doc_id)"""
+
+ORACLE["shaped_hybrid"] = f"""WITH {CORPUS.replace('corpus AS', 'c AS', 1)}
+SELECT h.*, c.title, c.body, {TAGS} AS tags FROM ({EXPLAIN_HYBRID}) h JOIN c USING (doc_id)"""
+
+ORACLE["explain_dims"] = f"""WITH x AS ({EXPLAIN_VECTOR}), d AS ({QUERY_VECTOR_DIMS}),
+g AS (SELECT query_id, string_agg(dim || ':' || printf('%.6f', value), ' ' ORDER BY rank) AS top_dims FROM d GROUP BY query_id)
+SELECT x.*, g.top_dims FROM x LEFT JOIN g USING (query_id)"""

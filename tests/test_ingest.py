@@ -1,5 +1,6 @@
 """Ingest invariants: ids, cleaning order, lookups, IVF exactness."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import corpus_df, queries_df
@@ -56,3 +57,46 @@ def test_write_postings_layout(spark, tmp_path):
     back = spark.read.parquet(path)
     assert back.count() == 7
     assert back.where("term = 'beta'").count() == 4
+
+
+def test_jsonl_limit_blank_and_bad_lines(spark, tmp_path):
+    path = tmp_path / "in.jsonl"
+    path.write_text('{"title": "b", "body": "two", "tags": ["x"]}\n\n{"title": "a"}\n   \n{"title": "c", "extra": 1}\n')
+    assert sorted(r.title for r in ing.read_jsonl(spark, str(path)).collect()) == ["a", "b", "c"]
+    assert [r.title for r in ing.read_jsonl(spark, str(path), limit=2, order_by=["title"]).collect()] == ["a", "b"]
+    with pytest.raises(ValueError):
+        ing.read_jsonl(spark, str(path), limit=2)
+    path.write_text('{"title": "a"}\nnot json\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ing.read_jsonl(spark, str(path)).collect()
+
+
+def test_defaults_for_missing_fields(spark):
+    df = spark.createDataFrame([(1, None, None, None), (2, "t", "b", ["x"])], "doc_id long, title string, body string, tags array<string>")
+    assert sorted(map(tuple, ing.with_defaults(df).collect())) == [(1, "", "", []), (2, "t", "b", ["x"])]
+    assert [r.tags for r in ing.with_defaults(df.drop("tags")).collect()] == [[], []]
+
+
+def test_replace_shows_old_or_new_never_a_mixture(spark, tmp_path):
+    root = str(tmp_path / "index")
+    assert ing.read_current(spark, root) is None
+    old = ing.replace_index(corpus_df(spark, [("a", "x"), ("b", "y")]), root)
+    broken = corpus_df(spark, [("c", "z")]).withColumn("body", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        ing.replace_index(broken, root)
+    assert sorted(r.title for r in ing.read_current(spark, root)["corpus"].collect()) == ["a", "b"]
+    new = ing.replace_index(corpus_df(spark, [("d", "w w")]), root)
+    assert [r.title for r in new["corpus"].collect()] == ["d"] and new["postings"].count() == 3
+    assert old["corpus"].count() == 2 and old["vectors"].count() == 2
+    assert [r.title for r in ing.read_current(spark, root)["corpus"].collect()] == ["d"]
+
+
+def test_shaped_hits_carry_document_and_details(spark):
+    from sieve.operators.hybrid import shape_hits
+    c = corpus_df(spark, [("a", "x" * 500), ("b", None)])
+    hits = spark.createDataFrame([(1, 1, 2, 0.12345678, 0.5), (1, 2, 1, 0.0, None), (1, 3, 9, 0.0, None)],
+                                 "query_id long, rank int, doc_id long, score double, text_raw double")
+    got = {r.doc_id: r for r in shape_hits(hits, c).collect()}
+    assert sorted(got) == [1, 2] and len(got[1].body) == 500
+    assert got[2].score == 0.123457 and got[2].details.text_raw == 0.5
+    assert "details" not in shape_hits(hits.drop("text_raw"), c).columns
