@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+from sieve.operators.embedding import hashed_vectors_np
 from sieve.operators.vectorsearch import _make_scorer, _score_matrix
 
 
@@ -46,3 +47,12 @@ def test_fewer_documents_than_places():
     got = pd.concat(_make_scorer(bc, "cosine", 5, True)([pd.DataFrame({"doc_id": [0, 1], "dv": list(np.eye(2))})]))
     assert sorted(zip(got.query_id, got.doc_id)) == [(0, 1), (9, 0), (9, 1)]
     assert list(_make_scorer(bc, "cosine", 5, True)([])) == []
+
+
+def test_texts_are_hashed_in_slices():
+    texts = [f"word{i} other words here number {i} " * 400 for i in range(400)] + ["", None, "alone here"]
+    whole = hashed_vectors_np(texts, slice_chars=1 << 40)
+    got, peak = _peak(lambda: hashed_vectors_np(texts))
+    assert np.array_equal(got, whole)
+    assert np.array_equal(hashed_vectors_np(texts[-50:], slice_chars=1), whole[-50:])
+    assert peak < 80e6  # at once these 5.7 million characters take 165 MB
