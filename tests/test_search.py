@@ -89,3 +89,23 @@ def test_hybrid_fixture_and_invariants(spark):
         assert len(ids) == len(set(ids))
     for r in hy.rrf([text, vec]).collect():
         assert 0 < r.score <= 2 / 61 + 1e-6  # scores are rounded to 6 places
+
+
+def test_alternatives_of_single_words_need_no_hits(spark, monkeypatch):
+    """`word`, `a or b`, `a or -b`: the weights of the words are summed, without positions by query."""
+    asked = []
+    match = ts.match_hits
+    monkeypatch.setattr(ts, "match_hits", lambda post, qt, *a, **k: (asked.append(qt.count()), match(post, qt, *a, **k))[1])
+    c = corpus_df(spark, [("red", "red blue"), ("", "blue blue green"), ("", "other"), ("blue", "")])
+    q = queries_df(spark, ["red", "red or blue", "red or -blue", "blue or blue"])
+    got = {}
+    for r in ts.search_text(c, q).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.doc_id, r.score))
+    assert {i: sorted(v) for i, v in got.items()} == {
+        1: [(1, 1, 1.4)],
+        2: [(1, 1, 1.8), (2, 4, 1.0), (3, 2, 0.8)],
+        3: [(1, 1, 1.4), (2, 3, 0.0)],
+        4: [(1, 4, 1.0), (2, 2, 0.8), (3, 1, 0.4)]}
+    pairs = ts.search_text(c, q, ranked=False).collect()
+    assert sorted((r.query_id, r.doc_id) for r in pairs) == sorted((i, d) for i, v in got.items() for _, d, _ in v)
+    assert asked == [0, 0]
