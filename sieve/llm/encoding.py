@@ -5,7 +5,8 @@ two of them.  White space only ever begins a piece, so a cut before a space
 that follows something other than white space never changes the result.  Texts
 are cut there, and the ids of each distinct chunk are kept in a bounded cache; a chunk
 not seen yet is also cut around a lone line end and before a mark that follows
-a letter, which are ends of pieces too.  ``tests/llm`` compares with encoding
+a letter, which are ends of pieces too.  Letters alone, with a space before them or
+not, are one piece, which the model takes in the byte-level alphabet.  ``tests/llm`` compares with encoding
 whole texts.  Texts in which the string of
 an added token may occur are encoded whole."""
 
@@ -17,13 +18,17 @@ from array import array
 
 from tokenizers import Tokenizer
 
-#: Chunks in a task's cache (about 200 bytes each).
-CACHE = 400_000
+#: Chunks in a task's cache (about 200 bytes each), half of them from before it was full last.
+CACHE = 800_000
 #: The same for other chunks and parts of chunks.
 PARTS = 200_000
 _CUT = re.compile(r"(?<=\S)(?= )")
 _LINE = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
 _ODD = re.compile(r"\s ")
+#: The byte-level alphabet: printable bytes stand for themselves, the others for U+0100 and on, in order.
+_SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_SPACE = chr(_ALPHABET[32])
 _LOADED: dict[str, ChunkEncoder] = {}
 
 
@@ -32,11 +37,17 @@ class _AfterSpace(dict):
 
     def __init__(self, chunks: ChunkEncoder):
         super().__init__()
-        self.chunks = chunks
+        self.chunks, self.old = chunks, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.chunks.fresh(" " + chunk)
-        if len(self) >= CACHE:
+        ids = self.old.get(chunk)
+        if ids is None:
+            if chunk.isascii() and chunk.isalpha():  # most new chunks
+                ids = array("I", [t.id for t in self.chunks.model.tokenize(_SPACE + chunk)]).tobytes()
+            else:
+                ids = self.chunks.fresh(" " + chunk)
+        if len(self) >= CACHE // 2:
+            self.old = self.copy()  # what is met again comes back from here; the rest goes next time
             self.clear()
         self[chunk] = ids
         return ids
@@ -50,6 +61,7 @@ class ChunkEncoder(dict):
         self.after_space = _AfterSpace(self)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
 
     def fresh(self, chunk: str) -> bytes:
@@ -58,6 +70,9 @@ class ChunkEncoder(dict):
         if len(chunk) > 2 and chunk[-1] in ".,;:!?" and chunk[-2] < "\u0250" and chunk[-2].isalpha():
             head = self.after_space[chunk[1:-1]] if chunk[0] == " " else self[chunk[:-1]]
             return head + self[chunk[-1]]
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if word.isalpha() and max(word) < "\u0250":
+            return array("I", [t.id for t in self.model.tokenize(chunk.encode().decode("latin-1").translate(_ALPHABET))]).tobytes()
         return self.whole(chunk)
 
     def __missing__(self, chunk: str) -> bytes:

@@ -2,6 +2,7 @@
 
 import os
 import random
+from array import array
 import zlib
 
 import numpy as np
@@ -102,3 +103,16 @@ def test_rows_of_one_id_are_dealt_out_and_order_of_the_caller(spark):
     rows = read_token_files(write_token_files(docs, order=[F.col("position")])).orderBy("start").collect()
     places = [text_at[t.decode(r.ids[:-1])] for r in rows]
     assert places == sorted(places) and len(places) == 4000
+
+
+def test_words_skip_the_tokenizer_and_stay_known(monkeypatch):
+    """Words of letters alone are encoded by the model; a full cache keeps what is met again."""
+    from sieve.llm import encoding
+    monkeypatch.setattr(encoding, "CACHE", 40)
+    e, asked, made = encoding.ChunkEncoder(default_tokenizer()), [], []
+    whole, tokenize = e.whole, e.model.tokenize
+    e.whole = lambda t: (asked.append(t), whole(t))[1]
+    e.model = type("Model", (), {"tokenize": staticmethod(lambda t: (made.append(t), tokenize(t))[1])})
+    text = "Ab " + " ".join(f"the éß xw{chr(97 + i % 26)}{chr(97 + i // 26)} ñandú" for i in range(300))
+    assert e.ids(text) == array("I", e.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+    assert not asked and len(made) == 304 and len(e.after_space) <= 40
