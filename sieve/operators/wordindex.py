@@ -2,7 +2,7 @@
 
 ``write_word_index`` turns a corpus into three tables below one folder:
 
-* ``postings``: ``bucket, block, term, doc_id, pos, w``, a folder per ``bucket``
+* ``postings``: ``bucket, block, term, doc_id, pos, w`` and ``first`` (of the word in the document), a folder per ``bucket``
   (hash of the term) and ``block`` (range of ids, one for about ``block_docs``
   documents if ids are spread evenly), sorted by term and document.  A very common word is split over its blocks and over several
   files of a block.
@@ -19,7 +19,7 @@ documents, and only those numbers are named on the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
@@ -54,11 +54,13 @@ def write_word_index(corpus: DataFrame, path: str, buckets: int = BUCKETS, block
     low, width = ids.lo or 0, max(1, -(-((ids.hi or 0) - (ids.lo or 0) + 1) // blocks))
     block = F.coalesce(F.floor((F.col("doc_id") - low) / width), F.lit(0)).cast("int")
     post = postings(corpus, config).select(term_bucket(F.col("term"), buckets).alias("bucket"), block.alias("block"), "term", "doc_id", "pos", F.col("w").cast("double"))
-    post.repartitionByRange("bucket", "block", "term", "doc_id").sortWithinPartitions("bucket", "block", "term", "doc_id", "pos") \
+    # the window takes the ranges and the order that the files need: a word's first occurrence in a document is marked without a shuffle of its own
+    in_document = Window.partitionBy("bucket", "block", "term", "doc_id").orderBy("pos")
+    post.repartitionByRange("bucket", "block", "term", "doc_id").withColumn("first", F.row_number().over(in_document) == 1) \
+        .sortWithinPartitions("bucket", "block", "term", "doc_id", "pos") \
         .write.mode("overwrite").partitionBy("bucket", "block").parquet(f"{path}/postings")
-    post = spark.read.schema(_SCHEMAS["postings"]).parquet(f"{path}/postings")
-    per_doc = post.groupBy("bucket", "block", "term", "doc_id").agg(F.count("*").alias("tf"), F.max("w").alias("w"))
-    per_doc.groupBy("bucket", "term", "block").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"), F.max("w").alias("top_w")) \
+    post = spark.read.schema(_SCHEMAS["postings"] + ", first boolean").parquet(f"{path}/postings")
+    post.groupBy("bucket", "term", "block").agg(F.count_if("first").alias("df"), F.count("*").alias("cf"), F.max("w").alias("top_w")) \
         .repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term") \
         .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/terms")
     spark.createDataFrame([(buckets, blocks, config)], "buckets int, blocks long, config string").coalesce(1) \

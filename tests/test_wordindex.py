@@ -86,3 +86,14 @@ def test_or_at_the_ends_is_a_word(spark):
     for r in query_terms(q).orderBy("query_id", "clause_id", "item_id", "offset").collect():
         got.setdefault(r.query_id, {}).setdefault(r.clause_id, []).append(r.term)
     assert [list(got[i].values()) for i in range(len(shapes))] == list(shapes.values())
+
+
+def test_first_occurrences_are_marked(spark, tmp_path):
+    """df and cf come from the marks of the written postings."""
+    from conftest import corpus_df
+    from sieve.operators.wordindex import write_word_index
+    index = write_word_index(corpus_df(spark, [("red", "red blue red"), ("", "red"), ("", "")]), str(tmp_path / "index"), buckets=2, block_docs=1)
+    post = spark.read.parquet(str(tmp_path / "index" / "postings"))
+    assert sorted((r.term, r.doc_id, r.pos) for r in post.where("first").collect()) == [("blue", 1, 3), ("red", 1, 1), ("red", 2, 1)]
+    found = index["terms"].groupBy("term").agg({"df": "sum", "cf": "sum", "top_w": "max"}).collect()
+    assert sorted((r["term"], r["sum(df)"], r["sum(cf)"], r["max(top_w)"]) for r in found) == [("blue", 1, 1, 0.4), ("red", 2, 4, 1.0)]
