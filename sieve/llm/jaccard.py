@@ -52,11 +52,17 @@ from pyspark.sql import functions as F
 from ._common import python_ready, saved, within
 from .components import components
 
-_WORDS = 400_000          # bound of the word-hash cache of a task
+_WORDS = 50_000           # bound of the word-hash cache where texts are compared one by one
+_SLICE = 1 << 20          # bytes of text that are hashed at once; a task holds some twenty times as much meanwhile
+_LONG = 64                # longer words are hashed one by one
 _SKETCH = 1024            # least bits of the dense sketch
 EXTRA_LEADERS = 6         # rounds of further leading members before members are compared with all others
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
+_M = (1 << 64) - 1
+_IN_WORD = np.array([b not in b" \t\n\x0b\x0c\r" for b in range(256)])
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)  # masks of the first k bytes
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -67,16 +73,44 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
+def _mix(x: int) -> int:
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & _M
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & _M
+    return x ^ (x >> 31)
+
+
 class WordHash(dict):
-    """64-bit hash by word; bounded."""
+    """64-bit hash by word, as ``word_hashes`` gives it; bounded."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= _WORDS:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        if len(word) > _LONG:
+            h = xxhash.xxh3_64_intdigest(word)
+        else:
+            h = _mix(len(word))
+            for i in range(0, len(word), 8):
+                h = _mix(h ^ int.from_bytes(word[i:i + 8], "little"))
+        self[word] = h
         return h
 
 
+def word_hashes(text: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``text[first:first + size]``, eight bytes a step."""
+    padded = np.concatenate((text, np.zeros(8, np.uint8)))
+    eight = np.ndarray(len(text) + 1, "<u8", padded.data, strides=(1,))  # the eight bytes from each place on
+    h = mix(size.astype(np.uint64))
+    left = np.flatnonzero(size <= _LONG)
+    for done in range(0, _LONG, 8):
+        left = left[size[left] > done]
+        if not len(left):
+            break
+        h[left] = mix(h[left] ^ (eight[first[left] + done] & _BYTES[np.minimum(size[left] - done, 8)]))
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = xxhash.xxh3_64_intdigest(text[first[i]:first[i] + size[i]])
+    return h
+
+
 def shingles(text: str | None, n: int, words: WordHash) -> np.ndarray:
     """Sorted distinct hashes of the ``n``-word shingles of ``text``.
 
@@ -87,11 +121,63 @@ def shingles(text: str | None, n: int, words: WordHash) -> np.ndarray:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(words.__getitem__, parts), np.uint64, len(parts))
     m = min(n, len(h))
-    with np.errstate(over="ignore"):
-        acc = h[:len(h) - m + 1].copy()
-        for i in range(1, m):
-            acc = acc * _P + h[i:len(h) - m + 1 + i]
-    return np.unique(mix(acc + _U(m)))
+    return np.unique(_folded(h, np.arange(len(h) - m + 1), m))
+
+
+def _folded(h: np.ndarray, at: np.ndarray, m: int) -> np.ndarray:
+    """Hashes of the runs of ``m`` words from the places ``at`` on."""
+    acc = h[at]
+    for i in range(1, m):
+        acc = acc * _P + h[at + i]
+    return mix(acc + _U(m))
+
+
+def _runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all runs ``first .. first + size - 1``, one run after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)
+
+
+def shingle_sets(texts: pa.Array, n: int):
+    """``shingles`` of all texts of an Arrow column, slice by slice: ``(first text, sets, bounds)``.
+
+    The set of a slice's ``i``-th text is ``sets[bounds[i]:bounds[i + 1]]``."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    _, places, data = texts.buffers()
+    places = np.frombuffer(places, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    lo = 0
+    while lo < len(texts):
+        hi = max(lo + 1, int(np.searchsorted(places, places[lo] + _SLICE, "right")) - 1)
+        yield lo, *_slice_sets(data[places[lo]:places[hi]], places[lo:hi + 1] - places[lo], n)
+        lo = hi
+
+
+def _slice_sets(data: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    inside = _IN_WORD[data]
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    edge = places[(places > 0) & (places < len(data))]  # words end with their text
+    begins[edge], ends[edge - 1] = inside[edge], inside[edge - 1]
+    first = np.flatnonzero(begins)
+    h = word_hashes(_LOWER[data], first, np.flatnonzero(ends) + 1 - first)
+    word = np.searchsorted(first, places)
+    n_words = np.diff(word)
+    size = np.where(n_words < n, np.minimum(n_words, 1), n_words - n + 1)
+    bounds = np.concatenate(([0], np.cumsum(size)))
+    sets = np.empty(bounds[-1], np.uint64)
+    full = n_words >= n
+    sets[np.repeat(full, size)] = _folded(h, _runs(word[:-1][full], size[full]), n)
+    for m in np.unique(n_words[(n_words > 0) & ~full]).tolist():
+        short = np.flatnonzero(n_words == m)
+        sets[bounds[short]] = _folded(h, word[short], m)
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        sets[a:b].sort()
+    new = np.ones(len(sets), bool)
+    new[1:] = sets[1:] != sets[:-1]
+    new[bounds[:-1][size > 0]] = True
+    return sets[new], np.concatenate(([0], np.cumsum(new)))[bounds]
 
 
 class Scheme:
@@ -116,41 +202,94 @@ class Scheme:
 
     def keys(self, sh: np.ndarray) -> np.ndarray:
         """The join keys of a set: of its own band's scheme and of the next."""
-        own, out = self.band(len(sh)), []
-        code = mix((sh & _U(0xFFFFFFFF)) + _P)
-        for band in (own, own + 1):
-            k, s, d = self.blocks(band)
-            if not d:
-                continue  # equal sets only
-            block = ((sh >> _U(32)) * _U(k)) >> _U(32)   # rises with the sorted hashes
-            first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
-            size = np.diff(np.append(first, len(sh)))
-            acc = np.bitwise_xor.reduceat(code, first)
-            at = block[first]
-            empty = k - len(first)
-            if empty + int((size == 1).sum()) <= s:
-                acc, at = acc[size > 1], at[size > 1]
-            elif empty > s:
-                at = np.concatenate((at, np.setdiff1d(np.arange(k, dtype=np.uint64), at)))
-                acc = np.concatenate((acc, np.zeros(empty, np.uint64)))
-            with np.errstate(over="ignore"):
-                out.append(mix(acc ^ mix(at + _U(band << 40) + _U(1))))
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+        return self.keys_of(sh, np.array([0, len(sh)]))[0]
+
+    def keys_of(self, sets: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The join keys of several sets that aren't empty, one set after the other, and how many each has.
+
+        All blocks of the sets' two schemes stand in one array of cells."""
+        size = np.diff(bounds)
+        own = np.searchsorted(self.starts, size, "right") - 1
+        band = np.stack((own, own + 1), 1).ravel()
+        known = {b: self.blocks(b) for b in np.unique(band).tolist()}
+        k, s, d = np.array([known[b] for b in band.tolist()], np.int64).reshape(-1, 3).T
+        k = np.where(d > 0, k, 0)  # no keys: equal sets only
+        base = np.cumsum(k) - k
+        acc, held = np.zeros(int(k.sum()), np.uint64), np.zeros(int(k.sum()), np.int64)
+        code = mix((sets & _U(0xFFFFFFFF)) + _P)
+        for scheme in (0, 1):
+            blocks, start = np.repeat(k[scheme::2], size), np.repeat(base[scheme::2], size)
+            cell = start + (((sets >> _U(32)) * blocks.astype(np.uint64)) >> _U(32)).astype(np.int64)  # rises with the sorted hashes
+            used, each = blocks > 0, code
+            if not used.all():
+                cell, each = cell[used], code[used]
+            if len(cell):
+                first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+                acc[cell[first]] = np.bitwise_xor.reduceat(each, first)
+                held[cell[first]] = np.diff(np.append(first, len(cell)))
+        of = np.repeat(np.arange(len(k)), k)
+        empty = np.bincount(of[held == 0], minlength=len(k))
+        poor = empty + np.bincount(of[held == 1], minlength=len(k)) <= s
+        sent = np.where(held == 0, ((empty > s) & ~poor)[of], (held > 1) | ~poor[of])
+        of = of[sent]
+        at = np.flatnonzero(sent) - base[of]
+        keys = mix(acc[sent] ^ mix(at.astype(np.uint64) + (band[of].astype(np.uint64) << _U(40)) + _U(1)))
+        return keys, np.bincount(of // 2, minlength=len(size))
 
 
 def _node(sh: np.ndarray) -> int:
-    with np.errstate(over="ignore"):
-        return int(mix(np.array([np.bitwise_xor.reduce(sh) + mix(sh + _P).sum() * _P + _U(len(sh))]))[0].view(np.int64))
-
-
-def sketch_bits(size: int) -> int:
-    """Bits of the dense sketch of a set: a power of two that doesn't fall behind its size, as a full sketch tells nothing."""
-    return max(_SKETCH, 1 << (size - 1).bit_length())
+    return int(_nodes(sh, np.array([0, len(sh)]))[0])
+
+
+def _nodes(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Fingerprints of sets that aren't empty."""
+    first = bounds[:-1]
+    return mix(np.bitwise_xor.reduceat(sets, first) + np.add.reduceat(mix(sets + _P), first) * _P
+               + np.diff(bounds).astype(np.uint64)).view(np.int64)
+
+
+def sketch_bits(size: np.ndarray) -> np.ndarray:
+    """Bits of the dense sketch of a set, as a power of two that doesn't fall behind its size, as a full sketch tells nothing."""
+    return np.maximum(_SKETCH.bit_length() - 1, np.frexp((size - 1).astype(float))[1])
+
+
+def _sketches(sets: np.ndarray, size: np.ndarray, power: np.ndarray, empty: np.ndarray) -> pa.Array:
+    """Sketches of ``2 ** power`` bits, of sets of ``size`` hashes each; null where ``empty``."""
+    bits = np.where(empty, 0, 1 << power)
+    ends = np.cumsum(bits)
+    if empty.any():
+        sets = sets[np.repeat(~empty, size)]
+    size = np.where(empty, 0, size)
+    at = np.repeat(ends - bits, size) + (mix(sets + _U(1)) >> np.repeat(64 - power, size).astype(np.uint64)).astype(np.int64)
+    words = np.packbits((np.bincount(at, minlength=int(bits.sum())) & 1).astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends // 64)), pa.int32()), pa.array(words), mask=pa.array(empty))
+
+
+def _signed(batches, n: int):
+    """Signatures of ``doc_id, text, mark``."""
+    for b in batches:
+        for lo, sets, bounds in shingle_sets(b.column(1), n):
+            size = np.diff(bounds)
+            blank = size == 0
+            node = np.zeros(len(size), np.int64)
+            if not blank.all():
+                node[~blank] = _nodes(sets, np.append(bounds[:-1][~blank], bounds[-1]))
+            power = sketch_bits(size)
+            half = blank | (1 << power <= _SKETCH)
+            rows = b.slice(lo, len(size))
+            yield pa.record_batch([rows.column(0), rows.column(2), pa.array(size, pa.int64()), pa.array(node, mask=blank),
+                                   _sketches(sets, size, power, blank), _sketches(sets, size, power - 1, half)],
+                                  names=["doc_id", "mark", "n_shingles", "node", "sketch", "half"])
 
 
-def _sketch(sh: np.ndarray, bits: int) -> np.ndarray:
-    at = (mix(sh + _U(1)) >> _U(65 - bits.bit_length())).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).view(np.int64)
+def _keyed(batches, n: int, scheme: Scheme):
+    """``key, node`` of ``doc_id, text``."""
+    for b in batches:
+        for _, sets, bounds in shingle_sets(b.column(1), n):
+            bounds = np.append(bounds[:-1][np.diff(bounds) > 0], bounds[-1])
+            if len(bounds) > 1:
+                keys, each = scheme.keys_of(sets, bounds)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(np.repeat(_nodes(sets, bounds), each))], names=["key", "node"])
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
@@ -158,44 +297,13 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
 
     ``mark`` is a hash of the text, never null; ``half`` is the sketch with
     half as many bits, null if that were fewer than ``_SKETCH``."""
-    def run(batches):
-        words = WordHash()
-        for b in batches:
-            size, node, sketch, half = [], [], [], []
-            for t in b.column(1).to_pylist():
-                sh = shingles(t, n, words)
-                size.append(len(sh))
-                node.append(_node(sh) if len(sh) else None)
-                bits = sketch_bits(len(sh)) if len(sh) else 0
-                sketch.append(_sketch(sh, bits) if bits else None)
-                half.append(_sketch(sh, bits // 2) if bits > _SKETCH else None)
-            yield pa.record_batch([b.column(0), b.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
-                                   pa.array(sketch, pa.list_(pa.int64())), pa.array(half, pa.list_(pa.int64()))],
-                                  names=["doc_id", "mark", "n_shingles", "node", "sketch", "half"])
-
     return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")) \
-        .mapInArrow(run, "doc_id long, mark long, n_shingles long, node long, sketch array<long>, half array<long>")
+        .mapInArrow(lambda batches: _signed(batches, n), "doc_id long, mark long, n_shingles long, node long, sketch array<long>, half array<long>")
 
 
 def block_keys(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
     """``key, node``: one row per parity block that a document sends."""
-    def run(batches):
-        words = WordHash()
-        for b in batches:
-            keys, nodes, rows = [], [], 0
-            for t in b.column(1).to_pylist():
-                sh = shingles(t, n, words)
-                if len(sh) and len(k := scheme.keys(sh)):
-                    keys.append(k.view(np.int64))
-                    nodes.append(np.full(len(k), _node(sh)))
-                    rows += len(k)
-                if rows >= 200_000:
-                    yield pa.record_batch([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
-                    keys, nodes, rows = [], [], 0
-            if rows:
-                yield pa.record_batch([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))], names=["key", "node"])
-
-    return docs.mapInArrow(run, "key long, node long")
+    return docs.mapInArrow(lambda batches: _keyed(batches, n, scheme), "key long, node long")
 
 
 def groups(keys: DataFrame) -> DataFrame:

@@ -155,3 +155,32 @@ def test_sketches_tell_large_sets_apart(spark):
     pairs = spark.createDataFrame([(a, b) for a in of for b in of if of[a] < of[b]], "a long, b long")
     got = {(of[x.a], of[x.b]) for x in near_by_sketch(pairs, nodes.select("node", "n_shingles", "sketch", F.col("half")), 80, 100).collect()}
     assert got == related
+
+
+def test_sets_of_a_batch():
+    """Texts of a batch are hashed together, as one by one, in slices whose memory doesn't grow with the vocabulary."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from sieve.llm import jaccard
+    r = random.Random(4)
+    texts = [None, "", " \t", "a", "A b C", "\x00 \x00\x00 \x1c  x"] + ["x" * k + " É" + "y" * (k + 1) for k in range(0, 140, 3)]
+    texts += [" ".join(r.choice(("a", "B\x00", "c" * 9)) for _ in range(r.randrange(1, 40))) for _ in range(300)]
+    rows = pa.record_batch([pa.array(texts)], names=["text"]).slice(2)
+    for n, num in ((1, 85), (4, 85), (5, 50)):
+        words, scheme = WordHash(), Scheme(num, 100)
+        sets = [s[a:b] for _, s, at in jaccard.shingle_sets(rows.column(0), n) for a, b in zip(at, at[1:])]
+        assert len(sets) == len(rows) and all(np.array_equal(s, shingles(t, n, words)) for s, t in zip(sets, texts[2:]))
+        sets = [s for s in sets if len(s)]
+        keys, each = scheme.keys_of(np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets]))
+        assert np.array_equal(keys, np.concatenate([scheme.keys(s) for s in sets])) and each.tolist() == [len(scheme.keys(s)) for s in sets]
+    many = pa.record_batch([pa.array([0] * 2000), pa.array([" ".join(f"{r.randrange(10 ** 9)}" for _ in range(400)) for _ in range(2000)]),
+                            pa.array([0] * 2000)], names=["doc_id", "text", "mark"])
+    tracemalloc.start()
+    for out in (jaccard._signed([many], 4), jaccard._keyed([many], 4, Scheme(85, 100))):
+        for _ in out:
+            pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6  # a cache of 400,000 words alone takes 80 MB
