@@ -5,9 +5,10 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
-from sieve.operators.embedding import hashed_vectors_np
+from sieve.operators.embedding import _embedded, hashed_vectors_np
 from sieve.operators.vectorsearch import _make_scorer, _score_matrix
 
 
@@ -56,3 +57,19 @@ def test_texts_are_hashed_in_slices():
     assert np.array_equal(got, whole)
     assert np.array_equal(hashed_vectors_np(texts[-50:], slice_chars=1), whole[-50:])
     assert peak < 80e6  # at once these 5.7 million characters take 165 MB
+
+
+def test_batches_are_embedded_in_pieces():
+    texts = [f"word{i} some other words here {i % 7} " * 10 for i in range(9998)] + [None, ""]
+    rows = pa.record_batch([pa.array(range(10000)), pa.array([3] * 10000), pa.array(texts)], names=["doc_id", "k", "_text"])
+    whole, seen = hashed_vectors_np(texts), 0
+
+    def run():
+        nonlocal seen
+        for out in _embedded([rows], 128, ["doc_id", "k"], "vec"):
+            assert out.schema.names == ["doc_id", "k", "vec"] and out.num_rows <= 256
+            assert out.column(0).to_pylist() == list(range(seen, seen + out.num_rows))
+            assert np.array_equal(out.column(2).flatten().to_numpy().reshape(-1, 128), whole[seen:seen + out.num_rows])
+            seen += out.num_rows
+
+    assert _peak(run)[1] < 25e6 and seen == 10000  # the texts and vectors of the batch alone take 15 MB as Python and NumPy objects, three times over
