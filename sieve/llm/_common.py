@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +19,43 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Sides of at most this many ids are broadcast; larger ones are shuffled.
 BROADCAST_IDS = 1_000_000
 
+#: Bytes of an Arrow batch of whole texts.
+TEXT_BATCH = 1 << 22
+
+_KEPT: dict[str, dict] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame:
     """``df`` written to the shared folder of ``spark.checkpoint.dir`` and read
-    back: it is computed once and outlives any executor."""
-    return materialize(df, name)
+    back: it is computed once and outlives any executor.  ``batch_bytes`` bounds
+    its Arrow batches."""
+    return materialize(df, name, batch_bytes)
+
+
+def kept(owner: str) -> dict:
+    """What tasks of the operator ``owner`` keep in this Python worker for its next ones.
+
+    Spark gives a worker the tasks of any stage, so what other operators have
+    kept there is dropped first."""
+    if owner not in _KEPT:
+        _KEPT.clear()
+        gc.collect()  # an encoder and its chunks refer to each other
+        _KEPT[owner] = {}
+        pa.default_memory_pool().release_unused()
+    return _KEPT[owner]
+
+
+def in_worker(owner: str, run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, without what other operators have kept in the worker."""
+    def task(batches):
+        kept(owner)
+        yield from run(batches)
+
+    return task
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import python_ready, row_key, saved, within
+from ._common import TEXT_BATCH, in_worker, python_ready, row_key, saved, within
 
 Q = 12
 WINDOW = 96
@@ -307,7 +307,7 @@ def _scan(docs: DataFrame, items: list[tuple[int, str]], q: int, window: int, ch
             yield pa.record_batch([pa.array(c, pa.int64()) for c in cols],
                                   names=["doc_id", "item_id", "n_windows", "edits", "start", "end"])
 
-    return docs.mapInArrow(run, "doc_id long, item_id long, n_windows long, edits long, start long, end long")
+    return docs.mapInArrow(in_worker("decontaminate", run), "doc_id long, item_id long, n_windows long, edits long, start long, end long")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
@@ -316,5 +316,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     Rows are judged by id and text, so a leak says nothing of another text under the same or a null id."""
     keyed = docs.withColumn("_key", row_key(F.col(id_col), F.col(text_col)))
     found = leaks(keyed, benchmark, id_col="_key", text_col=text_col, **params)
-    found = saved(found.select(F.col("doc_id").alias("_leak")).distinct(), "dec-found")
+    found = saved(found.select(F.col("doc_id").alias("_leak")).distinct(), "dec-found", TEXT_BATCH)
     return keyed.join(within(found), F.col("_key") == F.col("_leak"), "left_anti").drop("_key")

@@ -18,6 +18,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
+from ._common import kept
+
 #: Chunks in a task's cache (about 200 bytes each), half of them from before it was full last.
 CACHE = 800_000
 #: The same for other chunks and parts of chunks.
@@ -29,7 +31,6 @@ _ODD = re.compile(r"\s ")
 _SHOWN = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
 _ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 _SPACE = chr(_ALPHABET[32])
-_LOADED: dict[str, ChunkEncoder] = {}
 
 
 class _AfterSpace(dict):
@@ -99,10 +100,11 @@ class ChunkEncoder(dict):
 
 
 def encoder(path: str) -> ChunkEncoder:
-    """The encoder of a tokenizer file, one per Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = ChunkEncoder(path)
-    return _LOADED[path]
+    """The encoder of a tokenizer file, one per Python worker until another operator runs there."""
+    held = kept("encoding")
+    if path not in held:
+        held[path] = ChunkEncoder(path)
+    return held[path]
 
 
 def default_tokenizer() -> str:

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import python_ready, saved, within
+from ._common import TEXT_BATCH, in_worker, python_ready, saved, within
 from .components import components
 
 _WORDS = 50_000           # bound of the word-hash cache where texts are compared one by one
@@ -298,12 +298,12 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
     ``mark`` is a hash of the text, never null; ``half`` is the sketch with
     half as many bits, null if that were fewer than ``_SKETCH``."""
     return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")) \
-        .mapInArrow(lambda batches: _signed(batches, n), "doc_id long, mark long, n_shingles long, node long, sketch array<long>, half array<long>")
+        .mapInArrow(in_worker("jaccard", lambda batches: _signed(batches, n)), "doc_id long, mark long, n_shingles long, node long, sketch array<long>, half array<long>")
 
 
 def block_keys(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
     """``key, node``: one row per parity block that a document sends."""
-    return docs.mapInArrow(lambda batches: _keyed(batches, n, scheme), "key long, node long")
+    return docs.mapInArrow(in_worker("jaccard", lambda batches: _keyed(batches, n, scheme)), "key long, node long")
 
 
 def groups(keys: DataFrame) -> DataFrame:
@@ -372,7 +372,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: i
                 ok.append(den * common >= num * (len(x) + len(hub) - common) and _node(x) == a[i])
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "ta", "tb").mapInArrow(in_worker("jaccard", run), "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -386,10 +386,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     python_ready(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     scheme = Scheme(num, den)
-    sig = saved(signatures(docs, n), "jac-signatures")
+    sig = saved(signatures(docs, n), "jac-signatures", TEXT_BATCH)
     nodes = saved(sig.filter("node is not null").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("half").alias("half")), "jac-nodes")
-    met = saved(groups(block_keys(docs, n, scheme)), "jac-groups")
+    met = saved(groups(block_keys(docs, n, scheme)), "jac-groups", TEXT_BATCH)
 
     state = {"labels": None}
 
@@ -403,7 +403,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
 
     def link(pairs: DataFrame) -> None:
         """Verify the candidate pairs; the links join components."""
-        new = saved(verified(pairs.select("a", "b"), nodes, docs, n, num, den), "jac-links")
+        new = saved(verified(pairs.select("a", "b"), nodes, docs, n, num, den), "jac-links", TEXT_BATCH)
         if not new.isEmpty():
             edges = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
             if state["labels"] is not None:  # a component so far is the star of its label

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._common import python_ready, saved, shared_path
+from ._common import TEXT_BATCH, python_ready, saved, shared_path
 from .encoding import default_tokenizer, encoder
 
 FRAME_IDS = 1 << 16
@@ -159,7 +159,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
             yield pa.record_batch([pa.array([part], pa.int32()), pa.array([name]), pa.array([len(writer.docs)], pa.int64()),
                                    pa.array([total], pa.int64())], names=["part", "path", "n_docs", "n_tokens"])
 
-    return saved(rows.mapInArrow(run, _MANIFEST), "token-manifest")
+    return saved(rows.mapInArrow(run, _MANIFEST), "token-manifest", TEXT_BATCH)
 
 
 def read_token_files(manifest: DataFrame, doc_ids: set[int] | None = None, with_ids: bool = True) -> DataFrame:

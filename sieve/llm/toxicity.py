@@ -37,7 +37,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import python_ready, row_key, saved, within
+from ._common import TEXT_BATCH, in_worker, python_ready, row_key, saved, within
 
 #: Insults looked for by default; a parameter of ``score_documents``.
 LEXICON = (
@@ -156,7 +156,7 @@ def dense_features(docs: DataFrame, lexicon, learned, id_col: str = "doc_id", te
                                                                       pa.list_(pa.float64()))], names=["doc_id", "key", "features"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(F.col(id_col), F.col(text_col)).alias("key")) \
-        .mapInArrow(run, "doc_id long, key long, features array<double>")
+        .mapInArrow(in_worker("toxicity", run), "doc_id long, key long, features array<double>")
 
 
 def part_of(doc_id):
@@ -218,7 +218,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, label_col: str = "toxic"
 
     some = _sample(known.filter(F.col("part") == words_part), by_part.get(words_part, (0, 0))[0], max_part)
     learned = learned_words(docs.join(within(some), "doc_id").select("text", "label"))
-    feats = saved(dense_features(docs, lexicon, learned), "tox-features")
+    feats = saved(dense_features(docs, lexicon, learned), "tox-features", TEXT_BATCH)
 
     train = saved(feats.join(known.filter(F.col("part") != words_part), "doc_id").transform(
         lambda d: _sample(d, sum(by_part.get(k, (0, 0))[0] for k in (trees_part, calm_part)), 2 * max_part))
