@@ -23,10 +23,12 @@ sets of sizes ``s1 <= s2`` with Jaccard similarity of ``t`` or more have
   a power of two; the rest are verified on the whole texts.
 
 Only the components are wanted, so a key's group isn't expanded into pairs.
-Each member is compared with the group's first one; members that still lie in
-another component than the first get a leader of their own, another one in each
-of ``EXTRA_LEADERS`` rounds; those still apart are compared with the group's other members, by sketch inside the
-join, which yields only near pairs.  Then every pair that
+Each member is compared with the group's first one.  Members that still lie in
+another component than the first are compared by sketch with the group's other
+members, whole groups at a time in NumPy (``near_pairs``).  ``FORESTS`` rounds
+yield a spanning forest of the near pairs only, whose verified links join most
+of what belongs together; the last one yields all near pairs between components that are
+left.  Then every pair that
 shares a key has been compared or is connected already, so no link that would
 join two components is lost.  Exact copies share one node (the fingerprint of
 the set) and aren't compared at all.
@@ -42,6 +44,8 @@ other columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -56,7 +60,10 @@ _WORDS = 50_000           # bound of the word-hash cache where texts are compare
 _SLICE = 1 << 20          # bytes of text that are hashed at once; a task holds some twenty times as much meanwhile
 _LONG = 64                # longer words are hashed one by one
 _SKETCH = 1024            # least bits of the dense sketch
-EXTRA_LEADERS = 6         # rounds of further leading members before members are compared with all others
+FORESTS = 1               # rounds that yield a spanning forest of near pairs, before the one that yields them all
+_DEAL = 4_096             # members of a group for each part that its open members are dealt to
+_TILE = 1 << 14           # pairs compared at once
+_PART = 1 << 20           # keys that a task sorts
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)
 _M = (1 << 64) - 1
@@ -200,6 +207,11 @@ class Scheme:
         s = d // 8
         return d + 1 + s, s, d
 
+    def about(self, sets: DataFrame) -> int:
+        """The number of join keys, or somewhat more, of sets of ``n_shingles`` each: their blocks in two schemes."""
+        share = 2 * (self.den - self.num) / (self.den + self.num) * 9 / 8
+        return math.ceil(sets.agg(F.sum(F.col("n_shingles") * share * (1 + self.den / self.num) + 4)).first()[0] or 0)
+
     def keys(self, sh: np.ndarray) -> np.ndarray:
         """The join keys of a set: of its own band's scheme and of the next."""
         return self.keys_of(sh, np.array([0, len(sh)]))[0]
@@ -306,14 +318,39 @@ def block_keys(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
     return docs.mapInArrow(in_worker("jaccard", lambda batches: _keyed(batches, n, scheme)), "key long, node long")
 
 
-def groups(keys: DataFrame) -> DataFrame:
-    """``key, node, first, place, size`` for keys shared by two nodes or more."""
-    by, sort = W.partitionBy("key"), W.partitionBy("key").orderBy("node")
-    last = F.lag("node").over(sort)
-    return keys.withColumn("last", last).filter(F.col("last").isNull() | (F.col("last") != F.col("node"))) \
-        .select("key", "node", F.count("*").over(by).alias("size"), F.min("node").over(by).alias("first"),
-                F.row_number().over(sort).alias("place")) \
-        .filter("size > 1")
+def _grouped(batches):
+    """``key, node, size, first, place`` of one part of the rows ``key, node``, which holds all rows of its keys."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    key, node = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+    held.clear()
+    order = np.argsort(key)
+    key, node = key[order], node[order]
+    same = np.concatenate(([False], key[1:] == key[:-1], [False]))
+    shared = same[1:] | same[:-1]  # few keys come twice, and only those are sorted by node
+    key, node = key[shared], node[shared]
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))[:len(key)]
+    key, node = key[new], node[new]
+    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))[:len(key)])
+    size = np.diff(np.append(first, len(key)))
+    place = np.arange(len(key)) - np.repeat(first, size) + 1
+    low, size = np.repeat(node[first], size), np.repeat(size, size)
+    for lo in range(0, len(key), 50_000):
+        rows = lo + np.flatnonzero(size[lo:lo + 50_000] > 1)
+        yield pa.record_batch([pa.array(c[rows]) for c in (key, node, size, low)] + [pa.array(place[rows], pa.int32())],
+                              names=["key", "node", "size", "first", "place"])
+
+
+def groups(keys: DataFrame, rows: int) -> DataFrame:
+    """``key, node, size, first, place`` for keys shared by two nodes or more; ``rows`` is about the number of rows.
+
+    Most keys are a single node's, so a part of ``_PART`` rows is sorted as an
+    array and only what is shared goes on."""
+    return keys.repartition(max(1, -(-rows // _PART)), "key") \
+        .mapInArrow(in_worker("jaccard", _grouped), "key long, node long, size long, first long, place int")
 
 
 def _near(a: str, b: str, num: int, den: int):
@@ -342,6 +379,91 @@ def near_by_sketch(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> Da
     return pairs.join(_side(nodes, "a"), "a").join(_side(nodes, "b"), "b").filter(test).select("a", "b", far.alias("far"))
 
 
+def near_pairs(batches, num: int, den: int, every: bool):
+    """Near pairs ``(a, b)`` of rows ``key, part, node, label, n, s, h, open`` that come sorted by key and part.
+
+    In each group (key and part) the rows that are ``open`` meet all others;
+    near pairs of different labels are given, or with ``every`` false a
+    spanning forest of them, the nearest of a tile first."""
+    held = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        keys, parts = b.column(0).to_numpy(), b.column(1).to_numpy()
+        cut = int(np.argmax((keys == keys[-1]) & (parts == parts[-1])))  # the last group may go on in the next batch
+        if not cut and held and (held[-1].column(0)[-1].as_py(), held[-1].column(1)[-1].as_py()) != (keys[0], parts[0]):
+            yield _near_in(held, num, den, every)
+            held = []
+        elif cut:
+            yield _near_in([*held, b.slice(0, cut)], num, den, every)
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield _near_in(held, num, den, every)
+
+
+def _near_in(batches: list, num: int, den: int, every: bool) -> pa.RecordBatch:
+    t = pa.Table.from_batches(batches).combine_chunks()
+    key, part, node, label, n = (t.column(i).to_numpy() for i in range(5))
+    words, flat = [], []
+    for i in (5, 6):  # sketches, and behind them their halves
+        column = t.column(i).combine_chunks()
+        words.append(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+        flat.append(column.flatten().to_numpy())
+    start = [np.cumsum(words[0]) - words[0], len(flat[0]) + np.cumsum(words[1]) - words[1]]
+    words, flat = words[0], np.concatenate(flat).view(np.uint64)  # bits of signed numbers would be counted without the sign
+    open_ = t.column(7).to_numpy()
+    new = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (part[1:] != part[:-1]))))
+    group = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(key))))
+    _, code = np.unique(label, return_inverse=True)
+    root = np.arange(len(code))  # of a label, by its code
+
+    def far(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Hamming distances; 0 where no sketches of one length are there."""
+        w = np.minimum(words[i], words[j])
+        out = np.zeros(len(i), np.int64)
+        at = [np.where(words[x] == w, start[0][x], start[1][x]) for x in (i, j)]
+        fits = np.maximum(words[i], words[j]) <= 2 * w
+        for size in np.unique(w[fits]).tolist():
+            of = np.flatnonzero(fits & (w == size))
+            step = max(1, (_TILE << 4) // size)
+            for lo in range(0, len(of), step):
+                k = of[lo:lo + step]
+                x, y = (flat[p[k][:, None] + np.arange(size)] for p in at)
+                out[k] = np.bitwise_count(x ^ y).sum(1)
+        return out
+
+    found = []
+    left = np.flatnonzero(open_)
+    size = np.bincount(group)[group[left]]
+    total, lo = np.cumsum(size), 0
+    while lo < len(left):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] - size[lo] + _TILE, "right")))
+        i, j = np.repeat(left[lo:hi], size[lo:hi]), _runs(new[group[left[lo:hi]]], size[lo:hi])
+        ok = (root[code[i]] != root[code[j]]) & (~open_[j] | (j < i)) & (den * np.minimum(n[i], n[j]) >= num * np.maximum(n[i], n[j]))
+        i, j = i[ok], j[ok]
+        d = far(i, j)
+        ok = np.flatnonzero(d * (den + num) <= (n[i] + n[j]) * (den - num))
+        if not every:
+            ok = ok[np.argsort(d[ok], kind="stable")]
+            joined = []
+            for k, x, y in zip(ok.tolist(), code[i[ok]].tolist(), code[j[ok]].tolist()):
+                while root[x] != x:
+                    x = root[x]
+                while root[y] != y:
+                    y = root[y]
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    joined.append(k)
+            ok = np.array(joined, np.int64)
+            while joined and (root != root[root]).any():
+                root = root[root]
+        found.append((node[i[ok]], node[j[ok]]))
+        lo = hi
+    a, b = (np.concatenate([f[s] for f in found] or [np.empty(0, np.int64)]) for s in (0, 1))
+    return pa.record_batch([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"])
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """Of the node pairs ``(a, b)`` those whose sets reach the similarity, compared on whole texts."""
     used = saved(pairs.select("a").union(pairs.select("b")).distinct()
@@ -389,7 +511,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     sig = saved(signatures(docs, n), "jac-signatures", TEXT_BATCH)
     nodes = saved(sig.filter("node is not null").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("half").alias("half")), "jac-nodes")
-    met = saved(groups(block_keys(docs, n, scheme)), "jac-groups", TEXT_BATCH)
+    met = saved(groups(block_keys(docs, n, scheme), scheme.about(sig)), "jac-groups", TEXT_BATCH)
 
     state = {"labels": None}
 
@@ -404,11 +526,18 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     def link(pairs: DataFrame) -> None:
         """Verify the candidate pairs; the links join components."""
         new = saved(verified(pairs.select("a", "b"), nodes, docs, n, num, den), "jac-links", TEXT_BATCH)
-        if not new.isEmpty():
-            edges = new.select(F.col("a").alias("u"), F.col("b").alias("v"))
-            if state["labels"] is not None:  # a component so far is the star of its label
-                edges = edges.union(state["labels"].filter("node != label").select(F.col("node").alias("u"), F.col("label").alias("v")))
-            state["labels"] = components(edges)
+        if new.isEmpty():
+            return
+        old = state["labels"]
+        if old is None:
+            state["labels"] = components(new.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            return
+        lab = lambda x: old.select(F.col("node").alias(x), F.col("label").alias(f"l{x}"))
+        joined = components(new.join(lab("a"), "a", "left").join(lab("b"), "b", "left")
+                            .select(F.coalesce("la", "a").alias("u"), F.coalesce("lb", "b").alias("v")))
+        moved = joined.select(F.col("node").alias("label"), F.col("label").alias("to"))  # labels are nodes of their components
+        state["labels"] = saved(old.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+                                .union(joined.join(old, "node", "left_anti").select("node", "label")), "jac-labels")
 
     firsts = saved(met.filter("place > 1").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct(), "jac-firsts")
     close = saved(near_by_sketch(firsts, nodes, num, den), "jac-close")
@@ -419,47 +548,28 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     if not rest.isEmpty():
         link(rest)
 
-    wide = met.filter("size > 2 AND place > 1").select("key", "node", "first")
-    # Members apart from their group's first member often link among themselves: one of them, another each round, leads the others.
-    for turn in range(EXTRA_LEADERS if not wide.isEmpty() else 0):
+    # Members that aren't in the component of their group's first member meet the group's other members.
+    wide = met.filter("size > 2 AND place > 1").select("key", "node", "first", F.ceil(F.col("size") / _DEAL).cast("int").alias("parts"))
+    for turn in range(0 if wide.isEmpty() else FORESTS + 1):
         open_pairs = saved(apart(firsts), "jac-open")
-        left = wide.join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b"))).select("key", "node")
-        if state["labels"] is not None:  # members of one component need one leader only, so the next is of another
-            left = left.join(state["labels"], "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+        rows = wide.join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b")), "left") \
+            .withColumn("open", F.col("a").isNotNull()).withColumn("any", F.max("open").over(W.partitionBy("key"))).filter("any")
+        # The open members of a large group are dealt to parts, each of which gets all members.
+        rows = rows.select("key", "node", "parts", "open", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")) \
+            .withColumn("open", F.col("open") & (F.pmod(F.xxhash64("node"), "parts") == F.col("part")))
+        if state["labels"] is not None:
+            rows = rows.join(state["labels"], "node", "left")
         else:
-            left = left.withColumn("label", F.col("node"))
-        lead = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "label", "node")).over(W.partitionBy("key"))
-        pairs = left.withColumn("lead", lead).filter("label != lead.label") \
-            .select(F.greatest(F.col("node"), F.col("lead.node")).alias("a"), F.least(F.col("node"), F.col("lead.node")).alias("b")).distinct()
-        pairs = saved(pairs, "jac-turn")
-        if pairs.isEmpty():
+            rows = rows.withColumn("label", F.col("node"))
+        rows = rows.join(nodes, "node").select("key", "part", "node", F.coalesce("label", "node").alias("label"), F.col("n_shingles").alias("n"),
+                                               F.col("sketch").alias("s"), F.col("half").alias("h"), "open") \
+            .repartition("key", "part").sortWithinPartitions("key", "part", F.xxhash64("node", F.lit(turn)))
+        every = turn == FORESTS
+        near = rows.mapInArrow(in_worker("jaccard", lambda batches, every=every: near_pairs(batches, num, den, every)), "a long, b long")
+        near = saved(near.distinct(), "jac-near", TEXT_BATCH)
+        if near.isEmpty():
             break
-        pairs = saved(near_by_sketch(pairs, nodes, num, den), "jac-led")
-        if not pairs.isEmpty():
-            link(pairs.groupBy("a").agg(F.min(F.struct("far", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
-
-    # Members that aren't in the component of their group's first member meet the group's
-    # other members; the sketches are compared inside the join, which yields near pairs only.
-    open_pairs = saved(apart(firsts), "jac-open")
-    hubs = wide.join(within(open_pairs), (F.col("node") == F.col("a")) & (F.col("first") == F.col("b"))).select("key", "node")
-    hubs = saved(hubs, "jac-hubs")
-    if not hubs.isEmpty():
-        keys = hubs.select("key").distinct()
-        members = wide.select("key", "node").join(keys, "key", "left_semi")
-
-        def labelled(rows: DataFrame, x: str) -> DataFrame:
-            rows = rows.withColumnRenamed("node", x).join(_side(nodes, x), x)
-            if state["labels"] is None:
-                return rows.withColumn(f"l{x}", F.col(x))
-            lab = state["labels"].select(F.col("node").alias(x), F.col("label").alias("l"))
-            return rows.join(lab, x, "left").withColumn(f"l{x}", F.coalesce("l", x)).drop("l")
-
-        test, _ = _near("a", "b", num, den)
-        left, right = labelled(members, "a"), labelled(hubs, "b")
-        more = left.join(right, (left.key == right.key) & (F.col("la") != F.col("lb")) & test)
-        more = saved(more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "jac-more")
-        if not more.isEmpty():
-            link(more)
+        link(near)
 
     out = sig.select("doc_id", "n_shingles", "node")
     label = F.col("node")

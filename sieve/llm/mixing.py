@@ -93,13 +93,21 @@ def targets(sources: DataFrame, share: float, cap: float) -> DataFrame:
         .drop("limit", "ratio", "left", "rest", "place", "level", "water")
 
 
+def _given(value: Column, of) -> Column:
+    """``of(value)``, with the value worked out once however often ``of`` uses it."""
+    return F.transform(F.array(value), of)[0]
+
+
 def training_time(u: Column, pieces: Column, weight: Column) -> Column:
     """Inverse of the cumulative demand: the time at which share ``u`` of the weight is spent."""
-    p = F.element_at(F.filter(pieces, lambda x: u <= x["c2"] + 1e-12), 1)
-    spent = F.greatest((u - p["c1"]) * weight, F.lit(0.0))
-    a, b = (p["w2"] - p["w1"]) / (2 * (p["t2"] - p["t1"])), p["w1"]
-    under = b + F.sqrt(F.greatest(b * b + 4 * a * spent, F.lit(0.0)))
-    return F.least(p["t2"], p["t1"] + F.when(under > 0, 2 * spent / under).otherwise(0.0))
+    def inverse(u: Column, p: Column) -> Column:
+        spent = F.greatest((u - p["c1"]) * weight, F.lit(0.0))
+        a, b = (p["w2"] - p["w1"]) / (2 * (p["t2"] - p["t1"])), p["w1"]
+        under = lambda spent: b + F.sqrt(F.greatest(b * b + 4 * a * spent, F.lit(0.0)))
+        return _given(spent, lambda spent: _given(under(spent), lambda under: F.least(
+            p["t2"], p["t1"] + F.when(under > 0, 2 * spent / under).otherwise(0.0))))
+
+    return _given(u, lambda u: _given(F.element_at(F.filter(pieces, lambda x: u <= x["c2"] + 1e-12), 1), lambda p: inverse(u, p)))
 
 
 def curriculum(docs: DataFrame, schedule=None, share: float = 1.5, cap: float = 2.0, whole: bool = False,
@@ -155,9 +163,9 @@ def mixed(docs: DataFrame, schedule=None, share: float = 1.5, cap: float = 2.0,
     Of rows equal in id, source and text as many are taken as the plan takes
     of them; which of them is arbitrary."""
     plan = curriculum(docs, schedule, share, cap, True, id_col, source_col, text_col)
-    plan = saved(plan.filter(F.size("copies") > 0).select(
+    plan = saved(plan.select(
         F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("mark").alias("_mark"), F.col("copies").alias("_copies")),
-        "mix-copies")
+        "mix-copies").filter(F.size("_copies") > 0)  # the filter stands behind the table, else the copies are worked out twice
     names = ["_id", "_source", "_mark"]
     keyed = docs.withColumns({"_id": docs[id_col], "_source": docs[source_col].cast("string"), "_mark": F.xxhash64(docs[text_col])})
     same = lambda a, b: a._id.eqNullSafe(b._id) & a._source.eqNullSafe(b._source) & (a._mark == b._mark)

@@ -73,7 +73,14 @@ THRESHOLD = 0.3
 FEATURES = ("log_words", "lexicon", "learned", "strong", "strong_count", "obfuscated", "hits", "near_second", "second", "mixed", "shouted",
             "stretched", "upper", "punct", "marks", "digits", "symbols")
 _LEX, _LEARNED, _OBF, _SECOND, _MIXED, _SHOUT, _STRETCH, _STRONG = (1 << i for i in range(8))
+_BITS = (np.arange(256)[:, None] >> np.arange(8) & 1).astype(float)
+#: By byte: capitals, punctuation, marks of emphasis, digits, symbols.
+_KINDS = np.zeros((256, 5))
+_KINDS[65:91, 0] = _KINDS[[33, 63], 2] = _KINDS[48:58, 3] = _KINDS[[*range(35, 39), 42, 64], 4] = 1
+_KINDS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)], 1] = 1
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
+_MARKS = ".,;:?\"'()"
+_PLAIN = {i: "".join(c for c in unicodedata.normalize("NFKD", chr(i)) if not unicodedata.combining(c)) for i in range(128, 0x180)}
 _RUN = re.compile(r"(.)\1{2,}")
 _CACHE = 400_000
 
@@ -86,8 +93,25 @@ class WordCodes(dict):
         super().__init__()
         self.lexicon, self.learned = frozenset(lexicon), dict(learned)
         self.masked = {w[:i] + w[i + 1:] for w in self.lexicon if len(w) > 3 for i in range(1, len(w) - 1)}
+        self.known = self.lexicon | SECOND_PERSON | self.learned.keys()
+        self.begins = {w[:min(STEMS)] for w in self.learned if w.endswith("*")}
 
     def __missing__(self, word: str) -> int:
+        low = word.lower()
+        core = low.strip(_MARKS)
+        # Most words: letters that nothing is known of, with or without accents, in lower case and without a run.
+        if core.isalpha() and (low == word or len(core) < 2 or word.upper() != word) and core not in self.known \
+                and core[:min(STEMS)] not in self.begins and not _RUN.search(core) \
+                and (core.isascii() or max(core) < "\u0180" and core.translate(_PLAIN) not in self.known):
+            code = 0
+        else:
+            code = self.code(word)
+        if len(self) >= _CACHE:
+            self.clear()
+        self[word] = code
+        return code
+
+    def code(self, word: str) -> int:
         core = _EDGE.sub("", word.lower())
         found = [self.learned.get(core)] + [self.learned.get(f"{core[:k]}*") for k in STEMS if len(core) >= k]
         code = _LEX * (core in self.lexicon) + _SECOND * (core in SECOND_PERSON) + _STRONG * (True in found)
@@ -95,7 +119,7 @@ class WordCodes(dict):
         letters = len(core) if core.isalpha() else sum(map(str.isalpha, core))
         if letters and letters < len(core):
             code |= _MIXED
-        body = word.lower().strip(".,;:?\"'()")
+        body = word.lower().strip(_MARKS)
         plain = []
         if not body.isalpha():  # digits and symbols in place of letters
             plain = [core.translate(LEET), body.translate(LEET)]
@@ -111,9 +135,6 @@ class WordCodes(dict):
             code |= _SHOUT
         if _RUN.search(core):
             code |= _STRETCH
-        if len(self) >= _CACHE:
-            self.clear()
-        self[word] = code
         return code
 
 
@@ -125,23 +146,20 @@ def features_of(text: str | None, codes: WordCodes) -> list[float]:
     if not n:
         return [0.0] * len(FEATURES)
     c = np.frombuffer(bytes(map(codes.__getitem__, words)), np.uint8)
-    counts = np.bincount(c, minlength=256)
-    total = lambda bit: float(counts[np.arange(256) & bit > 0].sum())
-    hit = np.flatnonzero(c & (_LEX | _STRONG | _OBF))
-    second = np.flatnonzero(c & _SECOND)
-    near = 0
-    if len(hit) and len(second):
-        near = int((np.searchsorted(second, hit + NEAR, "right") > np.searchsorted(second, hit - NEAR, "left")).sum())
+    n_lex, n_learned, n_obf, n_second, n_mixed, n_shout, n_stretch, n_strong = (np.bincount(c, minlength=256) @ _BITS).tolist()
+    hits = near = 0
+    if n_lex or n_strong or n_obf:
+        hit = np.flatnonzero(c & (_LEX | _STRONG | _OBF))
+        hits = len(hit)
+        if n_second:
+            second = np.flatnonzero(c & _SECOND)
+            near = int((np.searchsorted(second, hit + NEAR, "right") > np.searchsorted(second, hit - NEAR, "left")).sum())
     b = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    h = np.bincount(b, minlength=256)
-    size = float(len(b))
-    marks = float(h[33] + h[63])
-    punct = float(h[33:48].sum() + h[58:65].sum() + h[91:97].sum() + h[123:127].sum())
-    return [float(np.log1p(n)), total(_LEX) / n, total(_LEARNED) / n, total(_STRONG) / n,
-            float(np.log1p(total(_STRONG))), total(_OBF) / n, float(np.log1p(len(hit))),
-            near / n, total(_SECOND) / n, total(_MIXED) / n, total(_SHOUT) / n, total(_STRETCH) / n,
-            float(h[65:91].sum()) / size, punct / size, marks / size, float(h[48:58].sum()) / size,
-            float(h[35:39].sum() + h[42] + h[64]) / size]
+    upper, punct, marks, digits, symbols = (np.bincount(b, minlength=256) @ _KINDS / float(len(b))).tolist()
+    return [float(np.log1p(n)), n_lex / n, n_learned / n, n_strong / n,
+            float(np.log1p(n_strong)), n_obf / n, float(np.log1p(hits)),
+            near / n, n_second / n, n_mixed / n, n_shout / n, n_stretch / n,
+            upper, punct, marks, digits, symbols]
 
 
 def dense_features(docs: DataFrame, lexicon, learned, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

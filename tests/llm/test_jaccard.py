@@ -184,3 +184,80 @@ def test_sets_of_a_batch():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 60e6  # a cache of 400,000 words alone takes 80 MB
+
+
+def test_few_edges_are_joined_like_many(spark):
+    r = random.Random(4)
+    edges = [(r.randrange(-400, 400), r.randrange(-400, 400)) for _ in range(500)] + [(i, i + 1) for i in range(900, 1200)] + [(7, 7)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    few, many = (sorted(map(tuple, components(df, k).collect())) for k in (1000, 0))
+    assert few == many and len(few) > 800
+    assert components(df.filter("u = v")).collect() == []
+
+
+def test_near_pairs_of_groups_match_brute_force():
+    """Any cut into batches gives the near pairs of different labels, or a forest that connects the same nodes."""
+    import pyarrow as pa
+
+    from sieve.llm.jaccard import _sketches, near_pairs, sketch_bits
+    r = np.random.default_rng(8)
+    rows, sets = [], {}
+    for key in range(60):
+        base = r.integers(0, 1 << 63, int(r.choice((40, 300, 1000, 1030, 2060))), dtype=np.uint64)
+        for m in range(int(r.integers(2, 14))):
+            change = r.random(len(base)) < r.choice((0.0, 0.05, 0.3))
+            s = np.unique(np.concatenate((np.where(change, r.integers(0, 1 << 63, len(base), dtype=np.uint64), base),
+                                          r.integers(0, 1 << 63, int(r.integers(0, 40)), dtype=np.uint64))))
+            node, size = int(r.integers(-1 << 62, 1 << 62)), np.array([len(s)])
+            power = sketch_bits(size)
+            no = np.array([False])
+            half = _sketches(s, size, power - 1, no) if power[0] > 10 else pa.array([None], pa.list_(pa.int64()))
+            sets[node] = s
+            rows.append((key, int(r.integers(0, 2)), node, int(r.integers(0, 5)) + 100 * key, len(s), _sketches(s, size, power, no)[0].as_py(), half[0].as_py(), bool(r.random() < 0.6)))
+    rows.sort(key=lambda x: x[:2])
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.bool_()]
+    table = pa.table([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=["key", "part", "node", "label", "n", "s", "h", "open"])
+    must, may = set(), set()
+    for i, x in enumerate(rows):
+        for y in rows[:i]:
+            if x[:2] == y[:2] and x[3] != y[3] and (x[7] or y[7]):
+                pair, same = (max(x[2], y[2]), min(x[2], y[2])), len(np.intersect1d(sets[x[2]], sets[y[2]]))
+                if 100 * same >= 80 * (x[4] + y[4] - same):
+                    must.add(pair)
+                if 100 * same >= 70 * (x[4] + y[4] - same):
+                    may.add(pair)
+    assert len(must) > 50
+    label = {x[2]: x[3] for x in rows}
+    for size in (1, 7, 50, 10_000):
+        every, forest = ([p for b in near_pairs(table.to_batches(max_chunksize=size), 80, 100, e) for p in zip(*(c.to_pylist() for c in b.columns))]
+                         for e in (True, False))
+        assert must <= set(every) <= may and len(every) == len(set(every))
+        assert set(forest) <= set(every)
+        joined = lambda pairs: brute_labels([(label[a], label[b]) for a, b in pairs])
+        assert joined(forest) == joined(every)
+
+
+def brute_labels(edges):
+    low = {x: x for e in edges for x in e}
+    for _ in low:
+        for u, v in edges:
+            low[u] = low[v] = min(low[u], low[v])
+    return low
+
+
+def test_tables_written_for_one_run(spark, monkeypatch):
+    """Groups of texts that share passages and don't link take a fixed, small number of steps."""
+    import sieve.llm.components as C
+    import sieve.llm.jaccard as J
+    written = []
+    for module in (C, J):
+        monkeypatch.setattr(module, "saved", lambda df, name, *a, f=module.saved: (written.append(name), f(df, name, *a))[1])
+    r = random.Random(6)
+    passages = [[f"p{k}x{i}" for i in range(120)] for k in range(3)]
+    rows = []
+    for i in range(60):
+        words = passages[i % 3] + [f"own{r.randrange(10 ** 9)}" for _ in range(40 if i % 2 else 25)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + ["end"] * (i % 4)))]
+    got = sorted(map(tuple, jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == brute(rows, 5, 80, 100)
+    assert len(written) <= 26, written

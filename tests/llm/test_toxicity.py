@@ -52,3 +52,21 @@ def test_documents_with_one_common_long_word_all_count(spark):
     rows += [(f"elsewhere fine x{i} y{i}", 0.0) for i in range(40)]
     got = {w for w, _ in learned_words(spark.createDataFrame(rows, "text string, label double"))}
     assert "zorg" in got and "blarg" not in got
+
+
+def test_codes_of_words_met_first():
+    """Words known at first sight to be plain get the code that the full rules give."""
+    import random
+
+    from sieve.llm.toxicity import LEXICON, SECOND_PERSON, WordCodes
+    r = random.Random(3)
+    codes = WordCodes(LEXICON, [("wort", True), ("tost*", False), ("abei*", True), ("stueti*", False), ("idiot*", True)])
+    assert codes["Maison"] == codes["été,"] == codes["(Haus)"] == 0 and codes["debile."] == 0 != codes["DÉBILE"] != codes["débile"]
+    chars = "abeioustABEIOUST.,;:?!\"'()_-*01345$@|éüßÉÜñ̇İıſŒœªº漢Σσς½²"
+    known = [*LEXICON, *SECOND_PERSON, "wort", "tost", "abei", "stueti"]
+    for _ in range(30_000):
+        w = list(r.choice(known) if r.random() < 0.5 else "".join(r.choice(chars) for _ in range(r.randrange(1, 9))))
+        for _ in range(r.randrange(3)):
+            w.insert(r.randrange(len(w) + 1), r.choice(chars))
+        w = "".join(w).upper() if r.random() < 0.2 else "".join(w)
+        assert codes[w] == codes.code(w), w
