@@ -294,14 +294,22 @@ def _signed(batches, n: int):
                                   names=["doc_id", "mark", "n_shingles", "node", "sketch", "half"])
 
 
-def _keyed(batches, n: int, scheme: Scheme):
-    """``key, node`` of ``doc_id, text``."""
+def _keyed(batches, n: int, scheme: Scheme, parts: int):
+    """``part, keys, nodes`` of ``doc_id, text``: the keys of some texts that fall into a part, and the node of each, as arrays of 64-bit numbers."""
     for b in batches:
         for _, sets, bounds in shingle_sets(b.column(1), n):
             bounds = np.append(bounds[:-1][np.diff(bounds) > 0], bounds[-1])
-            if len(bounds) > 1:
-                keys, each = scheme.keys_of(sets, bounds)
-                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(np.repeat(_nodes(sets, bounds), each))], names=["key", "node"])
+            if len(bounds) < 2:
+                continue
+            keys, each = scheme.keys_of(sets, bounds)
+            part = ((keys >> _U(32)) * _U(parts) >> _U(32)).astype(np.int32)
+            order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+            count = np.bincount(part, minlength=parts)
+            some = np.flatnonzero(count)
+            places = pa.py_buffer(np.concatenate(([0], 8 * np.cumsum(count[some]))).astype(np.int32))
+            both = [pa.Array.from_buffers(pa.binary(), len(some), [None, places, pa.py_buffer(x[order])])
+                    for x in (keys, np.repeat(_nodes(sets, bounds), each))]
+            yield pa.record_batch([pa.array(some.astype(np.int32)), *both], names=["part", "keys", "nodes"])
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
@@ -313,17 +321,17 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
         .mapInArrow(in_worker("jaccard", lambda batches: _signed(batches, n)), "doc_id long, mark long, n_shingles long, node long, sketch array<long>, half array<long>")
 
 
-def block_keys(docs: DataFrame, n: int, scheme: Scheme) -> DataFrame:
-    """``key, node``: one row per parity block that a document sends."""
-    return docs.mapInArrow(in_worker("jaccard", lambda batches: _keyed(batches, n, scheme)), "key long, node long")
+def block_keys(docs: DataFrame, n: int, scheme: Scheme, parts: int) -> DataFrame:
+    """``part, keys, nodes``: a key and its node per parity block that a document sends, many in a row; a key has one part of ``parts``."""
+    return docs.select("doc_id", "text").mapInArrow(in_worker("jaccard", lambda batches: _keyed(batches, n, scheme, parts)), "part int, keys binary, nodes binary")
 
 
 def _grouped(batches):
-    """``key, node, size, first, place`` of one part of the rows ``key, node``, which holds all rows of its keys."""
-    held = [b for b in batches if b.num_rows]
+    """``key, node, size, first, place`` of the keys of whole parts."""
+    held = [[b"".join(b.column(i).to_pylist()) for i in (1, 2)] for b in batches if b.num_rows]
     if not held:
         return
-    key, node = (np.concatenate([b.column(i).to_numpy() for b in held]) for i in (0, 1))
+    key, node = (np.frombuffer(b"".join(h[i] for h in held), np.int64) for i in (0, 1))
     held.clear()
     order = np.argsort(key)
     key, node = key[order], node[order]
@@ -344,12 +352,13 @@ def _grouped(batches):
                               names=["key", "node", "size", "first", "place"])
 
 
-def groups(keys: DataFrame, rows: int) -> DataFrame:
-    """``key, node, size, first, place`` for keys shared by two nodes or more; ``rows`` is about the number of rows.
+def groups(docs: DataFrame, n: int, scheme: Scheme, rows: int) -> DataFrame:
+    """``key, node, size, first, place`` for keys shared by two nodes or more; there are about ``rows`` keys.
 
-    Most keys are a single node's, so a part of ``_PART`` rows is sorted as an
+    Most keys are a single node's, so a part of ``_PART`` keys is sorted as an
     array and only what is shared goes on."""
-    return keys.repartition(max(1, -(-rows // _PART)), "key") \
+    parts = max(1, -(-rows // _PART))
+    return block_keys(docs, n, scheme, parts).repartitionById(parts, "part") \
         .mapInArrow(in_worker("jaccard", _grouped), "key long, node long, size long, first long, place int")
 
 
@@ -511,7 +520,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     sig = saved(signatures(docs, n), "jac-signatures", TEXT_BATCH)
     nodes = saved(sig.filter("node is not null").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("half").alias("half")), "jac-nodes")
-    met = saved(groups(block_keys(docs, n, scheme), scheme.about(sig)), "jac-groups", TEXT_BATCH)
+    met = saved(groups(docs, n, scheme, scheme.about(sig)), "jac-groups", TEXT_BATCH)
 
     state = {"labels": None}
 
