@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sieve.llm._common import row_key, saved, table, within
 from sieve.llm.decontaminate import decontaminated
+from sieve.llm.encoding import CACHE
 from sieve.llm.jaccard import jaccard_components
 from sieve.llm.mixing import mixed
 from sieve.llm.token_files import read_token_files, write_token_files
@@ -66,9 +67,10 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token-id files of the mix, in training order; a row for each document in them.
 
     The mix comes as a table written in training order: its files in order of
-    their names, and the rows in them, hold that order."""
+    their names, and the rows in them, hold that order.  The cache of chunks is
+    half the usual one, as the executors have run four stages by then."""
     order = [F.col("_metadata.file_name"), F.col("_metadata.row_index")] if docs.inputFiles() else None
-    return read_token_files(write_token_files(docs, order=order), with_ids=False)
+    return read_token_files(write_token_files(docs, order=order, cache=CACHE // 2), with_ids=False)
 
 
 STAGES = [("toxicity", toxicity), ("ngram_jaccard", ngram_jaccard), ("decontamination", decontamination),

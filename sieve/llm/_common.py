@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import uuid
 from collections.abc import Callable
@@ -36,6 +37,15 @@ def saved(df: DataFrame, name: str, batch_bytes: int | None = None) -> DataFrame
     return materialize(df, name, batch_bytes)
 
 
+def trim() -> None:
+    """Give freed memory back to the machine: the C library keeps it for its process otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def kept(owner: str) -> dict:
     """What tasks of the operator ``owner`` keep in this Python worker for its next ones.
 
@@ -45,15 +55,16 @@ def kept(owner: str) -> dict:
         _KEPT.clear()
         gc.collect()  # an encoder and its chunks refer to each other
         _KEPT[owner] = {}
-        pa.default_memory_pool().release_unused()
+        trim()
     return _KEPT[owner]
 
 
 def in_worker(owner: str, run: Callable) -> Callable:
-    """``run`` for ``mapInArrow``, without what other operators have kept in the worker."""
+    """``run`` for ``mapInArrow``, without what other operators have kept in the worker; what it frees is given back."""
     def task(batches):
         kept(owner)
         yield from run(batches)
+        trim()
 
     return task
 

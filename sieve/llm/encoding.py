@@ -20,9 +20,9 @@ from tokenizers import Tokenizer
 
 from ._common import kept
 
-#: Chunks in a task's cache (about 200 bytes each), half of them from before it was full last.
+#: Chunks in a worker's cache (about 200 bytes each), half of them from before it was full last.
 CACHE = 800_000
-#: The same for other chunks and parts of chunks.
+#: The same for other chunks and parts of chunks; less in proportion with a smaller cache.
 PARTS = 200_000
 _CUT = re.compile(r"(?<=\S)(?= )")
 _LINE = re.compile(r"(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
@@ -36,9 +36,9 @@ _SPACE = chr(_ALPHABET[32])
 class _AfterSpace(dict):
     """Ids of a space and a chunk, by the chunk alone: no string is built for a known one."""
 
-    def __init__(self, chunks: ChunkEncoder):
+    def __init__(self, chunks: ChunkEncoder, cache: int):
         super().__init__()
-        self.chunks, self.old = chunks, {}
+        self.chunks, self.old, self.most = chunks, {}, cache // 2
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
@@ -47,7 +47,7 @@ class _AfterSpace(dict):
                 ids = array("I", [t.id for t in self.chunks.model.tokenize(_SPACE + chunk)]).tobytes()
             else:
                 ids = self.chunks.fresh(" " + chunk)
-        if len(self) >= CACHE // 2:
+        if len(self) >= self.most:
             self.old = self.copy()  # what is met again comes back from here; the rest goes next time
             self.clear()
         self[chunk] = ids
@@ -57,9 +57,10 @@ class _AfterSpace(dict):
 class ChunkEncoder(dict):
     """Little-endian unsigned 32-bit ids by chunk, filled on first sight."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int | None = None):
         super().__init__()
-        self.after_space = _AfterSpace(self)
+        cache = cache or CACHE
+        self.after_space, self.most = _AfterSpace(self, cache), PARTS * cache // CACHE
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
@@ -78,7 +79,7 @@ class ChunkEncoder(dict):
 
     def __missing__(self, chunk: str) -> bytes:
         ids = self.fresh(chunk)
-        if len(self) >= PARTS:
+        if len(self) >= self.most:
             self.clear()
         self[chunk] = ids
         return ids
@@ -99,12 +100,12 @@ class ChunkEncoder(dict):
         return (self[first] if first else b"") + b"".join(map(self.after_space.__getitem__, rest))
 
 
-def encoder(path: str) -> ChunkEncoder:
+def encoder(path: str, cache: int | None = None) -> ChunkEncoder:
     """The encoder of a tokenizer file, one per Python worker until another operator runs there."""
     held = kept("encoding")
-    if path not in held:
-        held[path] = ChunkEncoder(path)
-    return held[path]
+    if (path, cache) not in held:
+        held[path, cache] = ChunkEncoder(path, cache)
+    return held[path, cache]
 
 
 def default_tokenizer() -> str:

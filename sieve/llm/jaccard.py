@@ -520,7 +520,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
     sig = saved(signatures(docs, n), "jac-signatures", TEXT_BATCH)
     nodes = saved(sig.filter("node is not null").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("half").alias("half")), "jac-nodes")
-    met = saved(groups(docs, n, scheme, scheme.about(sig)), "jac-groups", TEXT_BATCH)
+    met = saved(groups(docs, n, scheme, scheme.about(sig)), "jac-groups", _SLICE)
 
     state = {"labels": None}
 
@@ -575,7 +575,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, num: int = 80, den: int = 10
             .repartition("key", "part").sortWithinPartitions("key", "part", F.xxhash64("node", F.lit(turn)))
         every = turn == FORESTS
         near = rows.mapInArrow(in_worker("jaccard", lambda batches, every=every: near_pairs(batches, num, den, every)), "a long, b long")
-        near = saved(near.distinct(), "jac-near", TEXT_BATCH)
+        near = saved(near.distinct(), "jac-near")
         if near.isEmpty():
             break
         link(near)

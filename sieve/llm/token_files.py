@@ -117,13 +117,14 @@ class FrameReader:
 
 
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str | None = None, end_id: int = 2,
-                      id_col: str = "doc_id", text_col: str = "text", frame_ids: int = FRAME_IDS, order: list[Column] | None = None) -> DataFrame:
+                      id_col: str = "doc_id", text_col: str = "text", frame_ids: int = FRAME_IDS, order: list[Column] | None = None,
+                      cache: int | None = None) -> DataFrame:
     """Encode ``docs`` into files below ``folder``; the manifest ``part, path, n_docs, n_tokens`` in order.
 
     Documents stand in ascending order of the id, or of the columns ``order``.
     ``tokenizer`` is the path of a byte-level BPE file of the tokenizers library
     that every executor can read; special tokens aren't added, ``end_id`` ends
-    each document."""
+    each document.  A worker keeps the ids of about ``cache`` chunks of text."""
     spark = docs.sparkSession
     python_ready(spark)
     folder = folder or shared_path(spark, "token-files")
@@ -147,7 +148,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
                 fs.create_dir(base, recursive=True)
                 out = fs.open_output_stream(path, compression=None)
                 writer = FrameWriter(out, frame_ids)
-                enc = encoder(tokenizer)
+                enc = encoder(tokenizer, cache)
             for doc, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 ids = enc.ids(text) + end
                 total += len(ids) // 4
