@@ -294,22 +294,27 @@ def _signed(batches, n: int):
                                   names=["doc_id", "mark", "n_shingles", "node", "sketch", "half"])
 
 
-def _keyed(batches, n: int, scheme: Scheme, parts: int):
-    """``part, keys, nodes`` of ``doc_id, text``: the keys of some texts that fall into a part, and the node of each, as arrays of 64-bit numbers."""
+def _keyed(batches, n: int, scheme: Scheme):
+    """``key, node`` of ``doc_id, text``."""
     for b in batches:
         for _, sets, bounds in shingle_sets(b.column(1), n):
             bounds = np.append(bounds[:-1][np.diff(bounds) > 0], bounds[-1])
-            if len(bounds) < 2:
-                continue
-            keys, each = scheme.keys_of(sets, bounds)
-            part = ((keys >> _U(32)) * _U(parts) >> _U(32)).astype(np.int32)
-            order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
-            count = np.bincount(part, minlength=parts)
-            some = np.flatnonzero(count)
-            places = pa.py_buffer(np.concatenate(([0], 8 * np.cumsum(count[some]))).astype(np.int32))
-            both = [pa.Array.from_buffers(pa.binary(), len(some), [None, places, pa.py_buffer(x[order])])
-                    for x in (keys, np.repeat(_nodes(sets, bounds), each))]
-            yield pa.record_batch([pa.array(some.astype(np.int32)), *both], names=["part", "keys", "nodes"])
+            if len(bounds) > 1:
+                keys, each = scheme.keys_of(sets, bounds)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(np.repeat(_nodes(sets, bounds), each))], names=["key", "node"])
+
+
+def _dealt(batches, parts: int):
+    """``part, keys, nodes`` of ``key, node``: of each batch the keys that fall into a part, and their nodes, as arrays of 64-bit numbers."""
+    for b in batches:
+        key, node = b.column(0).to_numpy(), b.column(1).to_numpy()
+        part = ((key.view(np.uint64) >> _U(32)) * _U(parts) >> _U(32)).astype(np.int32)
+        order = np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")
+        count = np.bincount(part, minlength=parts)
+        some = np.flatnonzero(count)
+        places = pa.py_buffer(np.concatenate(([0], 8 * np.cumsum(count[some]))).astype(np.int32))
+        both = [pa.Array.from_buffers(pa.binary(), len(some), [None, places, pa.py_buffer(x[order])]) for x in (key, node)]
+        yield pa.record_batch([pa.array(some.astype(np.int32)), *both], names=["part", "keys", "nodes"])
 
 
 def signatures(docs: DataFrame, n: int) -> DataFrame:
@@ -323,7 +328,7 @@ def signatures(docs: DataFrame, n: int) -> DataFrame:
 
 def block_keys(docs: DataFrame, n: int, scheme: Scheme, parts: int) -> DataFrame:
     """``part, keys, nodes``: a key and its node per parity block that a document sends, many in a row; a key has one part of ``parts``."""
-    return docs.select("doc_id", "text").mapInArrow(in_worker("jaccard", lambda batches: _keyed(batches, n, scheme, parts)), "part int, keys binary, nodes binary")
+    return docs.select("doc_id", "text").mapInArrow(in_worker("jaccard", lambda batches: _dealt(_keyed(batches, n, scheme), parts)), "part int, keys binary, nodes binary")
 
 
 def _grouped(batches):

@@ -267,7 +267,7 @@ def test_keys_in_blocks_meet_like_rows():
     """Keys that travel in blocks by part give the groups that the single rows give."""
     import pyarrow as pa
 
-    from sieve.llm.jaccard import _grouped, _keyed, _nodes, shingle_sets
+    from sieve.llm.jaccard import _dealt, _grouped, _keyed, _nodes, shingle_sets
     texts = [t for _, t in corpus(11)]
     scheme, by_key = Scheme(80, 100), defaultdict(set)
     batches = [pa.record_batch([pa.array(range(lo, lo + 50)), pa.array(texts[lo:lo + 50])], names=["doc_id", "text"]) for lo in range(0, 300, 50)]
@@ -279,7 +279,7 @@ def test_keys_in_blocks_meet_like_rows():
     want = sorted((k, x, len(v), min(v), place) for k, v in by_key.items() if len(v) > 1 for place, x in enumerate(sorted(v), 1))
     assert len(want) > 500
     for parts in (1, 3, 70_000):
-        rows = [b for b in _keyed(batches, 4, scheme, parts)]
+        rows = list(_dealt(_keyed(batches, 4, scheme), parts))
         got = []
         for p in range(3):  # each task has whole parts
             mine = [b.filter(pa.array([x % 3 == p for x in b.column(0).to_pylist()])) for b in rows]
